@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, pii, quality_rules, simhash, token_counts, warc
+from . import crf_quality, embedding_dedup, lbl_lm, mixing, packing, pii, quality_rules, simhash, token_counts, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -48,9 +48,23 @@ def op7_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return crf_quality.quality_scores(docs, crf_quality.fit_field(docs, _table(spark, sf_dir, "labels")))
+
+
+def op9_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl_lm.language_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_source_mixing, op2_feistel_pii, op3_token_counts, op4_warc_bundles, op5_harmonic_packing, op6_quality_rules, op7_simhash_golay)
+    for f in (op1_source_mixing, op2_feistel_pii, op3_token_counts, op4_warc_bundles, op5_harmonic_packing, op6_quality_rules,
+              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear)
 }
 
 ORACLE_SQL: dict[str, str] = {
