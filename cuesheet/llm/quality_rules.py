@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, durable, small_or_not, text_or_empty
+from .common import WORD, durable, small_or_not, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
@@ -23,7 +23,7 @@ WINDOW = 5
 #: Base rule: percentage of words in repeated windows.
 MAX_REPEAT_PERCENT = 20
 #: Metric: (multiple of the spread, smallest limit).
-RULES = {"symbol_ratio": (6.0, 0.02), "shout_ratio": (6.0, 0.2), "dup_line_ratio": (6.0, 0.3), "word_length": (6.0, 12.0)}
+RULES = {"symbol_ratio": (6.0, 0.02), "bang_ratio": (6.0, 0.02), "dup_line_ratio": (6.0, 0.3)}
 MIN_GROUP = 50
 KLL_K = 200
 BROADCAST_GROUPS = 100_000
@@ -34,51 +34,63 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def repeated_words(text: Column, window: int = WINDOW) -> Column:
-    """Words that lie in windows of ``window`` words found twice or more in the text.
+def window_hashes(words: Column, window: int = WINDOW) -> Column:
+    """Hashes of all windows of ``window`` words; none for shorter texts.
 
-    Windows are compared by 64-bit hashes, sorted with their positions; each repeated window
-    covers the words up to the next repeated one, ``window`` at most."""
+    Each word is hashed once. A window's hash xors its words' hashes, each shifted by its place:
+    different windows agree with a chance of 2 ** -60."""
+    def mixed(w: Column) -> Column:
+        out = w["c0"]
+        for i in range(1, window):
+            out = out.bitwiseXOR(F.shiftleft(w[f"c{i}"], i))
+        return out
 
-    def covered(sorted_windows: Column) -> Column:
-        same = lambda x, i, d: F.coalesce(F.try_element_at(sorted_windows, (i + 1 + d).cast("int"))["h"] == x["h"], F.lit(False))
-        at = F.array_sort(F.transform(F.filter(sorted_windows, lambda x, i: same(x, i, 1) | F.when(i > 0, same(x, i, -1)).otherwise(False)), lambda x: x["i"]))
-        return _let(at, lambda p: F.when(F.size(p) == 0, 0).otherwise(
-            window + F.aggregate(F.transform(p, lambda x, j: F.when(j > 0, F.least(F.lit(window), x - F.get(p, j - 1))).otherwise(0)), F.lit(0), lambda a, x: a + x)))
+    def zipped(h: Column) -> Column:
+        n = F.greatest(F.size(h) - window + 1, F.lit(0))
+        return F.transform(F.arrays_zip(*(F.slice(h, F.lit(i + 1), n).alias(f"c{i}") for i in range(window))), mixed)
 
-    def windows(hashes: Column) -> Column:
-        one = lambda i: F.struct(F.xxhash64(*(F.get(hashes, i + d) for d in range(window))).alias("h"), i.alias("i"))
-        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(hashes) - window), one))
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), zipped)
 
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
-    return _let(hashes, lambda h: F.when(F.size(h) <= window, 0).otherwise(_let(windows(h), covered))).cast("long")
 
+def repeated_words(windows: Column, window: int = WINDOW) -> Column:
+    """Words that lie in windows found twice or more, from :func:`window_hashes`.
 
-def duplicate_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    return _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
+    Most texts repeat no window, which a hash set tells. For the others the windows are sorted
+    with their positions; each repeated one covers the words up to the next, ``window`` at most."""
+
+    def covered(s: Column) -> Column:
+        same = lambda x, j: F.coalesce(F.get(s, j)["h"] == x["h"], F.lit(False))
+        at = F.sort_array(F.transform(F.filter(s, lambda x, i: same(x, i + 1) | same(x, i - 1)), lambda x: x["i"]))
+        return _let(at, lambda p: F.when(F.size(p) == 0, 0).otherwise(window + F.aggregate(
+            F.transform(p, lambda x, j: F.when(j > 0, F.least(F.lit(window), x - F.get(p, j - 1))).otherwise(0)), F.lit(0), lambda a, x: a + x)))
+
+    pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(_let(pairs, covered)).cast("long")
+
+
+def without(text: Column, characters: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
 
 def counts(text: Column) -> dict[str, Column]:
     """The cheap measures of a text that is not null."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
     return {
-        "n_words": F.regexp_count(text, F.lit(WORD)).cast("long"),
-        "word_chars": F.char_length(F.translate(text, BLANKS, "")).cast("long"),
-        "n_symbols": (F.char_length(text) - F.char_length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": duplicate_lines(text),
-        "n_lines": F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))).cast("long"),
-        "n_shout": F.regexp_count(text, F.lit("!")).cast("long"),
+        "n_chars": F.char_length(text).cast("long"),
+        "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
+        "n_bangs": (F.char_length(text) - F.char_length(without(text, "!"))).cast("long"),
+        "lines": _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
     }
 
 
 def ratios() -> dict[str, Column]:
-    words = F.greatest(F.col("n_words"), F.lit(1))
+    chars = F.greatest(F.col("n_chars"), F.lit(1))
     return {
-        "symbol_ratio": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-        "shout_ratio": F.col("n_shout") / words,
-        "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        "word_length": F.col("word_chars") / words,
+        "symbol_ratio": F.col("n_symbols") / chars,
+        "bang_ratio": F.col("n_bangs") / chars,
+        "dup_line_ratio": F.col("lines.dup") / F.greatest(F.col("lines.n"), F.lit(1)),
     }
 
 
@@ -89,7 +101,7 @@ def _measured(docs: DataFrame, text_col: str, *carry: Column) -> DataFrame:
 
 def sketches(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
     """A KLL sketch for each language, source and ratio, with the group's documents."""
-    m = _measured(docs, text_col, F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).where(F.col("n_words") >= MIN_WORDS)
+    m = _measured(docs, text_col, F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).where(F.col("lines.n") > 0)
     m = m.select("lang", "source", *(c.alias(k) for k, c in ratios().items()))
     return m.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(KLL_K)).alias(k) for k in RULES))
 
@@ -115,7 +127,10 @@ def thresholds(groups: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, limits: DataFrame, carry: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
     few = small_or_not(limits.select(F.struct("lang", "source", "limits").alias("_q_group")), BROADCAST_GROUPS)
     m = _measured(docs, text_col, *carry, F.col(lang_col).alias("_q_lang"), F.col(source_col).alias("_q_source"))
-    m = m.withColumn("n_repeat_words", repeated_words(F.col("_q_text")))
+    m = m.withColumn("_q_words", F.regexp_extract_all("_q_text", F.lit(WORD), F.lit(0)))
+    m = m.withColumn("n_words", F.size("_q_words").cast("long")).withColumn("word_chars", F.char_length(F.array_join("_q_words", "")).cast("long"))
+    m = m.withColumn("_q_windows", window_hashes(F.col("_q_words")))
+    m = m.withColumn("n_repeat_words", repeated_words(F.col("_q_windows"))).withColumn("n_dup_lines", F.col("lines.dup"))
     m = m.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     m = m.join(few, F.col("_q_lang").eqNullSafe(F.col("_q_group.lang")) & F.col("_q_source").eqNullSafe(F.col("_q_group.source")), "left")
     passes = F.lit(True)
