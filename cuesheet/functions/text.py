@@ -14,6 +14,29 @@ FONT_TIERS = {"beat": ((4, 96), (7, 72), (None, 56)), "scatter": ((4, 88), (7, 6
 # Transition and seconds by section pair, first match first; None is any.
 TRANSITIONS = (("verse", "verse", "dissolve", 1.0), ("verse", "chorus", "none", 0.0), ("chorus", "chorus", "none", 0.0), ("chorus", "verse", "fadeblack", 0.8), (None, "bridge", "dissolve", 1.2), ("bridge", None, "dissolve", 1.0), (None, None, "dissolve", 0.8))
 
+# Caption styles and the head of a subtitle document.
+CAPTION_STYLES = {
+    "karaoke": {"name": "Karaoke", "font": "Arial Black", "size": 72, "primary": "&H00FFFFFF", "secondary": "&H0000D7FF", "outline": "&H00000000", "back": "&H80000000", "bold": -1, "outline_width": 3, "shadow": 2, "alignment": 2, "margin_v": 60, "spacing": 2},
+    "neon": {"name": "NeonKaraoke", "font": "Helvetica Neue", "size": 68, "primary": "&H00FFFFFF", "secondary": "&H0000FF00", "outline": "&H00FF8800", "back": "&H40000000", "bold": -1, "outline_width": 4, "shadow": 3, "alignment": 2, "margin_v": 80, "spacing": 3},
+    "minimal": {"name": "MinimalKaraoke", "font": "Inter", "size": 64, "primary": "&H80FFFFFF", "secondary": "&H00FFFFFF", "outline": "&H00000000", "back": "&H60000000", "bold": 0, "outline_width": 2, "shadow": 1, "alignment": 2, "margin_v": 50, "spacing": 4},
+}
+ASS_HEAD = """[Script Info]
+Title: Karaoke Subtitles
+ScriptType: v4.00+
+WrapStyle: 0
+ScaledBorderAndShadow: yes
+YCbCr Matrix: TV.709
+PlayResX: 1920
+PlayResY: 1080
+
+[V4+ Styles]
+Format: Name, Fontname, Fontsize, PrimaryColour, SecondaryColour, OutlineColour, BackColour, Bold, Italic, Underline, StrikeOut, ScaleX, ScaleY, Spacing, Angle, BorderStyle, Outline, Shadow, Alignment, MarginL, MarginR, MarginV, Encoding
+Style: {name},{font},{size},{primary},{secondary},{outline},{back},{bold},0,0,0,100,100,{spacing},0,1,{outline_width},{shadow},{alignment},40,40,{margin_v},1
+
+[Events]
+Format: Layer, Start, End, Style, Name, MarginL, MarginR, MarginV, Effect, Text
+"""
+
 
 def normalised(word: Column) -> Column:
     """F1 [R]: lower case without anything but letters, digits, underscores and blanks."""

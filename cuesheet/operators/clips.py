@@ -85,6 +85,6 @@ def crop_commands(crops: DataFrame, crop: int, height: int, fps: float) -> DataF
 
 
 def subject_centers(boxes: DataFrame) -> DataFrame:
-    """A15 [R]: centre of the largest face of each frame, the first on ties. ``boxes``: clip_id, frame_idx, box_idx, x, w, h (null without a face)."""
-    best = F.min_by(F.col("x") + F.floor(F.col("w") / 2), F.when(F.col("w").isNotNull(), F.struct(-(F.col("w") * F.col("h")), "box_idx")))
+    """A15 [R]: centre of the largest face of each frame, the first on ties (then the leftmost). ``boxes``: clip_id, frame_idx, box_idx, x, w, h (null without a face)."""
+    best = F.min_by(F.col("x") + F.floor(F.col("w") / 2), F.when(F.col("w").isNotNull(), F.struct(-(F.col("w") * F.col("h")), "box_idx", "x")))
     return boxes.groupBy("clip_id", "frame_idx").agg(best.cast("int").alias("center_x"))

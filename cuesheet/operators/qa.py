@@ -60,7 +60,7 @@ def technical_checks(clips: DataFrame) -> DataFrame:
 
 
 def overall(clips: DataFrame) -> DataFrame:
-    """X13 [R]: weighted score of the tiers that were run, rounded on the binary value. Columns: frames_with_face and mean_similarity
+    """X13 [R]: weighted score of the tiers that were run. Columns: frames_with_face and mean_similarity
     (null if skipped), n_issues, video_passed, mean_ssim (0 without), colour (mean correlation, null without)."""
     face = F.when(F.col("frames_with_face").isNotNull(), F.when(F.col("frames_with_face") > 0, F.col("mean_similarity")).otherwise(1.0))
     v = F.when(F.col("video_passed"), 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - F.col("n_issues") * F.lit(0.25)))
@@ -68,7 +68,7 @@ def overall(clips: DataFrame) -> DataFrame:
     parts = ((face, 0.3), (v, 0.5), (F.col("colour"), 0.2))
     total = sum((F.coalesce(s * w, F.lit(0.0)) for s, w in parts), F.lit(0.0))
     weight = sum((F.when(s.isNotNull(), w).otherwise(0.0) for s, w in parts), F.lit(0.0))
-    return clips.withColumn("overall_score", F.rint(F.least(F.greatest(F.try_divide(total, weight), F.lit(0.0)), F.lit(1.0)) * 100) / 100)
+    return clips.withColumn("overall_score", F.round(F.least(F.greatest(F.try_divide(total, weight), F.lit(0.0)), F.lit(1.0)), 2))
 
 
 def summary(results: DataFrame) -> DataFrame:

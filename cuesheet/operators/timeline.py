@@ -1,4 +1,4 @@
-"""Caption timelines: frames, active lines, words on screen."""
+"""Caption timelines: frames, active lines, words on screen."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import CONNECTORS, CONNECTORS_WITH_ROLES, EMOTIONAL
+from ..functions.text import ASS_HEAD, CAPTION_STYLES, CONNECTORS, CONNECTORS_WITH_ROLES, EMOTIONAL, ass_time, karaoke
 
 
 def lines_of(words: DataFrame) -> DataFrame:
@@ -130,3 +130,14 @@ def word_positions(words: DataFrame, size, width: float = 1920.0) -> DataFrame:
     total = F.sum(own).over(w) + gap * (F.count("*").over(w) - 1)
     before = F.coalesce(F.sum(own + gap).over(w.orderBy("word_idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     return words.withColumn("x", (F.lit(width) - total) / 2 + before + own / 2).withColumn("word_width", own)
+
+
+def ass_documents(words: DataFrame, style: str) -> DataFrame:
+    """X3 [R]: the whole subtitle document of each song; an unknown style is ``karaoke``."""
+    look = CAPTION_STYLES.get(style, CAPTION_STYLES["karaoke"])
+    got = F.array_sort(F.collect_list(F.struct("u_idx", "word", "start_s", "end_s")))
+    lines = words.groupBy("track_id", "line_index").agg(got.alias("w"))
+    first, last = F.get("w", F.lit(0)), F.element_at("w", -1)
+    line = F.concat(F.lit("Dialogue: 0,"), ass_time(first["start_s"]), F.lit(","), ass_time(last["end_s"]), F.lit(f",{look['name']},,0,0,0,,"), karaoke(F.col("w")), F.lit("\n"))
+    songs = lines.select("track_id", "line_index", line.alias("line")).groupBy("track_id").agg(F.array_sort(F.collect_list(F.struct("line_index", "line"))).alias("g"))
+    return songs.select("track_id", F.concat(F.lit(ASS_HEAD.format(**look)), F.array_join(F.transform("g", lambda r: r["line"]), "")).alias("document"))

@@ -1,9 +1,9 @@
 """Alignment, frame helpers, sources and streams against plain versions."""
 
+from datetime import datetime, timedelta
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from cuesheet.functions import vision
@@ -11,6 +11,7 @@ from cuesheet.operators import asof, lyrics, qa, timeline
 from cuesheet.sources import io
 from cuesheet.streaming import live
 
+START = datetime(2024, 1, 1)
 USER = "track_id long, line_index int, u_idx int, word string"
 HEARD = "track_id long, w_idx int, word string, start_s double, end_s double, probability double"
 
@@ -122,17 +123,17 @@ def run(out, mode, name):
 
 
 def test_chunk_counts_stream_equals_batch(spark, tmp_path):
-    rows = [(k % 3, pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=7 * k), "beat" if k % 4 else "onset") for k in range(200)]
+    rows = [(k % 3, START + timedelta(seconds=7 * k), "beat" if k % 4 else "onset") for k in range(200)]
     df = spark.createDataFrame(rows, "track_id int, ts timestamp, kind string")
     run(live.chunk_counts(stream(spark, tmp_path, df)), "append", "st1")
     got = {tuple(r) for r in spark.table("st1").collect()}
     want = {tuple(r) for r in live.chunk_counts(df).collect()}
-    last = max(r[0] for r in want) - pd.Timedelta(seconds=90)
+    last = max(r[0] for r in want) - timedelta(seconds=90)
     assert got <= want and {r for r in want if r[0] < last} <= got
 
 
 def test_retry_stream(spark, tmp_path):
-    t = pd.Timestamp("2024-01-01")
+    t = START
     rows = [(1, 1, t, 0.2, False), (1, 2, t, 0.3, False), (1, 2, t, 0.9, True), (2, 1, t, 0.1, False), (2, 1, t, 0.4, False), (2, 1, t, 0.3, False), (2, 1, t, 0.2, False)]
     df = spark.createDataFrame(rows, "project_id long, clip_id long, ts timestamp, score double, passed boolean")
     run(live.retry_states(stream(spark, tmp_path, df)), "append", "st2")
