@@ -15,8 +15,11 @@ pieces each; a null id is kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -32,8 +35,8 @@ TOLERANCE = 1 / 32
 MAX_CUTS = 2
 #: Pieces of a class for each salt; a class is filled by as many tasks as it has salts.
 PIECES_PER_SALT = 32_768
-#: Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 300_000
+#: Words, and parts of words, whose ids a worker remembers.
+REMEMBERED = 500_000
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE, max_cuts: int = MAX_CUTS) -> list[int]:
@@ -48,51 +51,70 @@ def cut_lengths(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE,
     return out + [rest] * bool(rest)
 
 
-class WordIds:
-    """Ids of texts from a tokenizer whose tokens never span a blank or a line feed, with the
-    ids of recent words remembered: a word's ids don't depend on its neighbours.
+#: The tokenizer's own way to split lower-cased text, spelt out for Latin-1.
+_LETTER, _NUMBER, _SPACE = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t\n\x0b\x0c\r\xa0"
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+#: Texts with these go through the library whole: other scripts, odd controls, special tokens.
+_ODD = re.compile("[^\x00-\x1b\x20-\x84\x86-\xff]|<\\|")
+_TRIAL = "It's 12 \xc9t\xe9s_x!!  don't\n\xbd ***the.,\t<a> \xb5\xb2 I'LL"
 
-    That holds for tokenizers that drop white space before they split; others go whole."""
 
-    def __init__(self, path: str):
-        import os
+class PartIds:
+    """Ids of texts from a tokenizer that lower-cases and splits its input before merging, so that
+    the ids of a part don't depend on its neighbours: a worker remembers those of recent parts.
+
+    Only for tokenizers whose parts can be told by their last token, and only for texts in which
+    splitting is plain (Latin-1 without special tokens); all others go whole through the library."""
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.by_word = self.tok.encode("a \n b", add_special_tokens=False).ids == [i for w in ("a", "b") for i in self.tok.encode(w, add_special_tokens=False).ids]
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.by_part = bool(self.ends.any())
+        self.by_part = self.by_part and next(self([_TRIAL])) == self._whole(_TRIAL)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, parts: list[str]) -> None:
+        for lo in range(0, len(parts), 4096):
+            some = parts[lo:lo + 4096]
+            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and (not len(cuts) or cuts[-1] == len(ids)):
+                raw = ids.tobytes()
+                at = [0, *(4 * cuts).tolist()]
+                self.known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=False))
+            else:
+                self.known.update((p, self._whole(p)) for p in some)
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_word:
-            yield from self._encode(texts)
-            return
-        for i in range(0, len(texts), 64):
-            split = [t.replace("\n", " ").split(" ") for t in texts[i:i + 64]]
-            words = set().union(*split)
-            words.discard("")
-            here = {"": b""}
-            missing = []
-            for w in words:
-                ids = self.new.get(w)
-                if ids is None:
-                    ids = self.old.get(w)
-                    if ids is None:
-                        missing.append(w)
-                        continue
-                    self.new[w] = ids
-                here[w] = ids
-            for w, ids in zip(missing, self._encode(missing), strict=True):
-                here[w] = self.new[w] = ids
-            if len(self.new) > REMEMBERED:
-                self.old, self.new = self.new, {}
-            for s in split:
-                yield b"".join(map(here.__getitem__, s))
+        for lo in range(0, len(texts), 128):
+            some = texts[lo:lo + 128]
+            words = [t.lower().split() if self.by_part and not _ODD.search(t) else None for t in some]
+            for d in (self.known, self.words):
+                if len(d) > REMEMBERED:
+                    d.clear()
+            new = list(set().union(*(w for w in words if w)).difference(self.words))
+            parts = list(map(_PART.findall, new))
+            self._learn(list(set().union(*parts).difference(self.known)))
+            part = self.known.__getitem__
+            self.words.update((w, b"".join(map(part, p))) for w, p in zip(new, parts, strict=True))
+            get = self.words.__getitem__
+            for t, w in zip(some, words, strict=True):
+                yield self._whole(t) if w is None else b"".join(map(get, w))
+
+
+@cache
+def part_ids(path: str) -> PartIds:
+    """One for each worker process, kept between its tasks."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return PartIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -103,7 +125,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(tokenizer_path)
+        encode = part_ids(tokenizer_path)
         for b in batches:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
