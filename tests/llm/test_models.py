@@ -126,11 +126,16 @@ def test_model_is_normalised():
     m = lbl_lm.initial(rng.random(lbl_lm.K) + 0.01)
     m.a[:], m.r[:] = rng.normal(size=m.a.shape), rng.normal(size=m.r.shape)
     m.normalise()
-    one, two = 5, lbl_lm.START
-    every = [m.log_prob(np.array([two, one, t])[1:] if two == lbl_lm.START else None)[1] for t in range(lbl_lm.K)]
+    every = [m.log_prob(np.array([5, t]), np.array([0]))[1] for t in range(lbl_lm.K)]
     assert abs(np.exp(every).sum() - 1) < 1e-4
 
 
+def test_contexts_stop_at_texts():
+    one, two = lbl_lm.contexts(np.array([1, 2, 3, 4, 5, 6]), np.array([0, 3, 4]))
+    s = lbl_lm.START
+    assert one.tolist() == [s, 1, 2, s, s, 5] and two.tolist() == [s, s, 1, s, s, s]
+
+
 def test_language_model_odd_rows(spark):
     got = lbl_lm.language_scores(odd_rows(spark)).collect()
     assert sorted(r.n_tokens for r in got) == [1, 1, 4, 8001] and all(np.isfinite([r.base_score, r.score]).all() for r in got)
