@@ -54,60 +54,69 @@ def cut_lengths(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE,
 #: The tokenizer's own way to split lower-cased text, spelt out for Latin-1.
 _LETTER, _NUMBER, _SPACE = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t\n\x0b\x0c\r\xa0"
 _PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-#: Texts with these go through the library whole: other scripts, odd controls, special tokens.
-_ODD = re.compile("[^\x00-\x1b\x20-\x84\x86-\xff]|<\\|")
+#: Texts with these go through the library whole: other scripts, controls, special tokens.
+_ODD = re.compile("[^\t-\r\x20-\x7e\xa0-\xff]|<\\|")
 _TRIAL = "It's 12 \xc9t\xe9s_x!!  don't\n\xbd ***the.,\t<a> \xb5\xb2 I'LL"
 
 
+class _Parts(dict):
+    """Ids of a part of a word, from the tokenizer's model."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.tokenize = tok.model.tokenize
+        spell = tok.pre_tokenizer.pre_tokenize_str
+        #: The model reads bytes as characters of its own; blanks are in no part.
+        self.spelling = {i: "".join(x for x, _ in spell(chr(i))) for i in range(128, 256) if i not in (0x85, 0xA0)}
+
+    def __missing__(self, part: str) -> bytes:
+        spelt = part if part.isascii() else part.translate(self.spelling)
+        out = self[part] = np.array([t.id for t in self.tokenize(spelt)], "<u4").tobytes()
+        return out
+
+
+class _Words(dict):
+    """Ids of a word: those of its parts in order."""
+
+    def __init__(self, parts: _Parts):
+        super().__init__()
+        self.part = parts.__getitem__
+
+    def __missing__(self, word: str) -> bytes:
+        out = self[word] = b"".join(map(self.part, _PART.findall(word)))
+        return out
+
+
 class PartIds:
     """Ids of texts from a tokenizer that lower-cases and splits its input before merging, so that
     the ids of a part don't depend on its neighbours: a worker remembers those of recent parts.
 
-    Only for tokenizers whose parts can be told by their last token, and only for texts in which
-    splitting is plain (Latin-1 without special tokens); all others go whole through the library."""
+    Only for tokenizers that mark the end of a part in its last token and pass a trial, and only for
+    texts in which splitting is plain (Latin-1 without special tokens or controls); all
+    others go whole through the library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.by_part = bool(self.ends.any())
-        self.by_part = self.by_part and next(self([_TRIAL])) == self._whole(_TRIAL)
+        self.by_part = any(t.endswith("</w>") for t in self.tok.get_vocab(with_added_tokens=True))
+        if self.by_part:
+            self.parts = _Parts(self.tok)
+            self.words = _Words(self.parts)
+            self.by_part = next(self([_TRIAL])) == self._whole(_TRIAL)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
-        for lo in range(0, len(parts), 4096):
-            some = parts[lo:lo + 4096]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some) and (not len(cuts) or cuts[-1] == len(ids)):
-                raw = ids.tobytes()
-                at = [0, *(4 * cuts).tolist()]
-                self.known.update(zip(some, map(raw.__getitem__, map(slice, at, at[1:])), strict=False))
-            else:
-                self.known.update((p, self._whole(p)) for p in some)
-
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for lo in range(0, len(texts), 128):
-            some = texts[lo:lo + 128]
-            words = [t.lower().split() if self.by_part and not _ODD.search(t) else None for t in some]
-            for d in (self.known, self.words):
+        for t in texts:
+            if not self.by_part or _ODD.search(t):
+                yield self._whole(t)
+                continue
+            yield b"".join(map(self.words.__getitem__, t.lower().split()))
+            for d in (self.parts, self.words):
                 if len(d) > REMEMBERED:
                     d.clear()
-            new = list(set().union(*(w for w in words if w)).difference(self.words))
-            parts = list(map(_PART.findall, new))
-            self._learn(list(set().union(*parts).difference(self.known)))
-            part = self.known.__getitem__
-            self.words.update((w, b"".join(map(part, p))) for w, p in zip(new, parts, strict=True))
-            get = self.words.__getitem__
-            for t, w in zip(some, words, strict=True):
-                yield self._whole(t) if w is None else b"".join(map(get, w))
 
 
 @cache

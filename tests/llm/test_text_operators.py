@@ -82,6 +82,18 @@ def test_packing(spark, sf, texts):
     assert packing.pack_documents(odd_rows(spark).limit(0), public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_remembered_ids_equal_whole_text_encoding():
+    import public_tokenizers
+
+    rng = random.Random(3)
+    ids = packing.PartIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert ids.by_part
+    latin, odd = [chr(i) for i in range(256)], list("aZ9é²ß'́中<|_ \t\x85\x00")
+    made = ["".join(rng.choices(c, k=40)) for c in (latin, latin[32:127] + latin[160:], odd) for _ in range(3000)]
+    made += ["it's I'LL don't", "<|endoftext|> x", "éé" * 3000, "a" * 20_000, ""]
+    assert list(ids(made)) == [ids._whole(t) for t in made]
+
+
 def plain_quality(t):
     t = t or ""
     w = BLANK.findall(t)
