@@ -140,3 +140,12 @@ def test_language_model_odd_rows(spark):
     got = lbl_lm.language_scores(odd_rows(spark)).collect()
     assert sorted(r.n_tokens for r in got) == [1, 1, 4, 8001] and all(np.isfinite([r.base_score, r.score]).all() for r in got)
     assert lbl_lm.language_scores(odd_rows(spark).limit(0)).count() == 0
+
+
+def test_frequent_words_are_bounded_and_complete(spark):
+    rows = [(bytearray(b"w%d" % i), n) for i, n in enumerate([5_000_000, 3000, 2999, 7, 7, 7, 2, 1, 1])] + [(bytearray(lbl_lm.END), 2)]
+    counts = spark.createDataFrame(rows, "word binary, n long").repartition(3)
+    assert lbl_lm.frequent(counts, 6) == [(b"w0", 5_000_000), (b"w1", 3000), (b"w2", 2999), (b"w3", 7), (b"w4", 7), (b"w5", 7), (b"\n", 2)]
+    assert lbl_lm.frequent(counts, 5) == [(b"w0", 5_000_000), (b"w1", 3000), (b"w2", 2999), (b"\n", 2)]
+    assert len(lbl_lm.frequent(counts, 100)) == 10
+    assert lbl_lm.frequent(counts.limit(0), 5) == []
