@@ -1,10 +1,13 @@
 """Quality rules with adaptive thresholds (operator 6), in built-in functions only.
 
 Cheap ratios of every document go into mergeable KLL sketches per language and source. Sketches
-of a language's sources merge into the language's, those into that of all. A limit is the middle
-value plus a multiple of the spread between the middle and the quarters, never under a floor; a
-group with fewer than ``MIN_GROUP`` documents takes its language's limit, then that of all. The
-limits are joined back and a document is kept if it passes the base rules and all of them.
+of a language's sources merge into the language's, those into that of all. Word length and letter
+share vary in every group: their limits are the middle value less or plus a multiple of the spread
+from there to the lower or upper quarter. Ratios of rare things (symbols, bangs, repeated lines) are
+0 in the middle of most groups: their limit is the upper quarter plus a multiple of its distance from
+the middle, and where that is under a floor the floor, so there such a limit is a fixed one. A group
+with fewer than ``MIN_GROUP`` documents takes its language's limits, then those of all. The limits
+are joined back and a document is kept if it passes the base rules and all of them.
 
 Defined cases: a null text has no words; a null language or source is a group of its own;
 documents without words fail the base rules; an empty table gives an empty result.
@@ -15,15 +18,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, durable, small_or_not, text_or_empty
+from .common import BLANKS, WORD, durable, n_words, small_or_not, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 WINDOW = 5
 #: Base rule: percentage of words in repeated windows.
 MAX_REPEAT_PERCENT = 20
-#: Metric: (multiple of the spread, smallest limit).
+#: Metric: (multiple of the distance from the middle to the upper quarter, smallest limit).
 RULES = {"symbol_ratio": (6.0, 0.02), "bang_ratio": (6.0, 0.02), "dup_line_ratio": (6.0, 0.3)}
+#: Metric: (multiple of the spread, smallest spread as a share of the middle, whether large values fail too).
+RANGES = {"word_length": (10.0, 0.02, True), "letter_share": (10.0, 0.005, False)}
 MIN_GROUP = 50
 KLL_K = 200
 BROADCAST_GROUPS = 100_000
@@ -81,6 +86,8 @@ def counts(text: Column) -> dict[str, Column]:
         "n_chars": F.char_length(text).cast("long"),
         "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
         "n_bangs": (F.char_length(text) - F.char_length(without(text, "!"))).cast("long"),
+        "n_letters": F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).cast("long"),
+        "n_solid": F.char_length(without(text, BLANKS)).cast("long"),
         "lines": _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
     }
 
@@ -91,6 +98,8 @@ def ratios() -> dict[str, Column]:
         "symbol_ratio": F.col("n_symbols") / chars,
         "bang_ratio": F.col("n_bangs") / chars,
         "dup_line_ratio": F.col("lines.dup") / F.greatest(F.col("lines.n"), F.lit(1)),
+        "word_length": F.col("n_solid") / F.greatest(F.col("n_words"), F.lit(1)),
+        "letter_share": F.col("n_letters") / F.greatest(F.col("n_solid"), F.lit(1)),
     }
 
 
@@ -100,22 +109,29 @@ def _measured(docs: DataFrame, text_col: str, *carry: Column) -> DataFrame:
 
 
 def sketches(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """A KLL sketch for each language, source and ratio, with the group's documents."""
+    """A KLL sketch for each language, source and measure, with the group's documents."""
     m = _measured(docs, text_col, F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).where(F.col("lines.n") > 0)
+    m = m.withColumn("n_words", n_words(F.col("_q_text")))
     m = m.select("lang", "source", *(c.alias(k) for k, c in ratios().items()))
-    return m.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(KLL_K)).alias(k) for k in RULES))
+    return m.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(KLL_K)).alias(k) for k in (*RULES, *RANGES)))
 
 
 def thresholds(groups: DataFrame) -> DataFrame:
-    """``lang, source`` and a limit for each ratio, from :func:`sketches` (a written table)."""
-    merged = lambda *by: groups.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k, F.lit(KLL_K)).alias(k) for k in RULES))
+    """``lang, source`` and the limits (low, high) of each measure, from :func:`sketches` (a written table)."""
+    merged = lambda *by: groups.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k, F.lit(KLL_K)).alias(k) for k in (*RULES, *RANGES)))
 
     def limit(name: str) -> Column:
-        times, least = RULES[name]
         q = lambda p: F.kll_sketch_get_quantile_double(name, F.lit(p))
-        return F.when(F.col("n") > 0, F.greatest(F.lit(least), q(0.5) + times * (q(0.5) - q(0.25))))
-
-    limits = lambda df, *by: df.select(*by, F.struct("n", *(limit(k).alias(k) for k in RULES)).alias("own"))
+        if name in RULES:
+            times, least = RULES[name]
+            low, high = F.lit(0.0), F.greatest(F.lit(least), q(0.75) + times * (q(0.75) - q(0.5)))
+        else:
+            times, least, both = RANGES[name]
+            low = q(0.5) - times * F.greatest(q(0.5) - q(0.25), least * q(0.5))
+            high = q(0.5) + times * F.greatest(q(0.75) - q(0.5), least * q(0.5)) if both else F.lit(float("inf"))
+        return F.when(F.col("n") > 0, F.struct(low.alias("low"), high.alias("high")))
+
+    limits = lambda df, *by: df.select(*by, F.struct("n", *(limit(k).alias(k) for k in (*RULES, *RANGES))).alias("own"))
     by_group = limits(groups, "lang", "source")
     by_lang = limits(merged("lang"), F.col("lang").alias("l")).withColumnRenamed("own", "of_lang")
     of_all = limits(merged(), F.lit(1).alias("one")).withColumnRenamed("own", "of_all")
@@ -135,7 +151,7 @@ def judged(docs: DataFrame, limits: DataFrame, carry: list[Column], text_col: st
     m = m.join(few, F.col("_q_lang").eqNullSafe(F.col("_q_group.lang")) & F.col("_q_source").eqNullSafe(F.col("_q_group.source")), "left")
     passes = F.lit(True)
     for k, c in ratios().items():
-        passes = passes & F.coalesce(c <= F.col(f"_q_group.limits.{k}"), F.lit(True))
+        passes = passes & F.coalesce(c.between(F.col(f"_q_group.limits.{k}.low"), F.col(f"_q_group.limits.{k}.high")), F.lit(True))
     return m.withColumn("kept", ~F.col("base_failed") & passes)
 
 

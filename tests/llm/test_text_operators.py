@@ -126,6 +126,19 @@ def test_quality_measures(spark, sf, texts):
     assert quality_rules.quality(odd_rows(spark).limit(0)).count() == 0
 
 
+def test_quality_limits_follow_the_group(spark):
+    """One document in two groups: ordinary in one, far from the others in the other."""
+    rng = random.Random(6)
+    text = lambda n, m, extra="": " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(n, m))) for _ in range(80)) + extra
+    same = {1: text(3, 5), 2: text(9, 12), 3: text(3, 5, " #$" * 6)}
+    rows = [(1000 + i, text(3, 5), "en", "short", 0) for i in range(60)] + [(2000 + i, text(9, 12), "en", "long", 0) for i in range(60)]
+    rows += [(3000 + i, text(3, 5, " #$" * (i % 10)), "en", "signs", 0) for i in range(60)]
+    rows += [(10 * k + j, t, "en", s, 0) for k, t in same.items() for j, s in enumerate(("short", "long", "signs"))]
+    kept = {r.doc_id for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).where("kept").collect()}
+    assert {k for k in kept if k < 1000} == {10, 12, 21, 32}
+    assert len(kept) == 184
+
+
 def plain_fingerprint(t):
     import xxhash
 
