@@ -38,7 +38,9 @@ DAYS = (340, 215)
 #: Fixed patterns of the candidates.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 CLOUD_KEY = r"AKIA[0-9A-Z]{16}"
-SECRET = r"""(?:token|password|secret|api_key)[ ]{0,3}[=:][ ]{0,3}["']?[A-Za-z0-9_\-]{8,64}"""
+SECRET_NAME = r"""(?i:token|password|secret|api_key)[ ]{0,3}[=:][ ]{0,3}["']?"""
+#: The whole value, however long, without the dots that end a sentence; an address is an address.
+SECRET = f"{SECRET_NAME}(?!{EMAIL})[A-Za-z0-9_.+/=~-]{{7,}}[A-Za-z0-9_+/=~-]"
 DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])|(?<![\d.])\d{2}\.\d{2}\.\d{4}(?!\.?\d)"
 IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -157,16 +159,25 @@ def _date(key: str, m: Column) -> Column:
     )
 
 
+def _secret(key: str, value: Column) -> Column:
+    """As many hexadecimal digits as ``value`` has characters, a keyed hash for each 64 of them."""
+    def nth(i: Column) -> Column:
+        return F.when(i == 0, _prf(key, "secret", value)).otherwise(_prf(key, "secret", value, i))
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.length(value) / 64).cast("int")), nth)
+    return F.substring(F.array_join(parts, ""), F.lit(1), F.length(value))
+
+
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """The pseudonym of one candidate, or the candidate itself where it is not valid."""
     email = F.concat(F.substring(_prf(key, "email", F.lower(m)), 1, 16), F.lit("@example.com"))
-    head = F.regexp_extract(m, r"""^(?:token|password|secret|api_key)[ ]{0,3}[=:][ ]{0,3}["']?""", 0)
+    head = F.regexp_extract(m, f"^{SECRET_NAME}", 0)
     value = F.substring(m, F.length(head) + 1, F.length(m))
     is_like = lambda p: m.rlike(f"^(?:{p})$")
     return (
         F.when(m.contains("@"), email)
         .when(is_like(CLOUD_KEY), F.concat(F.lit("AKIA"), F.upper(F.substring(_prf(key, "cloud", m), 1, 16))))
-        .when(head != "", F.concat(head, F.substring(_prf(key, "secret", value), F.lit(1), F.length(value))))
+        .when(head != "", F.concat(head, _secret(key, value)))
         .when(is_like(DATE), _date(key, m)).when(is_like(IPV4), _ipv4(key, m)).when(is_like(SSN), _ssn(key, m))
         .when(is_like(PHONE), _phone(key, m)).when(is_like(CARD), _card(key, m)).otherwise(m)
     )
@@ -184,7 +195,7 @@ def pseudonymised(text: Column, key: str = KEY) -> Column:
 
         return F.when(F.size(f) == 0, F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_replaced"))).otherwise(_let(F.transform(f, lambda m: pseudonym(m, key)), join))
 
-    return F.when(text.rlike("[0-9@]"), _let(found, rebuild)).otherwise(F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_replaced")))
+    return F.when(text.rlike(f"[0-9@]|{SECRET_NAME}"), _let(found, rebuild)).otherwise(F.struct(text.alias("text"), F.lit(0).cast("long").alias("n_replaced")))
 
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:

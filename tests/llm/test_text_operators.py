@@ -207,6 +207,14 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(odd_rows(spark).limit(0)).count() == 0
 
 
+def test_one_of_each_tells_rows_apart(spark):
+    """Null ids and repeated ids with different texts: only rows whose component keeps another go."""
+    text = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(5)]
+    rows = [(3, text[0]), (5, text[0]), (5, text[1]), (None, text[0]), (None, text[2]), (None, text[3]), (None, text[3]), (7, text[4])]
+    got = simhash.one_of_each(spark.createDataFrame([(i, t, "en", str(n), 0) for n, (i, t) in enumerate(rows)], SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(3, text[0]), (5, text[1]), (0, text[2]), (0, text[3]), (7, text[4])])
+
+
 def luhn(d):
     v = [int(c) for c in d][::-1]
     return (sum(v[::2]) + sum(sum(divmod(2 * x, 10)) for x in v[1::2])) % 10 == 0
