@@ -1,16 +1,19 @@
 """Quality rules with adaptive thresholds (operator 6), in built-in functions only.
 
-Cheap ratios of every document go into mergeable KLL sketches per language and source. Sketches
-of a language's sources merge into the language's, those into that of all. Word length and letter
-share vary in every group: their limits are the middle value less or plus a multiple of the spread
-from there to the lower or upper quarter. Ratios of rare things (symbols, bangs, repeated lines) are
-0 in the middle of most groups: their limit is the upper quarter plus a multiple of its distance from
-the middle, and where that is under a floor the floor, so there such a limit is a fixed one. A group
-with fewer than ``MIN_GROUP`` documents takes its language's limits, then those of all. The limits
-are joined back and a document is kept if it passes the base rules and all of them.
+Five measures of every document go into mergeable KLL sketches per language and source. Sketches
+of a language's sources merge into the language's, those into that of all. Rates of rare things
+(symbols, bangs, repeated lines) count one more than was found and are taken as logarithms, so they
+spread in every group, with or without such things; word length and letter share are taken as they
+are. A limit is the group's own middle value plus or less a multiple of the distance from there to
+its own quarter. There is no fixed cutoff: a group's quartiles are averaged with its language's,
+which count as ``PRIOR`` documents, and those with the quartiles of all, so small groups lean on
+larger ones by degrees. The limits are joined back and a document is kept if it passes the base
+rules and all of them.
 
 Defined cases: a null text has no words; a null language or source is a group of its own;
-documents without words fail the base rules; an empty table gives an empty result.
+documents without words fail the base rules and enter no sketch; whole texts are measured, however
+long; repeated rows count each; columns of any other name stay as they are; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -18,18 +21,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, durable, n_words, small_or_not, text_or_empty
+from .common import WORD, durable, small_or_not, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 WINDOW = 5
 #: Base rule: percentage of words in repeated windows.
 MAX_REPEAT_PERCENT = 20
-#: Metric: (multiple of the distance from the middle to the upper quarter, smallest limit).
-RULES = {"symbol_ratio": (6.0, 0.02), "bang_ratio": (6.0, 0.02), "dup_line_ratio": (6.0, 0.3)}
-#: Metric: (multiple of the spread, smallest spread as a share of the middle, whether large values fail too).
-RANGES = {"word_length": (10.0, 0.02, True), "letter_share": (10.0, 0.005, False)}
-MIN_GROUP = 50
+#: Measure: multiples of the lower and the upper quarter's distance from the middle, None where that side is free.
+RULES = {"symbol_rate": (None, 6.0), "bang_rate": (None, 6.0), "dup_line_rate": (None, 6.0), "word_length": (10.0, 10.0), "letter_share": (12.0, None)}
+#: Documents that the wider group's quartiles count as.
+PRIOR = 50.0
 KLL_K = 200
 BROADCAST_GROUPS = 100_000
 
@@ -79,91 +81,83 @@ def without(text: Column, characters: str) -> Column:
     return text
 
 
-def counts(text: Column) -> dict[str, Column]:
-    """The cheap measures of a text that is not null."""
+def measured(docs: DataFrame, carry: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """The carried columns, ``lang, source``, the measures of the base rules, ``base_failed`` and the five of ``RULES``."""
+    text = F.col("text")
+    m = docs.select(F.struct(*carry).alias("own"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), text_or_empty(text_col).alias("text"))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    return {
-        "n_chars": F.char_length(text).cast("long"),
-        "n_symbols": (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long"),
-        "n_bangs": (F.char_length(text) - F.char_length(without(text, "!"))).cast("long"),
-        "n_letters": F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).cast("long"),
-        "n_solid": F.char_length(without(text, BLANKS)).cast("long"),
-        "lines": _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
-    }
-
-
-def ratios() -> dict[str, Column]:
-    chars = F.greatest(F.col("n_chars"), F.lit(1))
-    return {
-        "symbol_ratio": F.col("n_symbols") / chars,
-        "bang_ratio": F.col("n_bangs") / chars,
-        "dup_line_ratio": F.col("lines.dup") / F.greatest(F.col("lines.n"), F.lit(1)),
-        "word_length": F.col("n_solid") / F.greatest(F.col("n_words"), F.lit(1)),
-        "letter_share": F.col("n_letters") / F.greatest(F.col("n_solid"), F.lit(1)),
-    }
-
-
-def _measured(docs: DataFrame, text_col: str, *carry: Column) -> DataFrame:
-    plain = docs.select(*carry, text_or_empty(text_col).alias("_q_text"))
-    return plain.select("*", *(c.alias(k) for k, c in counts(F.col("_q_text")).items()))
-
-
-def sketches(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    m = m.select(
+        "*", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
+        (F.char_length(text) - F.char_length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        (F.char_length(text) - F.char_length(without(text, "!"))).alias("n_bangs"),
+        F.char_length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).alias("n_letters"),
+        _let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))).alias("lines"))
+    m = m.select("*", F.size("words").cast("long").alias("n_words"), F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"),
+                 repeated_words(window_hashes(F.col("words"))).alias("n_repeat_words"))
+    rate = lambda found, of: F.log((found + 1) / (of + 10))
+    return m.select(
+        "own", "lang", "source", "n_words", "word_chars", "n_symbols", F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words",
+        ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
+        rate(F.col("n_symbols"), F.col("n_words")).alias("symbol_rate"), rate(F.col("n_bangs"), F.col("n_words")).alias("bang_rate"),
+        rate(F.col("lines.dup"), F.col("lines.n")).alias("dup_line_rate"),
+        (F.col("word_chars") / F.greatest("n_words", F.lit(1))).alias("word_length"), (F.col("n_letters") / F.greatest("word_chars", F.lit(1))).alias("letter_share"))
+
+
+def sketches(measures: DataFrame) -> DataFrame:
     """A KLL sketch for each language, source and measure, with the group's documents."""
-    m = _measured(docs, text_col, F.col(lang_col).alias("lang"), F.col(source_col).alias("source")).where(F.col("lines.n") > 0)
-    m = m.withColumn("n_words", n_words(F.col("_q_text")))
-    m = m.select("lang", "source", *(c.alias(k) for k, c in ratios().items()))
-    return m.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(KLL_K)).alias(k) for k in (*RULES, *RANGES)))
+    return measures.where("n_words > 0").groupBy("lang", "source").agg(
+        F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(KLL_K)).alias(k) for k in RULES))
 
 
 def thresholds(groups: DataFrame) -> DataFrame:
     """``lang, source`` and the limits (low, high) of each measure, from :func:`sketches` (a written table)."""
-    merged = lambda *by: groups.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k, F.lit(KLL_K)).alias(k) for k in (*RULES, *RANGES)))
-
-    def limit(name: str) -> Column:
-        q = lambda p: F.kll_sketch_get_quantile_double(name, F.lit(p))
-        if name in RULES:
-            times, least = RULES[name]
-            low, high = F.lit(0.0), F.greatest(F.lit(least), q(0.75) + times * (q(0.75) - q(0.5)))
-        else:
-            times, least, both = RANGES[name]
-            low = q(0.5) - times * F.greatest(q(0.5) - q(0.25), least * q(0.5))
-            high = q(0.5) + times * F.greatest(q(0.75) - q(0.5), least * q(0.5)) if both else F.lit(float("inf"))
-        return F.when(F.col("n") > 0, F.struct(low.alias("low"), high.alias("high")))
-
-    limits = lambda df, *by: df.select(*by, F.struct("n", *(limit(k).alias(k) for k in (*RULES, *RANGES))).alias("own"))
-    by_group = limits(groups, "lang", "source")
-    by_lang = limits(merged("lang"), F.col("lang").alias("l")).withColumnRenamed("own", "of_lang")
-    of_all = limits(merged(), F.lit(1).alias("one")).withColumnRenamed("own", "of_all")
-    joined = by_group.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").withColumn("one", F.lit(1)).join(of_all, "one", "left")
-    enough = lambda c: F.when(F.col(f"{c}.n") >= MIN_GROUP, F.col(c))
-    return joined.select("lang", "source", F.coalesce(enough("own"), enough("of_lang"), F.col("of_all")).alias("limits"))
-
-
-def judged(docs: DataFrame, limits: DataFrame, carry: list[Column], text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    few = small_or_not(limits.select(F.struct("lang", "source", "limits").alias("_q_group")), BROADCAST_GROUPS)
-    m = _measured(docs, text_col, *carry, F.col(lang_col).alias("_q_lang"), F.col(source_col).alias("_q_source"))
-    m = m.withColumn("_q_words", F.regexp_extract_all("_q_text", F.lit(WORD), F.lit(0)))
-    m = m.withColumn("n_words", F.size("_q_words").cast("long")).withColumn("word_chars", F.char_length(F.array_join("_q_words", "")).cast("long"))
-    m = m.withColumn("_q_windows", window_hashes(F.col("_q_words")))
-    m = m.withColumn("n_repeat_words", repeated_words(F.col("_q_windows"))).withColumn("n_dup_lines", F.col("lines.dup"))
-    m = m.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-    m = m.join(few, F.col("_q_lang").eqNullSafe(F.col("_q_group.lang")) & F.col("_q_source").eqNullSafe(F.col("_q_group.source")), "left")
+    merged = lambda *by: groups.groupBy(*by).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k, F.lit(KLL_K)).alias(k) for k in RULES))
+
+    def quartiles(df: DataFrame, name: str, *by: Column | str) -> DataFrame:
+        of = lambda k: F.array(*(F.kll_sketch_get_quantile_double(k, F.lit(p)) for p in (0.25, 0.5, 0.75))).alias(k)
+        return df.where("n > 0").select(*by, F.struct("n", *map(of, RULES)).alias(name))
+
+    def leaning(own: str, wider: Column, k: str) -> Column:
+        n = F.col(f"{own}.n")
+        return F.zip_with(F.col(f"{own}.{k}"), wider, lambda a, b: (n * a + PRIOR * b) / (n + PRIOR)).alias(k)
+
+    joined = (
+        quartiles(groups, "own", "lang", "source")
+        .join(quartiles(merged("lang"), "of_lang", F.col("lang").alias("l")), F.col("lang").eqNullSafe(F.col("l")))
+        .withColumn("one", F.lit(1)).join(quartiles(merged(), "of_all", F.lit(1).alias("one")), "one"))
+    joined = joined.select("*", *(leaning("of_lang", F.col(f"of_all.{k}"), k) for k in RULES))
+    joined = joined.select("lang", "source", *(leaning("own", F.col(k), k) for k in RULES))
+
+    def limit(k: str) -> Column:
+        below, above = RULES[k]
+        q1, q2, q3 = (F.get(k, F.lit(i)) for i in range(3))
+        low = F.lit(float("-inf")) if below is None else q2 - below * (q2 - q1)
+        high = F.lit(float("inf")) if above is None else q2 + above * (q3 - q2)
+        return F.struct(low.alias("low"), high.alias("high")).alias(k)
+
+    return joined.select("lang", "source", F.struct(*map(limit, RULES)).alias("limits"))
+
+
+def judged(measures: DataFrame, groups: DataFrame) -> DataFrame:
+    """``measures`` with ``kept``; ``groups`` are the sketches of their documents."""
+    limits = durable(thresholds(durable(groups, "quality-sketches")), "quality-limits")
+    few = small_or_not(limits.select(F.struct("lang", "source", "limits").alias("of")), BROADCAST_GROUPS)
+    m = measures.join(few, F.col("lang").eqNullSafe(F.col("of.lang")) & F.col("source").eqNullSafe(F.col("of.source")), "left")
     passes = F.lit(True)
-    for k, c in ratios().items():
-        passes = passes & F.coalesce(c.between(F.col(f"_q_group.limits.{k}.low"), F.col(f"_q_group.limits.{k}.high")), F.lit(True))
+    for k in RULES:
+        passes = passes & F.coalesce(F.col(k).between(F.col(f"of.limits.{k}.low"), F.col(f"of.limits.{k}.high")), F.lit(True))
     return m.withColumn("kept", ~F.col("base_failed") & passes)
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The measures and the verdict of every document."""
-    limits = durable(thresholds(durable(sketches(docs, text_col, lang_col, source_col), "quality-sketches")), "quality-limits")
-    return judged(docs, limits, [F.col(id_col).alias("doc_id")], text_col, lang_col, source_col).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    """The measures and the verdict of every document; each text is read once."""
+    m = durable(measured(docs, [F.col(id_col).alias("doc_id")], text_col, lang_col, source_col), "quality-measures")
+    return judged(m, sketches(m)).select(
+        "own.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    limits = durable(thresholds(durable(sketches(docs, text_col, lang_col, source_col), "quality-sketches")), "quality-limits")
-    whole = F.struct(*(F.col(c) for c in docs.columns)).alias("_q_doc")
-    return judged(docs, limits, [whole], text_col, lang_col, source_col).where("kept").select("_q_doc.*")
+    """The documents that are kept, with their own columns. The sketches take a pass of their own
+    over the cheap measures, so that no text is written with them."""
+    m = measured(docs, [F.col(f"`{c}`") for c in docs.columns], text_col, lang_col, source_col)
+    return judged(m, sketches(m)).where("kept").select("own.*")
