@@ -204,17 +204,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_root = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = rooted.join(of_root, "root").select("fp", "component_id")
     return fps.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows with the smallest id of their component, with their own columns; of a component
-    without any id, one row. Rows are told apart by a number written with them, not by their ids."""
-    rows = durable(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
-    no_id = F.col(id_col).isNull()
-    rank = F.struct(no_id.alias("no_id"), F.col(id_col).alias("id"), F.when(no_id, F.col("_row")).alias("nth"), F.col("_row").alias("at"))
-    found = near_duplicates(rows.select(rank.alias("rank"), text_col), "rank", text_col, shingle)
-    stays = F.lit(True)
-    for k in ("no_id", "id", "nth"):
-        stays = stays & F.col(f"doc_id.{k}").eqNullSafe(F.col(f"component_id.{k}"))
-    gone = durable(found.where(~stays).select(F.col("doc_id.at").alias("_gone")), "simhash-dropped")
-    return rows.join(small_or_not(gone, BROADCAST_IDS), F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)

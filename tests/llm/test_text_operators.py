@@ -1,7 +1,9 @@
 """Operators 2, 3, 5, 6 and 7 against plain versions of the same rules."""
 
+import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -126,17 +128,51 @@ def test_quality_measures(spark, sf, texts):
     assert quality_rules.quality(odd_rows(spark).limit(0)).count() == 0
 
 
+def plain_limits(docs):
+    """Verdicts by exact quartiles: {doc_id: kept}."""
+    logs = lambda t: [x for x in t.split("\n") if BLANK.search(x)]
+    own, verdict = defaultdict(list), {}
+    for d, t, lang, source in docs:
+        t = t or ""
+        n, chars, symbols, dup, _, failed = plain_quality(t)
+        m = (math.log((symbols + 1) / (n + 10)), math.log((t.count("!") + 1) / (n + 10)), math.log((dup + 1) / (len(logs(t)) + 10)),
+             chars / max(n, 1), sum(c.isalpha() or unicodedata.category(c)[0] == "M" for c in t) / max(chars, 1))
+        verdict[d] = [lang, source, m, failed]
+        if n:
+            own[lang, source].append(m)
+    of = lambda rows: (len(rows), np.quantile(np.array(rows), [0.25, 0.5, 0.75], axis=0, method="inverted_cdf"))
+    lean = lambda a, b: (a[0] * a[1] + 50 * b) / (a[0] + 50)
+    all_ = of([m for rows in own.values() for m in rows])
+    langs = {k: lean(of([m for (x, _), rows in own.items() if x == k for m in rows]), all_[1]) for k in {x for x, _ in own}}
+    groups = {k: lean(of(rows), langs[k[0]]) for k, rows in own.items()}
+    for d, (lang, source, m, failed) in verdict.items():
+        passes = not failed
+        for k, (below, above) in enumerate(quality_rules.RULES.values()):
+            q1, q2, q3 = groups[lang, source][:, k] if passes else (0, 0, 0)
+            passes = passes and (below is None or m[k] >= q2 - below * (q2 - q1)) and (above is None or m[k] <= q2 + above * (q3 - q2))
+        verdict[d] = passes
+    return verdict
+
+
+def test_quality_verdicts_equal_exact_quartiles(spark, sf):
+    """Sketches of under 200 values are exact; larger groups are off by a rank or two in a hundred."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = plain_limits([tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()])
+    got = {r.doc_id: r.kept for r in quality_rules.quality(docs).collect()}
+    assert sum(want[k] != v for k, v in got.items()) <= 0.005 * len(got)
+
+
 def test_quality_limits_follow_the_group(spark):
     """One document in two groups: ordinary in one, far from the others in the other."""
     rng = random.Random(6)
     text = lambda n, m, extra="": " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(n, m))) for _ in range(80)) + extra
-    same = {1: text(3, 5), 2: text(9, 12), 3: text(3, 5, " #$" * 6)}
-    rows = [(1000 + i, text(3, 5), "en", "short", 0) for i in range(60)] + [(2000 + i, text(9, 12), "en", "long", 0) for i in range(60)]
-    rows += [(3000 + i, text(3, 5, " #$" * (i % 10)), "en", "signs", 0) for i in range(60)]
-    rows += [(10 * k + j, t, "en", s, 0) for k, t in same.items() for j, s in enumerate(("short", "long", "signs"))]
+    same = {1: text(3, 5), 2: text(12, 15), 3: text(3, 5, " #$" * 9)}
+    rows = [(1000 + i, text(3, 5), "en", "short", 0) for i in range(400)] + [(2000 + i, text(12, 15), "de", "long", 0) for i in range(400)]
+    rows += [(3000 + i, text(3, 5, " #$" * (i % 10)), "fr", "signs", 0) for i in range(400)]
+    rows += [(10 * k + j, t, lang, s, 0) for k, t in same.items() for j, (lang, s) in enumerate((("en", "short"), ("de", "long"), ("fr", "signs")))]
     kept = {r.doc_id for r in quality_rules.quality(spark.createDataFrame(rows, SCHEMA)).where("kept").collect()}
-    assert {k for k in kept if k < 1000} == {10, 12, 21, 32}
-    assert len(kept) == 184
+    assert {10, 12, 21, 32} <= kept and not kept & {11, 20, 22, 30, 31}
+    assert len(kept) > 1180
 
 
 def plain_fingerprint(t):
@@ -202,19 +238,9 @@ def test_golay_links_crowded_keys(spark):
 def test_simhash_odd_rows(spark):
     got = [tuple(r) for r in simhash.near_duplicates(odd_rows(spark)).collect()]
     assert len(got) == 8 and {g[2] for g in got if g[1] == "0" * 16} == {1}
-    kept = [r.doc_id for r in simhash.one_of_each(odd_rows(spark)).collect()]
-    assert sorted(kept, key=str) == [1, 3, 4, 4, 6, None]
     assert simhash.near_duplicates(odd_rows(spark).limit(0)).count() == 0
 
 
-def test_one_of_each_tells_rows_apart(spark):
-    """Null ids and repeated ids with different texts: only rows whose component keeps another go."""
-    text = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(5)]
-    rows = [(3, text[0]), (5, text[0]), (5, text[1]), (None, text[0]), (None, text[2]), (None, text[3]), (None, text[3]), (7, text[4])]
-    got = simhash.one_of_each(spark.createDataFrame([(i, t, "en", str(n), 0) for n, (i, t) in enumerate(rows)], SCHEMA)).collect()
-    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(3, text[0]), (5, text[1]), (0, text[2]), (0, text[3]), (7, text[4])])
-
-
 def luhn(d):
     v = [int(c) for c in d][::-1]
     return (sum(v[::2]) + sum(sum(divmod(2 * x, 10)) for x in v[1::2])) % 10 == 0
