@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuesheet.llm import mixing, packing, pii, quality_rules, simhash
+from cuesheet.llm import mixing, packing, pii, quality_rules, similar_texts
 from cuesheet.llm.common import durable
 from cuesheet.llm.queries import _vocabulary
 
@@ -19,7 +19,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return similar_texts.one_of_each(docs)
 
 
 def privacy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
