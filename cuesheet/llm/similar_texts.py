@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import durable, small_or_not
 from .components import connected_components
+from .meeting import glanced, runs
 from .simhash import BROADCAST_IDS, codeword_keys
 
 SHINGLE = 5
@@ -45,9 +46,9 @@ SEGMENT, SEGMENTS = 23, 22
 MEET = 0.6037
 #: Bits of the last word in which rows of a key may differ to be looked at closely; at 0.8 one pair in 2,000 differs in more.
 GLANCE = 19
-#: Rows of a key beyond which all are looked at closely, and beyond which (estimated) it is dealt as blocks.
-MANY, CROWDED = 512, 4096
-THIN, HUBS, BROADCAST_KEYS = 64, 64, 100_000
+#: Rows of a key (estimated on every ``THIN``-th fingerprint) from which on it is dealt as blocks.
+CROWDED, THIN = 4096, 64
+HUBS, BROADCAST_KEYS = 64, 100_000
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 
@@ -135,8 +136,8 @@ def wide_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {id_type}, fp binary")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, WIDE)
+def _words(fp: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WIDE)
 
 
 def segments(fp: np.ndarray) -> np.ndarray:
@@ -150,7 +151,7 @@ def _keyed(bits: int, tables: int):
         for b in batches:
             for lo in range(0, b.num_rows, 2048):
                 part = b.slice(lo, 2048)
-                node, fp = part.column(0).to_numpy(zero_copy_only=False), _matrix(part.column(1))
+                node, fp = part.column(0).to_numpy(zero_copy_only=False), _words(part.column(1).to_pylist())
                 seg, glance = segments(fp), fp[:, -1].view(np.int64)
                 for t in range(tables):
                     own, other = t % SEGMENTS, (t + 1 + t // SEGMENTS) % SEGMENTS
@@ -162,40 +163,6 @@ def _keyed(bits: int, tables: int):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, list]]:
-    """Whole runs of rows that agree in the first ``width`` columns (integers), many runs at a
-    time: where each run starts, and all columns."""
-    rest = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = [c.to_numpy(zero_copy_only=False) if pa.types.is_integer(c.type) else _matrix(c) for c in b.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-        new = np.any([c[1:] != c[:-1] for c in cols[:width]], axis=0)
-        start = np.r_[0, np.flatnonzero(new) + 1]
-        if len(start) > 1:
-            yield start[:-1], [c[:start[-1]] for c in cols]
-        rest = [c[start[-1]:] for c in cols]
-    if rest is not None:
-        yield np.zeros(1, np.int64), rest
-
-
-def _glanced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those with a partner in their key that the last word does not tell apart."""
-    for start, (key, node, glance) in _runs(batches, 1):
-        size = np.diff(np.r_[start, len(key)])
-        stays = np.repeat(size > MANY, size)
-        word = glance.view(np.uint64)
-        for d in range(1, min(int(size.max()), MANY)):
-            at = np.flatnonzero(key[d:] == key[:-d])
-            if not len(at):
-                break
-            at = at[np.bitwise_count(word[at] ^ word[at + d]) <= GLANCE]
-            stays[at] = stays[at + d] = True
-        yield pa.RecordBatch.from_arrays([pa.array(key[stays]), pa.array(node[stays])], ["key", "node"])
-
-
 def walk(fp: np.ndarray, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Links (two lists of row numbers) that connect rows exactly as all pairs within ``most`` bits do."""
     a, b, left, ahead = [], [], np.arange(1, len(fp)), [0]
@@ -217,8 +184,8 @@ def walk(fp: np.ndarray, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]
 def _walked(most: int, width: int):
     """Links inside the runs of rows sorted by the first ``width`` columns, which node and fp follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, cols in _runs(batches, width):
-            node, fp = cols[width:]
+        for start, cols in runs(batches, width):
+            node, fp = cols[width], _words(cols[width + 1])
             one, two = [], []
             for lo, hi in zip(start, np.r_[start[1:], len(node)], strict=True):
                 if hi - lo > 1:
@@ -234,7 +201,8 @@ def _walked(most: int, width: int):
 def _across(most: int):
     """Links between rows of side 1 and side 0 in the runs of (key, block)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, (_, _, side, node, fp) in _runs(batches, 2):
+        for start, (_, _, side, node, fp) in runs(batches, 2):
+            fp = _words(fp)
             for lo, hi in zip(start, np.r_[start[1:], len(node)], strict=True):
                 all_, asked = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
                 for x in asked:
@@ -256,7 +224,7 @@ def similar_links(classes: DataFrame, most: int, recall: float = RECALL) -> Data
     few = small_or_not(hot, BROADCAST_KEYS)
     fps = classes.select("node", "fp")
     plain = keyed.join(few.select("hot_key"), F.col("key") == F.col("hot_key"), "left_anti")
-    close = durable(plain.repartition("key").sortWithinPartitions("key").mapInArrow(_glanced, "key long, node long"), "similar-close")
+    close = durable(plain.repartition("key").sortWithinPartitions("key").mapInArrow(glanced(1, GLANCE), "key long, node long"), "similar-close")
     close = close.join(fps, "node").select("key", "node", "fp").repartition("key").sortWithinPartitions("key")
     links = durable(close.mapInArrow(_walked(most, 1), "a long, b long").distinct(), "similar-links")
     if hot.isEmpty():

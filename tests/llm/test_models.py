@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from cuesheet.llm import crf_quality, embedding_dedup, lbl_lm, queries
 
@@ -84,6 +85,8 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     x = np.concatenate([base, near, crowd, near[:5], base[:3] * 7]).astype(np.float32)
     rows = [(i, v.tolist(), 7 if i % 9 else 8) for i, v in enumerate(x)]
     monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
+    monkeypatch.setattr(embedding_dedup, "CROWDED", 60)
+    monkeypatch.setattr(embedding_dedup, "THIN", 1)
     odd = [(1000, None, 7), (1001, [0.0] * 32, 7), (1002, [float("nan")] + [1.0] * 31, 7), (1003, rows[0][1], None), (1004, [], 7), (1005, [1.0, 0.0], 7)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
     got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
@@ -96,12 +99,34 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 256])
+def test_embedding_recall_at_the_threshold(spark, dim):
+    """Planted groups whose pairs lie on both sides of the threshold, at the real widths of keys."""
+    rng = np.random.default_rng(dim)
+    base = rng.normal(size=(2000, dim))
+    near = np.concatenate([base[:400] + rng.normal(size=(400, dim)) * s for s in (0.1, 0.15, 0.19, 0.2, 0.21)] + [base[500] + rng.normal(size=(300, dim)) * 0.13])
+    x = np.concatenate([base, near]).astype(np.float32)
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(x)]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    want = plain_links(rows)
+    total, found = sum(n for n, _ in want.values()), sum(got[k].n_links for k in want)
+    assert 0 <= total - found <= 0.001 * total and total > 1000
+    assert sum(got[k].component_id != c for k, (_, c) in want.items()) <= 0.001 * len(want)
+
+
+def test_units_name_few_rows():
+    """A close group's unit gives a row for each vector, not for each pair, and connects it."""
+    assert embedding_dedup.connected(6, np.array([1, 2, 4]), np.array([2, 3, 5])).tolist() == [0, 1, 1, 1, 4, 4]
+    chain = np.arange(999)
+    assert (embedding_dedup.connected(1000, chain, chain + 1) == 0).all()
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, 64))
     x[200:] = x[:200] + rng.normal(size=(200, 64)) * rng.uniform(0.05, 2, size=(200, 1))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    q, f, _ = embedding_dedup.encode(x)
+    q, f = embedding_dedup.encode(x)
     value, bound = embedding_dedup.estimates(q[:200], f[:200], q[200:], f[200:])
     error = value - x[:200] @ x[200:].T
     assert abs(error.mean()) < 0.01 and (np.abs(error) <= bound).all()
