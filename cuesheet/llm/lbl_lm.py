@@ -1,24 +1,27 @@
 """Log-bilinear language model trained by noise-contrastive estimation (operator 10).
 
 Tokens are lower-cased words and one end per text. Counts of all training tokens are gathered once
-(``word, n``). The model predicts classes: the ``WORDS`` most frequent tokens are classes of their
-own, other words share the class of their last three bytes (the ``SUFFIXES`` heaviest endings; the
-rest share one). With d-vectors A, B of the two classes before and R of the class itself,
+(``word, n``). The model predicts classes, whose number K grows with the corpus: six for each square
+root of the words seen ``OWN`` times or more. Half of them are the most frequent tokens themselves, the
+others the heaviest endings of three bytes of all other words (and one class for the rest). With
+d-vectors A of the class one before, B of the token two before (one of ``COARSE`` frequent ones, or any
+other) and R of the class itself,
 
     P(class | before) = softmax(R . (A[c1] + B[c2]) + b),   P(word | class) = (n + 0.1) / mass(class)
 
 where mass sums n + 0.1 over the words of the class and one unseen word, so the token probabilities
-are normalised. Training statistics are the counts of all (c2, c1, class) triples of the corpus, at
-most ``(K + 1)^2 K`` cells in ``TASKS`` partitions. In each round every partition runs minibatches of
-noise-contrastive estimation in numpy on its cells, and the driver averages the parameters. The log
-normalisers of all context pairs come from batched matrix products, once; scoring a token is a look-up.
+are normalised. Every training token is an example in each of ``ROUNDS`` passes or more: a task counts the
+triples of its texts, ``CHUNK`` tokens at a time, and runs minibatches of noise-contrastive estimation in
+numpy over all of them, weighted by their counts; the tasks' parameters are averaged by a shuffle of
+their blocks. The log normalisers of all contexts come from batched matrix products, a task for each c2;
+scoring a token is a look-up.
 
 Counts of at most ``HEAD`` frequent words travel to the tasks (a bounded table); rarer words are
 joined with the full counts by a shuffle on the word, so any vocabulary works.
 
 Defined cases: a null text is empty (its end token is scored); a null id counts as held out; repeated
-rows are scored each; with no training tokens the counts are zero and base and model agree; an empty
-table gives an empty result.
+rows are scored each; texts are read whole, however long; with no training tokens the counts are zero and
+base and model agree; columns of any other name are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,12 +41,17 @@ from .common import durable
 
 FOLDS = 10
 SMOOTH = 0.1
-WORDS, SUFFIXES = 256, 255
-K = WORDS + SUFFIXES + 1
-#: Class of the context before the text; only ever a context.
-START = K
-HEAD = 100_000
-DIM, TASKS, ROUNDS, STEPS, BATCH, NOISE, RATE = 24, 8, 3, 300, 1024, 96, 0.15
+#: A word of so many occurrences counts towards the number of classes.
+OWN = 8
+COARSE = 128
+HEAD = 400_000
+DIM, NOISE, RATE = 24, 48, 0.3
+#: Tokens whose triples a task holds, and minibatches that these make.
+CHUNK, STEPS = 2_000_000, 1000
+#: Passes over all training tokens, and tokens of a corpus below which there are more (up to five times as many).
+ROUNDS, ENOUGH = 2, 10_000_000
+#: Parameters of a block that is averaged as one row.
+BLOCK = 65_536
 #: The end token; no word can hold a line feed.
 END = b"\n"
 #: Distinct words that a task holds before it passes their counts on.
@@ -86,17 +94,14 @@ def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
 class Classes:
     """Class of each token, and what a token adds within its class."""
 
+    k: int
     total: int
     distinct: int
-    word_class: dict[bytes, int]
     suffix_class: dict[bytes, int]
     mass: np.ndarray
     head: dict[bytes, int]
     head_n: np.ndarray
-
-    def class_of(self, word: bytes) -> int:
-        c = self.word_class.get(word)
-        return self.suffix_class.get(word[-3:], K - 1) if c is None else c
+    head_class: np.ndarray
 
     @property
     def base_mass(self) -> float:
@@ -122,23 +127,26 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
 def gather_classes(counts: DataFrame) -> Classes:
     """Classes and the bounded tables that tasks get, from the written counts of all words."""
     top = frequent(counts, HEAD)
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    singles = [END] + [w for w, _ in top if w != END][:WORDS - 1]
+    total, distinct, own = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") >= OWN, 1))).first()
+    k = 128 + 6 * math.isqrt(own)
+    singles = [END] + [w for w, _ in top if w != END][:k // 2 - 1]
     word_class = {w: i for i, w in enumerate(singles)}
-    rest = counts.where(~F.col("word").isin([bytearray(w) for w in singles]))
+    alone = counts.sparkSession.createDataFrame([(bytearray(w),) for w in singles], "word binary")
+    rest = counts.join(F.broadcast(alone), "word", "left_anti")  # k / 2 rows
     ending = F.when(F.length("word") > 3, F.expr("substring(word, -3)")).otherwise(F.col("word")).alias("ending")
     endings = durable(rest.groupBy(ending).agg(F.sum("n").alias("n"), F.count("*").alias("types")), "lm-endings")
-    best = endings.orderBy(F.desc("n"), "ending").limit(SUFFIXES).collect()
-    suffix_class = {bytes(r.ending): WORDS + i for i, r in enumerate(best)}
+    best = endings.orderBy(F.desc("n"), "ending").limit(k - len(singles) - 1).collect()
+    suffix_class = {bytes(r.ending): len(singles) + i for i, r in enumerate(best)}
     known = dict(top)
-    mass = np.full(K, SMOOTH)
+    mass = np.full(k, SMOOTH)
     for w, c in word_class.items():
         mass[c] = known.get(w, 0) + SMOOTH  # the only word of its class
     for r in best:
         mass[suffix_class[bytes(r.ending)]] += r.n + SMOOTH * r.types
     n_rest, types_rest = endings.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    mass[K - 1] += n_rest - sum(r.n for r in best) + SMOOTH * (types_rest - sum(r.types for r in best))
-    return Classes(int(total), int(distinct), word_class, suffix_class, mass, {w: i for i, (w, _) in enumerate(top)}, np.array([n for _, n in top], float))
+    mass[k - 1] += n_rest - sum(r.n for r in best) + SMOOTH * (types_rest - sum(r.types for r in best))
+    classes = np.array([c if (c := word_class.get(w)) is not None else suffix_class.get(w[-3:], k - 1) for w, _ in top] + [0], np.int64)
+    return Classes(k, int(total), int(distinct), suffix_class, mass, {w: i for i, (w, _) in enumerate(top)}, np.array([n for _, n in top], float), classes)
 
 
 class _Codes(dict):
@@ -146,11 +154,12 @@ class _Codes(dict):
 
     def __init__(self, c: Classes):
         super().__init__(c.head)
-        self.suffix_class, self.word_class = c.suffix_class, c.word_class
+        self.suffix_class, self.rest = c.suffix_class, c.k - 1
+        if END not in self:  # nothing to learn from: the end has a class of its own all the same
+            self[END] = -1
 
     def __missing__(self, word: bytes) -> int:
-        c = self.word_class.get(word)
-        return -1 - (self.suffix_class.get(word[-3:], K - 1) if c is None else c)
+        return -1 - self.suffix_class.get(word[-3:], self.rest)
 
 
 def encode_corpus(docs: DataFrame, classes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,8 +188,8 @@ def encode_corpus(docs: DataFrame, classes, id_col: str = "doc_id", text_col: st
     return rows.mapInArrow(run, f"doc_id {id_type}, held_out boolean, uid long, codes array<int>, rare map<binary,bigint>")
 
 
-def head_classes(c: Classes) -> np.ndarray:
-    return np.array([*(c.class_of(w) for w in c.head), 0], np.int64)
+def classes_of(codes: np.ndarray, c: Classes) -> np.ndarray:
+    return np.where(codes >= 0, c.head_class[np.maximum(codes, -1)], -1 - codes)
 
 
 def flat_codes(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,135 +198,157 @@ def flat_codes(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), (offsets[:-1] - offsets[0]).astype(np.int64)
 
 
-def contexts(cls: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Classes one and two tokens before each token, START before a text."""
-    one, two = np.roll(cls, 1), np.roll(cls, 2)
-    one[starts] = START
-    two[starts] = START
-    two[starts[starts + 1 < len(cls)] + 1] = START
+def contexts(cls: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Class one token before each token, and the coarse one two before; k and ``COARSE`` before a text."""
+    one, two = np.roll(cls, 1), np.minimum(np.roll(cls, 2), COARSE - 1)
+    one[starts] = k
+    two[starts] = COARSE
+    two[starts[starts + 1 < len(cls)] + 1] = COARSE
     return one, two
 
 
-def cell_counts(encoded: DataFrame, classes) -> DataFrame:
-    """``cell, n``: counts of (c2, c1, class) over all tokens of the training texts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, parts, held = head_classes(classes.value), [], 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if parts:
-                cells, n = np.unique(np.concatenate(parts), return_counts=True)
-                for lo in range(0, len(cells), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(cells[lo:lo + 100_000]), pa.array(n[lo:lo + 100_000])], ["cell", "n"])
-                parts.clear()
-
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                codes, starts = flat_codes(b.column(0).slice(lo, 512))
-                cls = np.where(codes >= 0, head[np.maximum(codes, -1)], -1 - codes)
-                one, two = contexts(cls, starts)
-                parts.append((two * (K + 1) + one) * K + cls)
-                held += len(cls)
-                if held > 4_000_000:
-                    yield from out()
-                    held = 0
-        yield from out()
-
-    return encoded.where("not held_out").select("codes").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-
-
 @dataclass
 class Model:
+    """A: (k + 1, d); B: (COARSE + 1, d); R: (k, d); b: (k); log_z: (COARSE + 1, k + 1)."""
+
     a: np.ndarray
     b: np.ndarray
     r: np.ndarray
     bias: np.ndarray
     log_z: np.ndarray | None = None
 
-    def normalise(self) -> Model:
-        """Log normalisers of all context pairs, by batched matrix products."""
-        z = np.empty((K + 1, K + 1), np.float32)
-        for two in range(K + 1):
-            s = (self.a + self.b[two]) @ self.r.T + self.bias
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in (self.a, self.b, self.r, self.bias)])
+
+    def like(self, flat: np.ndarray) -> Model:
+        parts = np.split(flat, np.cumsum([self.a.size, self.b.size, self.r.size]))
+        return Model(*(x.reshape(y.shape) for x, y in zip(parts, (self.a, self.b, self.r, self.bias), strict=True)))
+
+    def log_z_of(self, two: int) -> np.ndarray:
+        """Log normalisers of all contexts with ``two``, by batched matrix products."""
+        z = np.empty(len(self.a), np.float32)
+        for lo in range(0, len(z), 1024):
+            s = (self.a[lo:lo + 1024] + self.b[two]) @ self.r.T + self.bias
             m = s.max(axis=1)
-            z[two] = m + np.log(np.exp(s - m[:, None]).sum(axis=1))
-        self.log_z = z
-        return self
+            z[lo:lo + 1024] = m + np.log(np.exp(s - m[:, None]).sum(axis=1))
+        return z
 
     def log_prob(self, cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log of P(class | before) for each token of texts that begin at ``starts``."""
-        one, two = contexts(cls, starts)
+        one, two = contexts(cls, starts, len(self.r))
         return np.einsum("ij,ij->i", self.a[one] + self.b[two], self.r[cls]) + self.bias[cls] - self.log_z[two, one]
 
 
 def initial(mass: np.ndarray, seed: int = 10) -> Model:
     rng = np.random.default_rng(seed)
-    small = lambda n: rng.normal(0, 0.1, (n, DIM))
-    return Model(small(K + 1), small(K + 1), small(K), np.log(mass / mass.sum()))
-
-
-def nce_steps(model: Model, noise: np.ndarray, cells: np.ndarray, n: np.ndarray, steps: int, seed: int) -> Model:
-    """Minibatch noise-contrastive estimation with AdaGrad; examples are drawn by their counts."""
-    rng = np.random.default_rng(seed)
-    upto, noise_upto = np.cumsum(n), np.cumsum(noise)
-    p = [model.a.copy(), model.b.copy(), model.r.copy(), model.bias.copy()]
-    sums = [np.full_like(x, 1e-2) for x in p]
-    log_kq = np.log(NOISE * noise)
-    target, before = cells % K, cells // K
-    one, two = before % (K + 1), before // (K + 1)
-
-    def move(k: int, rows: np.ndarray, grad: np.ndarray) -> None:
-        where, back = np.unique(rows, return_inverse=True)
-        g = np.zeros((len(where), *grad.shape[1:]))
-        np.add.at(g, back, grad)
-        sums[k][where] += g * g
-        p[k][where] += RATE * g / np.sqrt(sums[k][where])
-
-    for _ in range(steps):
-        at = np.minimum(np.searchsorted(upto, rng.random(BATCH) * upto[-1], side="right"), len(cells) - 1)
-        c1, c2, t = one[at], two[at], target[at]
-        s = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE) * noise_upto[-1], side="right"), K - 1)
-        h = p[0][c1] + p[1][c2]
-        true = np.einsum("ij,ij->i", h, p[2][t]) + p[3][t] - log_kq[t]
-        false = h @ p[2][s].T + p[3][s] - log_kq[s]
-        gt = 1 / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - P(data | true word)
-        gf = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        gh = gt[:, None] * p[2][t] + gf @ p[2][s]
-        gr, gs = gt[:, None] * h, gf.T @ h
-        move(0, c1, gh / BATCH)
-        move(1, c2, gh / BATCH)
-        move(2, np.r_[t, s], np.concatenate([gr, gs]) / BATCH)
-        move(3, np.r_[t, s], np.r_[gt, gf.sum(axis=0)] / BATCH)
-    return Model(*p)
-
-
-def train_model(cells: DataFrame, mass: np.ndarray) -> Model:
-    """Rounds of local estimation in ``TASKS`` tasks; the driver averages ``TASKS`` models of fixed size."""
-    sc = cells.sparkSession.sparkContext
-    model, noise = initial(mass), mass / mass.sum()
-    dealt = durable(cells.repartition(TASKS, "cell"), "lm-cells")
-    for round_ in range(ROUNDS):
-        sent = sc.broadcast((model, noise, round_))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            start, q, nth = sent.value
-            got = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
-            if got:
-                part, n = (np.concatenate(x) for x in zip(*got, strict=True))
-                order = np.argsort(part)
-                part, n = part[order], n[order]
-                m = nce_steps(start, q, part, n, STEPS, 1000 * nth + int(part[0] % 997))
-                flat = np.concatenate([x.ravel() for x in (m.a, m.b, m.r, m.bias)])
-                yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())]), pa.array([flat.tobytes()], pa.binary())], ["n", "flat"])
-
-        got = dealt.repartition(TASKS, "cell").mapInArrow(run, "n long, flat binary").collect()
+    small = lambda n: rng.normal(0, 0.1, (n, DIM)).astype(np.float32)
+    return Model(small(len(mass) + 1), small(COARSE + 1), small(len(mass)), np.log(mass / mass.sum()).astype(np.float32))
+
+
+class Trainer:
+    """Minibatch noise-contrastive estimation with AdaGrad, from a copy of a model."""
+
+    def __init__(self, model: Model, noise: np.ndarray, seed: int):
+        self.p = [model.a.copy(), model.b.copy(), model.r.copy(), model.bias.copy()]
+        self.sums = [np.full_like(x, 1e-2) for x in self.p]
+        self.k, self.noise_upto, self.log_kq = len(noise), np.cumsum(noise), np.log(NOISE * noise).astype(np.float32)
+        self.rng = np.random.default_rng(seed)
+
+    def move(self, which: int, rows: np.ndarray, grad: np.ndarray) -> None:
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        g, rows = np.add.reduceat(grad[order], first, axis=0), rows[first]
+        self.sums[which][rows] += g * g
+        self.p[which][rows] += RATE * g / np.sqrt(self.sums[which][rows])
+
+    def step(self, one: np.ndarray, two: np.ndarray, t: np.ndarray, weight: np.ndarray) -> None:
+        a, b, r, bias = self.p
+        s = np.minimum(np.searchsorted(self.noise_upto, self.rng.random(NOISE) * self.noise_upto[-1], side="right"), self.k - 1)
+        h, rt, rs = a[one] + b[two], r[t], r[s]
+        true = np.einsum("ij,ij->i", h, rt) + bias[t] - self.log_kq[t]
+        false = h @ rs.T + bias[s] - self.log_kq[s]
+        gt = weight / (1 + np.exp(np.clip(true, -30, 30)))  # 1 - P(data | true word)
+        gf = -weight[:, None] / (1 + np.exp(-np.clip(false, -30, 30)))
+        gh = gt[:, None] * rt + gf @ rs
+        self.move(0, one, gh)
+        self.move(1, two, gh)
+        self.move(2, np.r_[t, s], np.concatenate([gt[:, None] * h, gf.T @ h]))
+        self.move(3, np.r_[t, s], np.r_[gt, gf.sum(axis=0)])
+
+    def learn(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> None:
+        """All given tokens, equal triples as one example of their weight, in random order."""
+        cells, n = np.unique((two * (self.k + 1) + one) * self.k + cls, return_counts=True)
+        order = self.rng.permutation(len(cells))
+        size = max(64, len(cells) // STEPS)
+        for lo in range(0, len(cells), size):
+            at = order[lo:lo + size]
+            c, w = cells[at], n[at].astype(np.float32)
+            before = c // self.k
+            self.step(before % (self.k + 1), before // (self.k + 1), c % self.k, w / w.sum())
+
+
+def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
+    """``ROUNDS`` passes or more over all training texts; tasks are those that read the table, but fewer
+    where a task would have under ``CHUNK`` tokens."""
+    sc = encoded.sparkSession.sparkContext
+    model, noise = initial(classes.mass), (classes.mass / classes.mass.sum())
+    texts = encoded.where("not held_out").select("codes").coalesce(max(1, math.ceil(classes.total / CHUNK)))
+    for nth in range(ROUNDS + min(4 * ROUNDS, ENOUGH // max(1, classes.total))):
+        sent = sc.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, nth=nth) -> Iterator[pa.RecordBatch]:
+            c, held, seen, total = sent_classes.value, [], 0, 0
+            trainer = Trainer(sent.value, noise, 1000 * nth + TaskContext.get().partitionId())
+
+            def learn() -> None:
+                if held:
+                    trainer.learn(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held.clear()
+
+            for b in batches:
+                for lo in range(0, b.num_rows, 512):
+                    codes, starts = flat_codes(b.column(0).slice(lo, 512))
+                    if not len(codes):
+                        continue
+                    cls = classes_of(codes, c)
+                    held.append((*contexts(cls, starts, c.k), cls))
+                    seen, total = seen + len(cls), total + len(cls)
+                    if seen >= CHUNK:
+                        learn()
+                        seen = 0
+            learn()
+            if total:
+                flat = Model(*trainer.p).flat()
+                parts = [flat[lo:lo + BLOCK].tobytes() for lo in range(0, len(flat), BLOCK)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([total] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "n", "part"])
+
+        def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, list] = {}
+            for b in batches:
+                for block, n, part in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                    own = sums.setdefault(block, [0, 0.0])
+                    own[0] += n
+                    own[1] = own[1] + n * np.frombuffer(part, np.float32).astype(np.float64)
+            for block, (n, x) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([n]), pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())], ["block", "n", "part"])
+
+        form = "block int, n long, part binary"
+        got = sorted((r.block, r.part) for r in texts.mapInArrow(run, form).repartition("block").mapInArrow(mean, form).collect())
         if got:
-            w = np.array([r.n for r in got], float)
-            flat = sum(x * np.frombuffer(r.flat) for x, r in zip(w / w.sum(), got, strict=True))
-            sizes = np.cumsum([model.a.size, model.b.size, model.r.size])
-            a, b, r, bias = np.split(flat, sizes)
-            model = Model(a.reshape(K + 1, DIM), b.reshape(K + 1, DIM), r.reshape(K, DIM), bias)
+            model = model.like(np.concatenate([np.frombuffer(p, np.float32) for _, p in got]))
         sent.unpersist()
-    return model.normalise()
+
+    sent = sc.broadcast(model)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for two in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([two]), pa.array([sent.value.log_z_of(two).tobytes()], pa.binary())], ["two", "z"])
+
+    z = sorted((r.two, r.z) for r in encoded.sparkSession.range(COARSE + 1).mapInArrow(rows, "two long, z binary").collect())
+    model.log_z = np.stack([np.frombuffer(x, np.float32) for _, x in z])
+    return model
 
 
 def score_texts(encoded: DataFrame, counts: DataFrame, classes: Classes, model: Model) -> DataFrame:
@@ -327,14 +358,12 @@ def score_texts(encoded: DataFrame, counts: DataFrame, classes: Classes, model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, m = sent.value
-        head = head_classes(c)
         log_base = np.r_[np.log10((c.head_n + SMOOTH) / c.base_mass), 0.0]
         shift = np.log10(c.base_mass / c.mass)  # from the base to within a class
         for b in batches:
             for lo in range(0, b.num_rows, 128):
                 codes, starts = flat_codes(b.column(1).slice(lo, 128))
-                known = codes >= 0
-                cls = np.where(known, head[np.maximum(codes, -1)], -1 - codes)
+                known, cls = codes >= 0, classes_of(codes, c)
                 base = np.where(known, log_base[np.maximum(codes, -1)], 0.0)
                 score = base + m.log_prob(cls, starts) / math.log(10) + shift[cls]
                 sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, score)]
@@ -361,5 +390,4 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = gather_classes(counts)
     sent = docs.sparkSession.sparkContext.broadcast(classes)
     encoded = durable(encode_corpus(docs, sent, id_col, text_col), "lm-corpus")
-    cells = durable(cell_counts(encoded, sent), "lm-triples")
-    return score_texts(encoded, counts, classes, train_model(cells, classes.mass))
+    return score_texts(encoded, counts, classes, train_model(encoded, classes, sent))
