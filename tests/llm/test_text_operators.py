@@ -49,7 +49,7 @@ def test_chunked_counts_equal_whole_ones():
     made = ["a" * 3000, "ab " * 900, "  \n x" * 500, "字" * 1500, "▁ ▁▁x " * 300, " " * 2000, "the\n\n\n quick" * 200]
     made += ["".join(rng.choice("ab  \n\té字▁.,1") for _ in range(1500)) for _ in range(20)]
     for t in made:
-        assert parts.count(t) == whole.count_whole(t) == whole.count(t)
+        assert parts.count_spliced(t) == parts.count(t) == whole.count_whole(t) == whole.count(t)
 
 
 def test_packing(spark, sf, texts):
