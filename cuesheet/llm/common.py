@@ -19,16 +19,24 @@ _TABLES: dict[str, list[str]] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary one made."""
+    Only a session that runs in one process (tests) may leave it unset and gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cuesheet-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark itself would read it by."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/cuesheet-{name}-{uuid.uuid4().hex}"
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
@@ -44,8 +52,8 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> int:
-    """Delete what :func:`durable` and :func:`shared_path` made in this application; call it
-    once the results that read them are written."""
+    """Delete what :func:`durable` and :func:`shared_path` made in this application. Results read
+    these tables, so only the caller knows when: call it once they are written."""
     paths = _TABLES.pop(spark.sparkContext.applicationId, [])
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -10,7 +10,11 @@ an aggregation of (digest, smallest id), so a page with very many copies is no h
 Bundles are written under unique names below the shared folder; only those named in the written
 index count, so tasks that ran twice leave no duplicate records.
 
-Defined cases: a null html is an empty payload; a null page id counts as largest (and its records
+Readers are tasks of about ``READ_BYTES`` of archive each, whatever the size of the index. The copies table
+is broadcast up to ``BROADCAST_COPIES`` rows; beyond, pages are joined with it by their digest, and the
+engine's skew join splits the very common ones.
+
+Defined cases: columns of any other name are not read; a payload larger than a frame is a frame of its own; a null html is an empty payload; a null page id counts as largest (and its records
 are named without a number); rows that repeat the smallest id of their payload are responses all;
 an empty table gives no bundles and an empty result.
 """
@@ -27,11 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, shared_path
+from .common import durable, qualified, shared_path, small_or_not
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 LEVEL = 6
+#: Compressed bytes that a reading task gets.
+READ_BYTES = 4 << 20
+BROADCAST_COPIES = 500_000
 #: Format numbers of the seek table.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = "kind string, page_id long, bundle string, frame int, frame_at long, frame_bytes long, record_at long, record_bytes long"
@@ -89,8 +96,10 @@ def read_seek_table(tail: bytes) -> list[tuple[int, int]]:
 def _open(path: str):
     from pyarrow import fs
 
-    system, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return system, inner
+    scheme, _, rest = path.partition(":")
+    if not rest:
+        raise ValueError(f"{path} names no file system")
+    return fs.FileSystem.from_uri(f"file://{rest}" if scheme == "file" and not rest.startswith("//") else path)
 
 
 class _Bundle:
@@ -126,11 +135,12 @@ class _Bundle:
 
 def write_archives(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write ``page_id, url, html`` as bundles in ``folder``; returns the written index."""
+    folder = qualified(pages.sparkSession, folder)
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     own = own.withColumn("sha", F.unhex(F.sha1(F.encode("html", "utf-8"))))
     copies = own.groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
     copies = durable(copies.select(F.col("sha").alias("of"), "first_id"), "warc-copies")
-    marked = own.join(copies, F.col("sha") == F.col("of"), "left").select(
+    marked = own.join(small_or_not(copies, BROADCAST_COPIES), F.col("sha") == F.col("of"), "left").select(
         "page_id", "url", "html", "first_id", (F.col("of").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))).alias("revisit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +176,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """Read every frame named in the index back, one range of one file at a time:
     ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``."""
     frames = index.where("kind = 'frame'").select("bundle", "frame_at", "frame_bytes", "record_bytes")
-    frames = frames.repartition("bundle", "frame_at")
+    total = frames.agg(F.coalesce(F.sum("frame_bytes"), F.lit(0))).first()[0]
+    frames = frames.repartition(max(1, -(-total // READ_BYTES)), "bundle", "frame_at")
+    folder = qualified(index.sparkSession, folder)
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload string"
     number = lambda uri: int(x) if (x := uri[10:-1]) else None
 
@@ -196,7 +208,7 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
 
 
 def read_record(index_row: dict, folder: str) -> tuple[dict[str, str], bytes]:
-    """Headers and block of one record by its index row: only its frame is read."""
+    """Headers and block of one record by its index row: only its frame is read. ``folder`` names its file system."""
     import zstandard
 
     system, inner = _open(folder)

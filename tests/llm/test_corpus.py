@@ -81,7 +81,7 @@ def test_mix_fills_capped_sources(spark):
 
 def test_archives_round_trip(spark):
     pages = spark.createDataFrame([(5, "http://a/ b", "<p>é"), (3, None, "<p>é"), (9, "u", None), (1, "u", ""), (None, "u", "z"), (7, "u", "z\r\n\r\nWARC/1.1\r\n")], "page_id long, url string, html string")
-    folder = common.shared_path(spark, "test-warc")
+    folder = common.qualified(spark, common.shared_path(spark, "test-warc"))
     index = warc.write_archives(pages, folder, frame_bytes=600)
     got = {r.page_id: r for r in warc.read_archives(index, folder).collect()}
     sha = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
