@@ -8,7 +8,8 @@ gets), so texts are never shuffled and a hot source is spread over its key range
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
 documents with equal keys (repeated ids, null ids) at the cut share what is left there in
-proportion to their sizes, rounded down; an empty table gives an empty plan.
+proportion to their sizes, rounded down; whole texts are counted, however long; other columns stay as
+they are, whatever their names; an empty table gives an empty plan.
 """
 
 from __future__ import annotations
@@ -116,13 +117,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
           weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed documents themselves, with the columns of ``docs``: a row for every epoch in
     which the mix takes words of the document, the one at the cut as a whole."""
-    cols = docs.columns
     cuts = cut_points(durable(sized(docs, id_col, text_col, source_col, seed), "mix-sizes"), weights, max_epochs)
-    plan = small_or_not(cuts.select(F.struct("source", "epochs", "cut_key").alias("_mix_plan")), BROADCAST_SOURCES)
-    key = mix_key(F.col(id_col), seed)
-    times = F.col("_mix_plan.epochs") + F.when(key <= F.col("_mix_plan.cut_key"), 1).otherwise(0)
+    plan = small_or_not(cuts.select(F.struct("source", "epochs", "cut_key").alias("plan")), BROADCAST_SOURCES)
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"))
+    key = mix_key(F.col("own")[id_col], seed)
+    times = F.col("plan.epochs") + F.when(key <= F.col("plan.cut_key"), 1).otherwise(0)
     return (
-        docs.join(plan, F.col(source_col).eqNullSafe(F.col("_mix_plan.source")))
-        .withColumn("_mix_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-        .select(*cols)
+        own.join(plan, F.col("own")[source_col].eqNullSafe(F.col("plan.source")))
+        .select("own", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+        .select("own.*")
     )

@@ -19,7 +19,8 @@ Separators stay as they are. E-mail addresses and named secrets have no numeric
 keyed SHA-256 pseudonyms of the same kind of form, linked alike. Candidates that fail their
 validation stay as they are.
 
-Defined cases: a null text stays null; an empty one stays empty; other columns are untouched;
+Defined cases: a null text stays null; an empty one stays empty; whole texts are searched, however long;
+other columns are untouched, whatever their names;
 repeated rows are treated alike; an empty table gives an empty result. Give a key of your own:
 whoever has it can undo the permutations.
 """
@@ -200,6 +201,6 @@ def pseudonymised(text: Column, key: str = KEY) -> Column:
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
     """``docs`` with the text column replaced (and the number of replacements); no row moves."""
-    done = docs.withColumn("_pii", pseudonymised(F.col(text_col), key))
-    out = [F.col("_pii.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return done.select(*out, *([F.col("_pii.n_replaced").alias(count_col)] if count_col else []))
+    done = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), pseudonymised(F.col(f"`{text_col}`"), key).alias("pii"))
+    out = [(F.col("pii.text") if c == text_col else F.col("own")[c]).alias(c) for c in docs.columns]
+    return done.select(*out, *([F.col("pii.n_replaced").alias(count_col)] if count_col else []))
