@@ -44,7 +44,7 @@ SMOOTH = 0.1
 #: A word of so many occurrences counts towards the number of classes.
 OWN = 8
 COARSE = 128
-HEAD = 400_000
+HEAD = 200_000
 DIM, NOISE, RATE = 24, 48, 0.3
 #: Tokens whose triples a task holds, and minibatches that these make.
 CHUNK, STEPS = 2_000_000, 1000
