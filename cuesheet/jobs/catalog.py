@@ -13,11 +13,14 @@ from ..functions import vision
 from ..operators import asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
 from ..sources import io
 from ..sources.fixtures import Songs, duck
+from ..streaming import live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 SUPPORT = ["the", "and", "of", "to", "in", "is", "that"]
 FPS = 10.0
+#: Number of the last section of a song in the views.
+LAST = 24
 
 
 def query(sql: str | None, *views: str):
@@ -31,6 +34,11 @@ def query(sql: str | None, *views: str):
     return add
 
 
+def _py(value: str, digits: int) -> str:
+    """SQL that rounds a double by its exact binary value: the text it prints does."""
+    return f"CAST(printf('%.{digits}f', {value}) AS DOUBLE)"
+
+
 def words(s: Songs) -> DataFrame:
     return io.flat_words(io.lyric_lines(s.lyrics()))
 
@@ -58,11 +66,12 @@ def io2_lyric_words(s):
 
 
 @query("""WITH b AS (SELECT track_id, string_agg(printf('%.3f', t), ',' ORDER BY beat_idx) AS x FROM fx_beats GROUP BY ALL), o AS (SELECT track_id, string_agg(printf('%.3f', t), ',' ORDER BY onset_idx) AS x FROM fx_onsets GROUP BY ALL)
-SELECT b.track_id, b.x AS beats, CASE WHEN b.track_id % 4 = 3 THEN o.x ELSE b.x END AS onsets FROM b JOIN o USING (track_id)""", "fx_beats", "fx_onsets")
+SELECT t.track_id, coalesce(b.x, '') AS beats, coalesce(CASE WHEN t.track_id % 4 = 3 THEN o.x ELSE b.x END, '') AS onsets FROM fx_tracks t LEFT JOIN b USING (track_id) LEFT JOIN o USING (track_id)""", "fx_beats", "fx_onsets", "fx_tracks")
 def io3_beat_maps(s):
     got = lambda df, i: df.groupBy("track_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(i, "t"))), lambda r: r["t"]).alias(f"a_{i}"))
-    d = got(s.beats(), "beat_idx").join(got(s.onsets(), "onset_idx"), "track_id")
-    a, o, k = F.col("a_beat_idx"), F.col("a_onset_idx"), F.col("track_id") % 4
+    d = s.tracks().join(got(s.beats(), "beat_idx"), "track_id", "left").join(got(s.onsets(), "onset_idx"), "track_id", "left")
+    none = F.array().cast("array<double>")
+    a, o, k = F.coalesce("a_beat_idx", none), F.coalesce("a_onset_idx", none), F.col("track_id") % 4
     objects = lambda n: F.to_json(F.transform(a, lambda x: F.struct(x.alias(n))))
     j = F.when(k == 0, F.to_json(a)).when(k == 1, objects("time")).when(k == 2, objects("timestamp")).otherwise(F.to_json(F.struct(a.alias("beats"), o.alias("onsets"))))
     p = io.parse_beats(d.select("track_id", j.alias("json")))
@@ -70,10 +79,10 @@ def io3_beat_maps(s):
     return p.select("track_id", show("beats"), show("onsets"))
 
 
-@query("SELECT track_id, section_idx, start_s, CASE WHEN section_idx = 10 THEN start_s + 30 ELSE end_s END AS end_s, label, energy FROM fx_sections", "fx_sections")
+@query("SELECT track_id, section_idx, start_s, CASE WHEN section_idx = 24 THEN start_s + 30 ELSE end_s END AS end_s, CASE WHEN section_idx = 3 THEN 'section-3' ELSE label END AS label, energy FROM fx_sections", "fx_sections")
 def io4_sections(s):
     k = F.col("track_id") % 4
-    sec = lambda n: F.struct(F.col("start_s").alias("start"), F.when(F.col("section_idx") != 10, F.col("end_s")).alias("end"), F.col("label").alias(n), F.col("energy"))
+    sec = lambda n: F.struct(F.col("start_s").alias("start"), F.when(F.col("section_idx") != LAST, F.col("end_s")).alias("end"), F.when(F.col("section_idx") != 3, F.col("label")).alias(n), F.col("energy"))
     g = s.sections().groupBy("track_id").agg(*(F.transform(F.array_sort(F.collect_list(F.struct("section_idx", sec(n).alias("s")))), lambda r: r["s"]).alias(n) for n in ("label", "name", "type")))
     doc = F.when(k == 0, F.to_json("label")).when(k == 1, F.to_json(F.struct(F.col("name").alias("sections")))).when(k == 2, F.to_json(F.struct(F.col("type").alias("segments")))).otherwise(F.to_json(F.struct(F.col("label").alias("structure"))))
     return io.parse_sections(g.select("track_id", doc.alias("json")))
@@ -234,9 +243,14 @@ def g1_frame_grid(s):
     return timeline.frame_grid(timed(s), FPS).withColumn("t", F.round("t", 6))
 
 
-@query("SELECT track_id, i AS beat_idx, round(i * (60.0E0 / bpm), 6) AS t FROM (SELECT track_id, bpm, unnest(range(1000)) AS i FROM fx_tracks) WHERE i * (60.0E0 / bpm) < 62.0E0", "fx_tracks")
+@query("""WITH l AS (SELECT track_id, max(end_s) + 2 AS until, CASE WHEN track_id % 11 = 0 THEN 2.0E0 ELSE 60.0E0 / coalesce(CASE WHEN track_id % 7 <> 0 THEN 60 + track_id % 120 END, 120) END AS step FROM fx_timed_lines GROUP BY ALL)
+SELECT track_id, i AS beat_idx, round(i * step, 6) AS t FROM (SELECT *, unnest(range(CAST(ceil(until / step) AS BIGINT) + 1)) AS i FROM l) WHERE i * step < until""", "fx_timed_lines")
 def g2_beats_from_bpm(s):
-    return timeline.beats_from_bpm(s.tracks().withColumn("until", F.lit(62.0))).withColumn("t", F.round("t", 6))
+    """Beats up to 2 s after the last line of a lyric; some songs have no tempo, in some no beat was found."""
+    songs = timeline.lines_of(timed(s)).groupBy("track_id").agg((F.max("end_s") + 2).alias("until"))
+    k = F.col("track_id")
+    songs = songs.withColumn("bpm", F.when(k % 7 != 0, 60 + k % 120)).withColumn("detected", k % 11 != 0)
+    return timeline.beats_from_bpm(songs).withColumn("t", F.round("t", 6))
 
 
 @query("SELECT track_id, i AS chunk, i * 30.0E0 AS lo, least((i + 1) * 30.0E0, d) AS hi FROM (SELECT track_id, duration + track_id AS d, unnest(range(CAST(ceil((duration + track_id) / 30) AS BIGINT))) AS i FROM fx_tracks)", "fx_tracks")
@@ -270,6 +284,10 @@ def s2_missing_frames(s):
 
 @query("SELECT l.track_id, l.line_index FROM fx_lines l WHERE NOT EXISTS (SELECT 1 FROM fx_whisper w JOIN fx_words x USING (track_id) WHERE w.track_id = l.track_id AND w.w_idx = x.u_idx AND x.line_index = l.line_index)", "fx_lines", "fx_whisper")
 def j9_uncaptioned(s):
+    return j9_lines(s)
+
+
+def j9_lines(s: Songs) -> DataFrame:
     w = words(s)
     heard = s.whisper_words().select("track_id", F.col("w_idx").alias("u_idx"))
     return lyrics.uncaptioned(io.lyric_lines(s.lyrics()), w.join(heard, ["track_id", "u_idx"]).select("track_id", "line_index").distinct())
@@ -282,7 +300,7 @@ def h1_j10_w12_align(s):
 
 @query(None)
 def a2_match_stats(s):
-    return lyrics.match_stats(lyrics.align(words(s), s.whisper_words()))
+    return lyrics.match_stats(lyrics.align(words(s), s.whisper_words())).withColumn("match_stats", F.to_json("match_stats"))
 
 
 @query(None)
@@ -290,14 +308,44 @@ def a3_interpolation_warnings(s):
     return lyrics.interpolation_warnings(lyrics.align(words(s), s.whisper_words()))
 
 
-THEMES = {"fire": "passion", "light": "knowledge", "dark": "ignorance", "rain": "tension", "the": "article"}
+_MATCH = "CASE WHEN u_idx % 5 = 0 THEN 'interpolated' WHEN (u_idx + track_id) % 3 = 0 THEN 'fuzzy' WHEN track_id % 4 = 0 AND u_idx % 2 = 1 THEN 'interpolated' WHEN track_id % 2 = 1 AND u_idx % 7 = 1 THEN 'inserted' ELSE 'exact' END"
+
+
+def matched(s: Songs) -> DataFrame:
+    """Words with kinds of match by a rule."""
+    return words(s).withColumn("match_type", F.expr(_MATCH))
+
+
+@query(f"""WITH m AS (SELECT *, {_MATCH} AS k FROM fx_words), c AS (SELECT track_id, k, count(*) AS n FROM m GROUP BY ALL), t AS (SELECT track_id, string_agg(k || '=' || n, ',' ORDER BY k) AS match_stats FROM c GROUP BY ALL)
+SELECT m.track_id, count(*) AS total_words, count(DISTINCT line_index) AS total_lines, count(*) FILTER (k = 'exact') AS exact, count(*) FILTER (k = 'fuzzy') AS fuzzy, count(*) FILTER (k = 'interpolated') AS interpolated, count(*) FILTER (k = 'inserted') AS inserted,
+max(match_stats) AS match_stats, max(coalesce(lang, 'unknown')) AS language FROM m JOIN t USING (track_id) JOIN documents d ON d.doc_id = m.track_id GROUP BY m.track_id""", "fx_words")
+def a2_stats_of_given_matches(s):
+    languages = s.table("documents").select(F.col("doc_id").alias("track_id"), F.col("lang").alias("language"))
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("match_stats")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return lyrics.match_stats(matched(s), languages).withColumn("match_stats", shown)
+
+
+@query(f"""WITH m AS (SELECT *, {_MATCH} AS k FROM fx_words) SELECT count(DISTINCT track_id) AS songs, count(*) AS total_words, count(DISTINCT (track_id, line_index)) AS total_lines, count(*) FILTER (k = 'exact') AS exact, count(*) FILTER (k = 'fuzzy') AS fuzzy,
+count(*) FILTER (k = 'interpolated') AS interpolated, count(*) FILTER (k = 'inserted') AS inserted FROM m""", "fx_words")
+def a2_totals_of_given_matches(s):
+    return lyrics.match_totals(lyrics.match_stats(matched(s)))
+
+
+@query(f"""WITH m AS (SELECT track_id, count(*) FILTER ({_MATCH} = 'interpolated') * 1.0E0 / count(*) AS share FROM fx_words GROUP BY ALL) SELECT track_id, round(share, 9) AS share FROM m WHERE share > 0.3E0""", "fx_words")
+def a3_warnings_of_given_matches(s):
+    return lyrics.interpolation_warnings(matched(s)).withColumn("share", F.round("share", 9))
+
 
+_THEMES = """VALUES ('water', 'water'), ('fire', 'fire'), ('bird', 'birds/flight'), ('birds', 'birds/flight'), ('flight', 'birds/flight'), ('mirror', 'mirrors'), ('mirrors', 'mirrors'),
+('rain', 'rain/storms'), ('storm', 'rain/storms'), ('storms', 'rain/storms'), ('forest', 'forests'), ('forests', 'forests'), ('cage', 'cages/walls'), ('cages', 'cages/walls'), ('wall', 'cages/walls'), ('walls', 'cages/walls'),
+('light', 'light/dark'), ('dark', 'light/dark'), ('clock', 'clocks/sand'), ('clocks', 'clocks/sand'), ('sand', 'clocks/sand'), ('door', 'doors/crossroads'), ('doors', 'doors/crossroads'), ('crossroads', 'doors/crossroads'),
+('glass', 'broken glass'), ('thread', 'red thread'), ('candle', 'candle flame'), ('flame', 'candle flame')"""
+_EMOTIONAL = "('love'), ('heart'), ('soul'), ('pain'), ('fire'), ('light'), ('dark'), ('dream'), ('lost'), ('broken'), ('beauty'), ('forever'), ('silence'), ('truth'), ('faith'), ('hope'), ('fear'), ('cry'), ('tears'), ('blood'), ('death'), ('life'), ('alone'), ('free'), ('breathe'), ('burn'), ('fall'), ('fly'), ('rise'), ('shine'), ('shadow'), ('ghost'), ('memory'), ('heaven'), ('hell'), ('angel'), ('demon'), ('wild'), ('infinite'), ('eternity'), ('desire'), ('touch'), ('kiss'), ('whisper'), ('scream'), ('echo'), ('flame')"
 
-@query("SELECT track_id, theme, count(*) AS n FROM (SELECT track_id, trim(regexp_replace(lower(word), '[^\\p{L}\\p{N}_\\s]', '', 'g')) AS w FROM fx_words) JOIN (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in THEMES.items()) + ") m(k, theme) ON w = k GROUP BY ALL".replace("\\\\", "\\"), "fx_words")
+
+@query("SELECT track_id, theme, count(*) AS n FROM (SELECT track_id, trim(regexp_replace(lower(word), '[^\\p{L}\\p{N}_\\s]', '', 'g')) AS w FROM fx_words) JOIN (SELECT * FROM (" + _THEMES + ") m(k, theme) UNION ALL SELECT e, 'emotional' FROM (VALUES " + _EMOTIONAL + ") n(e)) ON w = k GROUP BY ALL", "fx_words")
 def a16_theme_tags(s):
-    lexicon = s.spark.createDataFrame(list(THEMES.items()), "k string, theme string")
-    w = words(s).select("track_id", T.normalised(F.col("word")).alias("k"))
-    return w.join(F.broadcast(lexicon), "k").groupBy("track_id", "theme").agg(F.count("*").alias("n"))
+    return timeline.theme_tags(words(s), planning.theme_lexicon(s.spark, T.EMOTIONAL))
 
 
 # ---- as-of and range joins -----------------------------------------------------------------
@@ -331,9 +379,9 @@ def j3_section_at(s):
 STEP = 172 * 512 / 22050
 
 
-@query(f"SELECT b.track_id, b.block_idx, round(coalesce(avg(rms), 0), 6) AS energy FROM (SELECT track_id, unnest(range(60)) AS block_idx FROM fx_tracks) b LEFT JOIN fx_energy e ON b.track_id = e.track_id AND e.t >= b.block_idx * {STEP!r} AND e.t < b.block_idx * {STEP!r} + 4 GROUP BY ALL", "fx_tracks", "fx_energy")
+@query(f"SELECT b.track_id, b.block_idx, round(coalesce(avg(rms), 0), 6) AS energy FROM (SELECT track_id, unnest(range(CAST(ceil(duration / {STEP!r}E0) AS BIGINT))) AS block_idx FROM fx_tracks) b LEFT JOIN fx_energy e ON b.track_id = e.track_id AND e.t >= b.block_idx * {STEP!r}E0 AND e.t < b.block_idx * {STEP!r}E0 + 4 GROUP BY ALL", "fx_tracks", "fx_energy")
 def j4_block_energy(s):
-    blocks = s.tracks().select("track_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(59).cast("long"))).alias("block_idx"))
+    blocks = s.tracks().select("track_id", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("duration") / STEP) - 1)).alias("block_idx"))
     return sections.block_energy(blocks, s.energy().withColumnRenamed("rms", "value"), STEP).withColumn("energy", F.round("energy", 6))
 
 
@@ -356,13 +404,13 @@ def a4_block_chroma(s):
     return sections.block_chroma(s.chroma(), 7).withColumn("mean", F.round("mean", 6))
 
 
-@query(f"SELECT track_id, frame_idx, round(frame_idx * {512 / 22050!r}, 3) AS time, round(CASE WHEN m > 0 THEN rms / m ELSE rms END, 4) AS value FROM (SELECT *, max(rms) OVER (PARTITION BY track_id) AS m FROM fx_energy)", "fx_energy")
+@query(f"SELECT track_id, frame_idx, {_py(f'frame_idx * {512 / 22050!r}E0', 3)} AS time, {_py('CASE WHEN m > 0 THEN rms / m ELSE rms END', 4)} AS value FROM (SELECT *, max(rms) OVER (PARTITION BY track_id) AS m FROM fx_energy)", "fx_energy")
 def w4_normalised_energy(s):
     return sections.normalised_energy(s.energy())
 
 
 BLOCKS = "SELECT track_id, frame_idx AS block_idx, t, CAST(floor(rms / 20) AS INT) % 3 AS cluster, rms AS energy FROM fx_energy"
-MERGED = f"""SELECT track_id, CAST(sec AS INT) AS section_idx, round(min(t), 3) AS start_s, round(coalesce(lead(min(t)) OVER (PARTITION BY track_id ORDER BY sec), 260.0E0), 3) AS end_s, min(cluster) AS cluster, round(avg(energy), 3) AS energy_avg
+MERGED = f"""SELECT track_id, CAST(sec AS INT) AS section_idx, {_py('min(t)', 3)} AS start_s, {_py('coalesce(lead(min(t)) OVER (PARTITION BY track_id ORDER BY sec), 260.0E0)', 3)} AS end_s, min(cluster) AS cluster, {_py('avg(energy)', 3)} AS energy_avg
 FROM (SELECT *, sum(new) OVER (PARTITION BY track_id ORDER BY block_idx) - 1 AS sec FROM (SELECT *, CASE WHEN cluster = lag(cluster) OVER (PARTITION BY track_id ORDER BY block_idx) THEN 0 ELSE 1 END AS new FROM ({BLOCKS}))) GROUP BY track_id, sec"""
 
 
@@ -383,7 +431,7 @@ def w2_label_sections(s):
 
 
 SNAPPED = """WITH a AS (SELECT s.*, b.t AS lo FROM fx_sections s ASOF LEFT JOIN fx_beats b ON s.track_id = b.track_id AND s.end_s >= b.t), c AS (SELECT a.*, b.t AS hi FROM a ASOF LEFT JOIN fx_beats b ON a.track_id = b.track_id AND a.end_s <= b.t),
-e AS (SELECT *, CASE WHEN section_idx = 10 THEN 260.0E0 WHEN hi IS NULL OR abs(lo - end_s) <= abs(hi - end_s) THEN round(lo, 3) ELSE round(hi, 3) END AS ne, lo IS NOT NULL OR hi IS NOT NULL AS has FROM c),
+e AS (SELECT *, CASE WHEN section_idx = 24 THEN 260.0E0 WHEN hi IS NULL OR abs(lo - end_s) <= abs(hi - end_s) THEN round(lo, 3) ELSE round(hi, 3) END AS ne, lo IS NOT NULL OR hi IS NOT NULL AS has FROM c),
 f AS (SELECT *, coalesce(lag(ne) OVER (PARTITION BY track_id ORDER BY section_idx), 0) AS ns FROM e)
 SELECT track_id, section_idx, CASE WHEN has THEN ns ELSE start_s END AS start_s, CASE WHEN has THEN ne ELSE end_s END AS end_s, label FROM f WHERE NOT has OR ne > ns"""
 
@@ -431,7 +479,8 @@ def h3_a6_ssim(s):
 
 @query(None)
 def h4_a8_a7_colour(s):
-    f = grey(s).select("project_id", F.col("frame_idx").alias("clip_id"), F.posexplode(vision.lab_histograms(F.slice("pixels", 1, 63))).alias("channel", "h"))
+    """Frames of 22 colour pixels from the 64 values and two zeros."""
+    f = grey(s).select("project_id", F.col("frame_idx").alias("clip_id"), F.posexplode(vision.lab_histograms(F.concat("pixels", F.array(F.lit(0), F.lit(0))))).alias("channel", "h"))
     return qa.colour_tier(f.select("project_id", "clip_id", "channel", F.posexplode("h").alias("bin", "p")))
 
 
@@ -471,9 +520,41 @@ def x14_chunking(s):
     return effects.chunking(s.tracks(), s.beats(), s.onsets(), effects.choruses(s.sections()))
 
 
-@query("""WITH g AS (SELECT track_id, unnest(range(9)) AS chunk FROM fx_tracks) SELECT g.track_id, g.chunk, g.chunk * 30.0E0 AS chunk_start, coalesce(string_agg(printf('if(between(t,%.3f,%.3f),0.03*(1-(t-%.3f)/0.15),0)', t, t + 0.15E0, t), '+' ORDER BY t, beat_idx), '0') AS zoom_expr FROM g LEFT JOIN fx_beats b ON g.track_id = b.track_id AND CAST(floor(t / 30) AS BIGINT) = chunk GROUP BY ALL""", "fx_tracks", "fx_beats")
+@query("""SELECT track_id, o AS n_events, o * 55 + c * 60 + 100 AS est_chars, o > 150 OR o * 55 + c * 60 + 100 > 8000 AS chunked FROM (SELECT t.track_id, (SELECT count(*) FROM fx_onsets b WHERE b.track_id = t.track_id) AS o, (SELECT count(*) FROM fx_sections b WHERE b.track_id = t.track_id AND lower(label) = 'chorus') AS c FROM fx_tracks t)""", "fx_onsets", "fx_sections")
+def x14_chunking_without_zoom(s):
+    return effects.chunking(s.tracks(), s.beats(), s.onsets(), effects.choruses(s.sections()), ("flash", "saturation"))
+
+
+def _expressions_sql(grid: str, chunk: str, shift: str) -> str:
+    pulse = lambda h, d: f"string_agg(printf('if(between(t,%.3f,%.3f),{h}*(1-(t-%.3f)/{d}),0)', t - {shift}, t - {shift} + {d}E0, t - {shift}), '+' ORDER BY t, i)"
+    of = lambda view, idx, h, d: f"SELECT track_id, chunk, {pulse(h, d)} AS x FROM (SELECT track_id, t, {idx} AS i, {chunk} AS chunk, ({chunk}) * 30.0E0 AS chunk_start FROM {view}) GROUP BY ALL"
+    return f"""WITH g AS ({grid}), z AS ({of('fx_beats', 'beat_idx', '0.03', '0.15')}), b AS ({of('fx_onsets', 'onset_idx', '0.2', '0.1')}),
+c AS (SELECT g.track_id, chunk, string_agg(printf('if(between(t,%.3f,%.3f),0.4*((t-%.3f)/1.0),if(between(t,%.3f,%.3f),0.4,0))', greatest(start_s, chunk_start) - {shift}, greatest(start_s, chunk_start) - {shift} + 1, greatest(start_s, chunk_start) - {shift}, greatest(start_s, chunk_start) - {shift} + 1, least(end_s, chunk_end) - {shift}), '+' ORDER BY section_idx) AS x
+FROM g JOIN fx_sections s ON s.track_id = g.track_id AND lower(label) = 'chorus' AND start_s < chunk_end AND end_s > chunk_start GROUP BY ALL)
+SELECT g.track_id, g.chunk, chunk_start, coalesce(z.x, '0') AS zoom_expr, coalesce(b.x, '0') AS brightness_expr, '1' || coalesce('+' || c.x, '') AS saturation_expr FROM g LEFT JOIN z USING (track_id, chunk) LEFT JOIN b USING (track_id, chunk) LEFT JOIN c USING (track_id, chunk)"""
+
+
+_CHUNKS = "SELECT track_id, chunk, chunk * 30.0E0 AS chunk_start, least((chunk + 1) * 30.0E0, duration) AS chunk_end FROM (SELECT *, unnest(range(CAST(ceil(duration / 30) AS BIGINT))) AS chunk FROM fx_tracks)"
+_WHOLE = "SELECT track_id, CAST(0 AS BIGINT) AS chunk, 0.0E0 AS chunk_start, duration AS chunk_end FROM fx_tracks"
+
+
+def expressions(s: Songs, **how) -> DataFrame:
+    return effects.expressions(s.tracks(), s.beats(), s.onsets(), effects.choruses(s.sections()), **how)
+
+
+@query(_expressions_sql(_CHUNKS, "CAST(floor(t / 30) AS BIGINT)", "0.0E0"), "fx_tracks", "fx_beats", "fx_onsets", "fx_sections")
 def x15_expressions(s):
-    return effects.expressions(s.tracks(), s.beats())
+    return expressions(s)
+
+
+@query(_expressions_sql(_CHUNKS, "CAST(floor(t / 30) AS BIGINT)", "chunk_start"), "fx_tracks", "fx_beats", "fx_onsets", "fx_sections")
+def x15_expressions_relative(s):
+    return expressions(s, relative=True)
+
+
+@query(_expressions_sql(_WHOLE, "CAST(0 AS BIGINT)", "0.0E0"), "fx_tracks", "fx_beats", "fx_onsets", "fx_sections")
+def x15_expressions_whole(s):
+    return expressions(s, size=None)
 
 
 @query("SELECT track_id, CASE WHEN bpm < 140 THEN 0.03E0 WHEN bpm <= 170 THEN 0.018E0 ELSE 0.012E0 END AS zoom, CASE WHEN bpm < 140 THEN 0.2E0 WHEN bpm <= 170 THEN 0.12E0 ELSE 0.08E0 END AS flash FROM fx_tracks", "fx_tracks")
@@ -594,9 +675,10 @@ def w6_offsets(s):
 
 
 @query(CUTS + """, o AS (SELECT project_id, count(*) FILTER (round(abs(raw_cut - snapped_cut), 6) > 0.1E0) AS off_beat FROM cuts GROUP BY ALL)
-SELECT f.project_id, abs(sum(f.duration) - max(t.duration)) <= 1 AS length_ok, count(*) FILTER (NOT has_video) AS no_stream, count(*) FILTER (has_video AND width * 9 <> height * 16) AS not_16_9, coalesce(max(off_beat), 0) AS off_beat FROM fx_clips f LEFT JOIN fx_tracks t USING (track_id) LEFT JOIN o USING (project_id) GROUP BY f.project_id""", "fx_clips", "fx_beats", "fx_sections", "fx_tracks")
+SELECT f.project_id, abs(sum(f.duration) - max(t.duration)) <= 1 AS length_ok, count(*) FILTER (NOT has_video) AS no_stream, count(*) FILTER (has_video AND width * 9 <> height * 16) AS not_16_9, coalesce(max(off_beat), 0) AS off_beat, coalesce(max(gaps), 0) AS uncovered_lines FROM fx_clips f LEFT JOIN fx_tracks t USING (track_id) LEFT JOIN o USING (project_id)
+LEFT JOIN (SELECT track_id, count(*) AS gaps FROM (SELECT l.track_id FROM fx_lines l WHERE NOT EXISTS (SELECT 1 FROM fx_whisper w JOIN fx_words x USING (track_id) WHERE w.track_id = l.track_id AND w.w_idx = x.u_idx AND x.line_index = l.line_index)) GROUP BY ALL) u USING (track_id) GROUP BY f.project_id""", "fx_clips", "fx_beats", "fx_sections", "fx_tracks", "fx_whisper")
 def q10_audit(s):
-    return assembly.audit(cuts(s), s.clips(), s.tracks())
+    return assembly.audit(cuts(s), s.clips(), s.tracks(), j9_lines(s))
 
 
 _ISSUES = f"""SELECT *, CASE WHEN NOT has_video THEN ['No video stream found'] ELSE list_filter([CASE WHEN least(width, height) < 720 THEN 'Resolution below 720p (' || width || 'x' || height || ')' END, CASE WHEN fps < 24 THEN 'Frame rate below 24fps (' || printf('%.2f', fps) || ')' END,
@@ -615,7 +697,7 @@ def x12_technical_checks(s):
 _TIERS = f"SELECT project_id, clip_id, len(issues) AS n_issues, len(issues) = 0 AS passed, clip_id % 5 AS k, (clip_id % 97) / 97.0E0 AS m FROM ({_ISSUES})"
 
 
-@query(f"""SELECT project_id, clip_id, round(least(1, greatest(0, (coalesce(f * 0.3E0, 0) + v * 0.5E0 + coalesce(c * 0.2E0, 0)) / (CASE WHEN f IS NULL THEN 0 ELSE 0.3E0 END + 0.5E0 + CASE WHEN c IS NULL THEN 0 ELSE 0.2E0 END))), 2) AS overall_score FROM (
+@query(f"""SELECT project_id, clip_id, {_py('least(1, greatest(0, (coalesce(f * 0.3E0, 0) + v * 0.5E0 + coalesce(c * 0.2E0, 0)) / (CASE WHEN f IS NULL THEN 0 ELSE 0.3E0 END + 0.5E0 + CASE WHEN c IS NULL THEN 0 ELSE 0.2E0 END)))', 2)} AS overall_score FROM (
 SELECT *, CASE k WHEN 0 THEN NULL WHEN 1 THEN 1.0E0 ELSE m END AS f, CASE WHEN m > 0 THEN b * 0.6E0 + m * 0.4E0 ELSE b END AS v, CASE WHEN k = 3 THEN NULL ELSE m END AS c FROM (SELECT *, CASE WHEN passed THEN 1.0E0 ELSE greatest(0, 1 - n_issues * 0.25E0) END AS b FROM ({_TIERS})))""", "fx_clips")
 def x13_overall(s):
     k, m = F.col("clip_id") % 5, (F.col("clip_id") % 97) / F.lit(97.0)
@@ -629,8 +711,8 @@ def a9_summary(s):
     return qa.summary(checked(s).select("project_id", "clip_id", (F.size("issues") == 0).alias("passed")))
 
 
-@query("""WITH r AS (SELECT project_id, arg_min(embedding, frame_idx) AS ref FROM fx_face GROUP BY ALL), s AS (SELECT f.*, CASE WHEN has_face THEN list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(ref AS DOUBLE[])) END AS sim FROM fx_face f JOIN r USING (project_id))
-SELECT project_id, clip_id, count(*) AS frames_checked, count(sim) AS frames_with_face, coalesce(round(min(sim), 4), 0) AS min_similarity, coalesce(round(avg(sim), 4), 0) AS mean_similarity, coalesce(min(sim) >= 0.5, true) AS passed FROM s GROUP BY ALL""", "fx_face")
+@query(f"""WITH r AS (SELECT project_id, arg_min(embedding, frame_idx) AS ref FROM fx_face GROUP BY ALL), s AS (SELECT f.*, CASE WHEN has_face THEN list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(ref AS DOUBLE[])) END AS sim FROM fx_face f JOIN r USING (project_id))
+SELECT project_id, clip_id, count(*) AS frames_checked, count(sim) AS frames_with_face, coalesce({_py('min(sim)', 4)}, 0) AS min_similarity, coalesce({_py('avg(sim)', 4)}, 0) AS mean_similarity, coalesce(min(sim) >= 0.5, true) AS passed FROM s GROUP BY ALL""", "fx_face")
 def a5_face_tier(s):
     f = s.faces()
     return qa.face_tier(f, f.groupBy("project_id").agg(F.min_by("embedding", "frame_idx").alias("reference")))
@@ -644,7 +726,7 @@ def pairs(s: Songs) -> DataFrame:
     return s.table("events").select(F.col("user_id").alias("project_id"), (F.col("user_id") % 7).alias("clip_id"), n.cast("long").alias("pair_idx"), F.round(F.least(F.lit(1.0), F.col("value") / 60), 4).alias("ssim"))
 
 
-@query(f"""SELECT project_id, clip_id, round(avg(ssim), 4) AS mean_ssim, round(min(ssim), 4) AS min_ssim, printf('frame_%05d-frame_%05d', min(struct_pack(s := ssim, i := pair_idx)).i, min(struct_pack(s := ssim, i := pair_idx)).i + 1) AS min_pair, round(min(ssim), 4) < 0.65 AS jump FROM ({PAIRS}) GROUP BY ALL""")
+@query(f"""SELECT project_id, clip_id, {_py('avg(ssim)', 4)} AS mean_ssim, {_py('min(ssim)', 4)} AS min_ssim, printf('frame_%05d-frame_%05d', min(struct_pack(s := ssim, i := pair_idx)).i, min(struct_pack(s := ssim, i := pair_idx)).i + 1) AS min_pair, round(min(ssim), 4) < 0.65 AS jump FROM ({PAIRS}) GROUP BY ALL""")
 def a6_ssim_tier(s):
     return qa.ssim_tier(pairs(s))
 
@@ -654,13 +736,13 @@ def q11_frozen_runs(s):
     return qa.frozen_runs(pairs(s), 0.5)
 
 
-@query("""WITH h AS (SELECT project_id, frame_idx AS clip_id, (i - 1) // 20 AS channel, (i - 1) % 20 AS bin, CAST(embedding[i] AS DOUBLE) * CAST(embedding[i] AS DOUBLE) AS p FROM (SELECT *, unnest(range(1, 61)) AS i FROM fx_face)),
+@query("""WITH h AS (SELECT project_id, frame_idx AS clip_id, (i - 1) % 3 AS channel, (i - 1) // 3 AS bin, CAST(embedding[i] AS DOUBLE) * CAST(embedding[i] AS DOUBLE) AS p FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM fx_face)),
 m AS (SELECT project_id, channel, bin, avg(p) AS m FROM h GROUP BY ALL HAVING count(*) >= 2), c AS (SELECT h.project_id, clip_id, channel, corr(p, m) AS r FROM h JOIN m USING (project_id, channel, bin) GROUP BY ALL)
 SELECT project_id, clip_id, round(max(r) FILTER (channel = 0), 4) AS l_correlation, round(max(r) FILTER (channel = 1), 4) AS a_correlation, round(max(r) FILTER (channel = 2), 4) AS b_correlation, min(r) FILTER (channel > 0) >= 0.7 AS passed FROM c GROUP BY ALL""", "fx_face")
 def a7_colour_tier(s):
-    f = s.faces().select("project_id", F.col("frame_idx").alias("clip_id"), F.posexplode(F.slice("embedding", 1, 60)).alias("i", "v"))
+    f = s.faces().select("project_id", F.col("frame_idx").alias("clip_id"), F.posexplode("embedding").alias("i", "v"))
     p = F.col("v").cast("double")
-    return qa.colour_tier(f.select("project_id", "clip_id", F.floor(F.col("i") / 20).alias("channel"), (F.col("i") % 20).alias("bin"), (p * p).alias("p")))
+    return qa.colour_tier(f.select("project_id", "clip_id", (F.col("i") % 3).alias("channel"), F.floor(F.col("i") / 3).alias("bin"), (p * p).alias("p")))
 
 
 @query("SELECT o_orderkey AS frame_idx, o_custkey AS clip_id FROM orders WHERE o_orderkey % greatest(1, CAST(floor(30 / 2) AS BIGINT)) = 0")
@@ -702,6 +784,35 @@ def j8_genre_defaults(s):
     return planning.genre_defaults(s.tracks().withColumn("genre", F.expr(_GENRE)))
 
 
+@query(f"""SELECT track_id, g AS genre, m.palette, m.lighting, m.locations, m.camera, m.arc FROM (SELECT track_id, {_GENRE} AS g FROM fx_tracks) LEFT JOIN (VALUES
+('pop', 'Bright, saturated, clean', 'Even, polished', 'Fashion-forward, varied', 'Steady, smooth tracking', 'Ordinary → discovery → transformation → celebration'),
+('hip-hop', 'High-contrast, neon accents', 'Hard shadows, rim light', 'Urban, nightlife, studio', 'Low angles, slow-mo', 'Struggle → grind → rise → triumph'),
+('rock', 'Desaturated, earthy', 'Harsh, practical', 'Warehouses, stages, outdoors', 'Handheld feel, fast cuts', 'Frustration → rebellion → release → aftermath'),
+('edm', 'Neon, hyper-saturated', 'Strobes, colored gels', 'Clubs, festivals, abstract', 'Dynamic, zooms, glitch', 'Tension build → anticipation → drop → euphoria'),
+('r&b', 'Warm amber, rich tones', 'Soft backlight, warm', 'Intimate interiors, golden hour', 'Shallow DOF, close-ups', 'Loneliness → attraction → intimacy → devotion'),
+('indie', 'Muted, faded, vintage', 'Natural, overcast', 'Nature, small towns, bedrooms', 'Static, contemplative', 'Observation → introspection → realization → acceptance'),
+('country', 'Golden, warm earth', 'Golden hour, natural', 'Open fields, porches, roads', 'Wide establishing shots', 'Memory → present struggle → community/faith → peace')) m(k, palette, lighting, locations, camera, arc) ON lower(g) = k""", "fx_tracks")
+def j8_genre_looks(s):
+    return planning.genre_looks(s.tracks().withColumn("genre", F.expr(_GENRE)))
+
+
+@query("""WITH k AS (SELECT *, row_number() OVER (PARTITION BY track_id, lower(label) ORDER BY section_idx) AS nth, count(*) OVER (PARTITION BY track_id, lower(label)) AS n FROM fx_sections)
+SELECT track_id, section_idx, CASE WHEN lower(label) = 'verse' THEN CASE WHEN nth = 1 THEN 'Cool blues, desaturated' ELSE 'Slightly warmer than V1' END WHEN lower(label) = 'chorus' THEN CASE WHEN n > 1 AND nth = n THEN 'Golden, most saturated' ELSE 'Warm amber, saturated' END
+WHEN lower(label) = 'bridge' THEN 'Contrasting (opposite of chorus)' WHEN lower(label) = 'outro' THEN 'Return toward cool, fading' END AS temperature FROM k""", "fx_sections")
+def j8_section_temperatures(s):
+    return planning.section_temperatures(s.sections())
+
+
+_MOOD = "CASE clip_id % 9 WHEN 0 THEN 'Hopeful' WHEN 1 THEN 'Melancholic' WHEN 2 THEN 'energetic' WHEN 3 THEN 'Intimate' WHEN 4 THEN 'Defiant' WHEN 5 THEN 'Nostalgic' WHEN 6 THEN 'Ethereal' WHEN 7 THEN 'Triumphant' ELSE 'Bored' END"
+
+
+@query("""SELECT project_id, clip_id, CASE clip_id % 9 WHEN 0 THEN 'Golden light, open spaces, upward angles, warm tones, sunrise' WHEN 1 THEN 'Rain, overcast, cool blue, solitary figures, dusk' WHEN 2 THEN 'Fast movement, bright colors, neon, dynamic angles'
+WHEN 3 THEN 'Close-ups, shallow DOF, warm interior light, soft focus' WHEN 4 THEN 'Low angles, harsh light, strong silhouettes, dramatic contrast' WHEN 5 THEN 'Film grain, warm sepia, soft focus, vintage settings' WHEN 6 THEN 'Fog, lens flare, particles, pastel tones, water'
+WHEN 7 THEN 'Wide epic shots, golden hour, elevated vantage, sweeping vistas' END AS mood_lighting FROM fx_clips""", "fx_clips")
+def j8_mood_lighting(s):
+    return planning.mood_lighting(s.clips().withColumn("mood", F.expr(_MOOD))).select("project_id", "clip_id", "mood_lighting")
+
+
 @query("SELECT track_id AS project_id, arg_min(section_idx, struct_pack(a := CASE WHEN lower(label) = 'chorus' THEN 0 ELSE 1 END, b := -((section_idx * 37) % 10), c := section_idx)) AS scene_no FROM fx_sections GROUP BY ALL", "fx_sections")
 def t4_thumbnail(s):
     return planning.thumbnail(s.sections().select(F.col("track_id").alias("project_id"), F.col("section_idx").alias("scene_no"), F.col("label").alias("section"), (F.col("section_idx") * 37 % 10).alias("score")))
@@ -713,8 +824,57 @@ def w15_shot_scales(s):
 
 
 @query("""WITH r AS (SELECT *, end_s - start_s AS d, CASE WHEN lower(label) IN ('intro', 'outro', 'bridge') THEN 1 WHEN lower(label) IN ('verse', 'chorus') THEN 2 ELSE 1 END AS lo, CASE WHEN lower(label) IN ('verse', 'chorus') THEN 4 ELSE 2 END AS hi FROM fx_sections),
-n AS (SELECT *, CAST(CASE WHEN d < lo * 5 THEN greatest(1, floor(d / 5)) ELSE least(greatest(floor(d / 5), lo), hi) END AS INT) AS n FROM r), x AS (SELECT *, unnest(range(n)) AS i FROM n)
-SELECT track_id, section_idx, CAST(i AS INT) AS scene_in_section, label, round(start_s + i * (d / n), 6) AS start_s, round(start_s + (i + 1) * (d / n), 6) AS end_s FROM x""", "fx_sections")
+n AS (SELECT *, CAST(CASE WHEN d < lo * 5 THEN greatest(1, floor(d / 5)) ELSE least(greatest(floor(d / 5), lo), hi) END AS INT) AS n FROM r),
+q AS (SELECT b.track_id, b.t FROM fx_beats b JOIN fx_tracks t USING (track_id) WHERE t.bpm >= 60 OR beat_idx % 4 = 0),
+y AS (SELECT track_id, section_idx, label, n, unnest(range(n + 1)) AS i, start_s, end_s, d FROM n), p AS (SELECT *, CASE WHEN i = n THEN end_s ELSE start_s + i * (d / n) END AS pt FROM y),
+v AS (SELECT p.*, b.t AS lo FROM p ASOF LEFT JOIN q b ON p.track_id = b.track_id AND p.pt >= b.t), k AS (SELECT v.*, b.t AS hi FROM v ASOF LEFT JOIN q b ON v.track_id = b.track_id AND v.pt <= b.t),
+e AS (SELECT *, CASE WHEN i = 0 OR i = n OR (lo IS NULL AND hi IS NULL) THEN pt WHEN hi IS NULL OR abs(lo - pt) <= abs(hi - pt) THEN lo ELSE hi END AS bound FROM k)
+SELECT a.track_id, a.section_idx, CAST(a.i AS INT) AS scene_in_section, a.label, round(a.bound, 6) AS start_s, round(b.bound, 6) AS end_s FROM e a JOIN e b ON a.track_id = b.track_id AND a.section_idx = b.section_idx AND b.i = a.i + 1""", "fx_sections", "fx_beats")
 def g4_scene_plan(s):
-    p = planning.scene_plan(s.sections())
+    p = planning.scene_plan(s.sections(), s.beats(), s.tracks())
     return p.withColumn("start_s", F.round("start_s", 6)).withColumn("end_s", F.round("end_s", 6))
+
+
+# ---- landmarks, samples, files, streams ----------------------------------------------------
+
+
+@query("""WITH p AS (SELECT l_orderkey AS clip_id, l_suppkey % 3 AS frame_idx, k AS landmark, (l_partkey * k % 1000) / 1000.0E0 AS x FROM lineitem, (VALUES (11), (12), (23), (24), (25)) v(k) WHERE NOT (l_linenumber = 2 AND k = 23)),
+m AS (SELECT clip_id, frame_idx, landmark, max(x) AS x FROM p GROUP BY ALL), w AS (SELECT clip_id, frame_idx, max(x) FILTER (landmark = 11) AS a, max(x) FILTER (landmark = 12) AS b, max(x) FILTER (landmark = 23) AS c, max(x) FILTER (landmark = 24) AS d FROM m GROUP BY ALL)
+SELECT clip_id, frame_idx, CAST(trunc((a + b + c + d) / 4 * 1280) AS INT) AS center_x FROM w""")
+def a15_torso_centers(s):
+    k = F.explode(F.array(*map(F.lit, (11, 12, 23, 24, 25)))).alias("landmark")
+    p = s.table("lineitem").select(F.col("l_orderkey").alias("clip_id"), (F.col("l_suppkey") % 3).alias("frame_idx"), "l_partkey", "l_linenumber", k)
+    p = p.where(~((F.col("l_linenumber") == 2) & (F.col("landmark") == 23))).withColumn("x", F.col("l_partkey") * F.col("landmark") % 1000 / F.lit(1000.0))
+    return clips.torso_centers(p, 1280)
+
+
+@query("""WITH s AS (SELECT track_id, frame_idx AS i, rms AS v FROM fx_energy), f AS (SELECT track_id, v, unnest(range(CAST(greatest(0, ceil((i - 3) / 2.0E0)) AS BIGINT), CAST(floor((i + 4) / 2.0E0) AS BIGINT) + 1)) AS frame_idx FROM s),
+m AS (SELECT track_id, CAST(floor(max(i) / 2.0E0) AS BIGINT) AS last FROM s GROUP BY ALL) SELECT track_id, frame_idx, round(sqrt(sum(v * v) / 8), 6) AS rms FROM f JOIN m USING (track_id) WHERE frame_idx <= last GROUP BY ALL""", "fx_energy")
+def w4_frame_energy(s):
+    """Frames of eight samples, two apart."""
+    samples = s.energy().select("track_id", F.col("frame_idx").alias("sample_idx"), F.col("rms").alias("value"))
+    return sections.frame_energy(samples, 8, 2).withColumn("rms", F.round("rms", 6))
+
+
+_PATH = "'/clips/' || o_custkey || '/' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || CASE o_orderkey % 8 WHEN 0 THEN '.mp4' WHEN 1 THEN '.MOV' WHEN 2 THEN '.mkv' WHEN 3 THEN '.webm' WHEN 4 THEN '.avi' WHEN 5 THEN '.txt' WHEN 6 THEN '.mp4.part' ELSE '.Mp4' END"
+
+
+@query(f"SELECT *, CAST(row_number() OVER (PARTITION BY folder ORDER BY file) - 1 AS INT) AS clip_no FROM (SELECT '/clips/' || o_custkey AS folder, split_part({_PATH}, '/', 4) AS file, o_orderkey * 10 AS length FROM orders WHERE o_orderkey % 8 NOT IN (5, 6))")
+def io5_clip_files(s):
+    """Names of files as a listing gives them."""
+    path = F.expr(_PATH.replace("VARCHAR", "STRING"))
+    return io.clip_files(s.table("orders").select(path.alias("path"), (F.col("o_orderkey") * 10).alias("length")))
+
+
+@query("""SELECT CAST(floor(epoch(ts) / 30) AS BIGINT) * 30 AS chunk_start, user_id AS track_id, count(*) FILTER (event_type = 'click') AS beats, count(*) FILTER (event_type = 'purchase') AS onsets FROM events GROUP BY ALL""")
+def st1_chunk_counts(s):
+    """The streaming job's rows for a whole table."""
+    kind = F.when(F.col("event_type") == "click", "beat").when(F.col("event_type") == "purchase", "onset")
+    e = s.table("events").select(F.col("user_id").alias("track_id"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"))
+    return live.chunk_counts(e).withColumn("chunk_start", F.unix_timestamp("chunk_start"))
+
+
+@query("""SELECT e.track_id, event_id, t, lower(label) AS section FROM fx_events e LEFT JOIN fx_sections s ON e.track_id = s.track_id AND start_s <= t AND t < end_s""", "fx_events", "fx_sections")
+def st3_playing_section(s):
+    """The streaming job's rows for a whole table."""
+    return live.playing_section(s.events().select("track_id", "event_id", "t"), s.sections())

@@ -49,6 +49,32 @@ def snap(probes: DataFrame, events: DataFrame, by: str, at: Column, direction: s
     return n.withColumn(out, F.coalesce(value, F.col("_t"))).drop("prev_t", "next_t", "_t")
 
 
+def with_events_around(probes: DataFrame, events: DataFrame, by: str, at: Column, out: str, chunk: float = CHUNK) -> DataFrame:
+    """``probes`` with a sorted array ``out`` of the events in the chunk of time of ``at`` and the two beside it, and the
+    last one before and the first one after these. For several look-ups of a probe that lie within a chunk of ``at``."""
+    part = F.floor(F.col("t") / F.lit(chunk))
+    e = events.select(F.col(by).alias("_by"), F.explode(F.array(part - 1, part, part + 1)).alias("_chunk"), F.col("t").cast("double").alias("_e"))
+    near = e.groupBy("_by", "_chunk").agg(F.array_sort(F.collect_list("_e")).alias("_near"))
+    p = probes.select(F.struct(*probes.columns).alias("_row"), F.col(by).alias("_by"), F.floor(at / F.lit(chunk)).alias("_chunk"))
+    spots = near.unionByName(p.select("_by", "_chunk").distinct(), allowMissingColumns=True).groupBy("_by", "_chunk").agg(F.first("_near", True).alias("_near"))
+    order = Window.partitionBy("_by").orderBy("_chunk")
+    before = F.last(F.array_max("_near"), True).over(order.rangeBetween(Window.unboundedPreceding, -3))
+    first = F.first(F.get("_near", F.lit(0)), True).over(order.rangeBetween(3, Window.unboundedFollowing))
+    full = F.array_compact(F.concat(F.array(before), F.coalesce("_near", F.array().cast("array<double>")), F.array(first)))
+    spots = spots.select("_by", "_chunk", full.alias(out))
+    return p.join(spots, ["_by", "_chunk"], "left").select("_row.*", out)
+
+
+def last_upto(events: Column, t: Column) -> Column:
+    """J2 [R] in an array of :func:`with_events_around`: the last event up to 0.01 after ``t``, else the first of all, else ``t``."""
+    return F.coalesce(F.array_max(F.filter(events, lambda x: x <= t + F.lit(0.01))), F.array_min(events), t)
+
+
+def first_from(events: Column, t: Column) -> Column:
+    """J2 [R] in such an array: the first event from 0.01 before ``t`` on, else the last of all, else ``t``."""
+    return F.coalesce(F.array_min(F.filter(events, lambda x: x >= t - F.lit(0.01))), F.array_max(events), t)
+
+
 def overlapping(points: DataFrame, spans: DataFrame, by: str, at: Column, lo: Column, hi: Column, test: Column, how: str = "inner", bucket: float = 8.0) -> DataFrame:
     """Range join: rows of ``points`` with the spans of their song that may hold ``at`` and pass
     ``test``. Spans are copied to each bucket of ``bucket`` seconds that [lo, hi] touches."""
@@ -60,10 +86,19 @@ def overlapping(points: DataFrame, spans: DataFrame, by: str, at: Column, lo: Co
 
 def section_at(probes: DataFrame, sections: DataFrame, by: str, at: str, key: list[str], out: str = "section") -> DataFrame:
     """J3 [R]: lower-cased label of the first section with start <= t < end, else ``unknown``. ``key`` names a probe."""
+    return sections_at(probes, sections, by, {out: F.col(at)}, key)
+
+
+def sections_at(probes: DataFrame, sections: DataFrame, by: str, at: dict[str, Column], key: list[str]) -> DataFrame:
+    """J3 [R] at several times of a probe (new column: time), in one join."""
     s = sections.select(by, "section_idx", "start_s", "end_s", F.lower("label").alias("_label"))
-    j = overlapping(probes, s, by, F.col(at), F.col("start_s"), F.col("end_s"), (F.col("start_s") <= F.col(at)) & (F.col(at) < F.col("end_s")), "left", 32.0)
+    times = F.array(*(F.struct(F.lit(out).alias("out"), t.alias("t")) for out, t in at.items()))
+    p = probes.withColumn("_at", F.explode(times))
+    t = F.col("_at.t")
+    j = overlapping(p, s, by, t, F.col("start_s"), F.col("end_s"), (F.col("start_s") <= t) & (t < F.col("end_s")), "left", 32.0)
     rest = [F.first(c).alias(c) for c in probes.columns if c not in key]
-    return j.groupBy(*key).agg(*rest, F.coalesce(F.min_by("_label", "section_idx"), F.lit("unknown")).alias(out))
+    first = lambda out: F.coalesce(F.min_by(F.when(F.col("_at.out") == out, F.col("_label")), F.when(F.col("_at.out") == out, F.col("section_idx"))), F.lit("unknown")).alias(out)
+    return j.groupBy(*key).agg(*rest, *map(first, at))
 
 
 def in_window(events: DataFrame, start: float, end: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import transition
-from .asof import nearest, section_at
+from .asof import nearest, sections_at
 
 
 def cut_list(clips: DataFrame, beats: DataFrame, sections: DataFrame, default_td: float | None = None) -> DataFrame:
@@ -16,10 +16,8 @@ def cut_list(clips: DataFrame, beats: DataFrame, sections: DataFrame, default_td
     w = Window.partitionBy("project_id").orderBy("clip_id")
     c = clips.select("project_id", "clip_id", "track_id", F.sum("duration").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("raw_cut"), F.lead("clip_id").over(w).alias("next_clip"))
     c = nearest(c.where("next_clip is not null").drop("next_clip"), beats, "track_id", "raw_cut", "snapped_cut")
-    c = c.withColumn("before_t", F.col("snapped_cut") - 0.1).withColumn("after_t", F.col("snapped_cut") + 0.1)
-    key = ["project_id", "clip_id"]
-    c = section_at(c, sections, "track_id", "before_t", key, "section_before")
-    c = section_at(c, sections, "track_id", "after_t", key, "section_after")
+    at = {"section_before": F.col("snapped_cut") - 0.1, "section_after": F.col("snapped_cut") + 0.1}
+    c = sections_at(c, sections, "track_id", at, ["project_id", "clip_id"])
     kind, td = transition(F.col("section_before"), F.col("section_after"))
     return c.select("project_id", "clip_id", "raw_cut", "snapped_cut", "section_before", "section_after", kind.alias("xfade"), (F.lit(default_td) if default_td else td).alias("td"))
 
@@ -35,11 +33,13 @@ def offsets(clips: DataFrame, cuts: DataFrame) -> DataFrame:
     return j.select("project_id", "clip_id", F.when(hard, "fade").otherwise(F.col("xfade")).alias("transition"), F.col("used").alias("duration"), F.greatest(F.lit(0.0), upto - F.col("own")).alias("offset"))
 
 
-def audit(cuts: DataFrame, clips: DataFrame, songs: DataFrame) -> DataFrame:
+def audit(cuts: DataFrame, clips: DataFrame, songs: DataFrame, uncovered: DataFrame) -> DataFrame:
     """Q10 [D]: per project: cuts over 0.1 s off a beat, difference of clip and song length, clips without
-    a stream or not 16:9."""
+    a stream or not 16:9, lyric lines of its song without a caption (``uncovered``: track_id, line_index)."""
+    gaps = uncovered.groupBy("track_id").agg(F.count("*").alias("uncovered_lines"))
+    own = clips.groupBy("project_id").agg(F.min("track_id").alias("track_id")).join(gaps, "track_id", "left").select("project_id", "uncovered_lines")
     off = cuts.groupBy("project_id").agg(F.count_if(F.round(F.abs(F.col("raw_cut") - F.col("snapped_cut")), 6) > 0.1).alias("off_beat"))
     p = clips.join(songs.select("track_id", F.col("duration").alias("song_s")), "track_id", "left")
     p = p.groupBy("project_id").agg((F.abs(F.sum("duration") - F.max("song_s")) <= 1).alias("length_ok"), F.count_if(~F.col("has_video")).alias("no_stream"),
                                     F.count_if(F.col("has_video") & (F.col("width") * 9 != F.col("height") * 16)).alias("not_16_9"))
-    return p.join(off, "project_id", "left").fillna(0, ["off_beat"])
+    return p.join(off, "project_id", "left").join(own, "project_id", "left").fillna(0, ["off_beat", "uncovered_lines"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .asof import overlapping, snap
+from .asof import first_from, last_upto, overlapping, with_events_around
 
 # Score of a section by a word in its label, first match first.
 TYPE_SCORES = (("chorus", 0.9), ("drop", 0.95), ("climax", 0.95), ("bridge", 0.7), ("prechorus", 0.65), ("pre-chorus", 0.65), ("verse", 0.5), ("intro", 0.4), ("outro", 0.3))
@@ -35,16 +35,16 @@ def with_bonuses(scored: DataFrame) -> DataFrame:
 
 
 def candidates(scored: DataFrame, beats: DataFrame, least: float = 15.0, most: float = 30.0) -> DataFrame:
-    """T1 [R]: window of each section: 15 to 30 s, on beats, snapped again where that moved it too far."""
+    """T1 [R]: window of each section: 15 to 30 s, on beats, snapped again where that moved it too far. All
+    look-ups of a section read one array of the beats around its start."""
     n = F.col("end_s") - F.col("start_s")
-    s = scored.withColumn("raw_end", F.when(n < least, F.col("start_s") + least).when(n > most, F.col("start_s") + most).otherwise(F.col("end_s")))
-    s = snap(s, beats, "track_id", F.col("start_s"), "before", "a")
-    s = snap(s, beats, "track_id", F.col("raw_end"), "after", "b")
-    s = snap(s, beats, "track_id", F.col("a") + most, "before", "b_long")
-    s = s.withColumn("b", F.when(F.col("b") - F.col("a") > most + 1, F.col("b_long")).otherwise(F.col("b")))
-    s = snap(s, beats, "track_id", F.col("a") + least, "after", "b_short")
-    end = F.when(F.col("b") - F.col("a") < least - 1, F.col("b_short")).otherwise(F.col("b"))
-    return s.select("track_id", "section_idx", "label", "score", F.greatest(F.col("a"), F.lit(0.0)).alias("clip_start"), end.alias("clip_end"))
+    raw = F.when(n < least, F.col("start_s") + least).when(n > most, F.col("start_s") + most).otherwise(F.col("end_s"))
+    s = with_events_around(scored, beats, "track_id", F.col("start_s"), "near")
+    near, a, b = F.col("near"), F.col("a"), F.col("b")
+    s = s.withColumn("a", last_upto(near, F.col("start_s"))).withColumn("b", first_from(near, raw))
+    s = s.withColumn("b", F.when(b - a > most + 1, last_upto(near, a + most)).otherwise(b))
+    s = s.withColumn("b", F.when(b - a < least - 1, first_from(near, a + least)).otherwise(b))
+    return s.select("track_id", "section_idx", "label", "score", F.greatest(a, F.lit(0.0)).alias("clip_start"), b.alias("clip_end"))
 
 
 def pick(cands: DataFrame, k: int, margin: float = 2.0) -> DataFrame:
@@ -88,3 +88,14 @@ def subject_centers(boxes: DataFrame) -> DataFrame:
     """A15 [R]: centre of the largest face of each frame, the first on ties (then the leftmost). ``boxes``: clip_id, frame_idx, box_idx, x, w, h (null without a face)."""
     best = F.min_by(F.col("x") + F.floor(F.col("w") / 2), F.when(F.col("w").isNotNull(), F.struct(-(F.col("w") * F.col("h")), "box_idx", "x")))
     return boxes.groupBy("clip_id", "frame_idx").agg(best.cast("int").alias("center_x"))
+
+
+#: Landmarks of both shoulders and both hips.
+TORSO = (11, 12, 23, 24)
+
+
+def torso_centers(landmarks: DataFrame, width: int) -> DataFrame:
+    """A15 [R]: centre of a frame's torso, the mean place of four landmarks in pixels, cut off; null without all four.
+    ``landmarks``: clip_id, frame_idx, landmark, x (share of the width)."""
+    of = [F.max(F.when(F.col("landmark") == k, F.col("x"))) for k in TORSO]
+    return landmarks.groupBy("clip_id", "frame_idx").agg((sum(of[1:], of[0]) / 4 * width).cast("int").alias("center_x"))

@@ -45,21 +45,47 @@ def curves(beats: DataFrame, onsets: DataFrame, chorus: DataFrame, fps: float, r
     return sums.select("track_id", "frame_idx", (1 + F.col("zoom")).alias("zoom"), "flash", (1 + F.col("saturation")).alias("saturation"))
 
 
-def chunking(songs: DataFrame, beats: DataFrame, onsets: DataFrame, chorus: DataFrame) -> DataFrame:
-    """X14 [R]: events, estimated length of the expressions, and whether a song must go in chunks."""
+def chunking(songs: DataFrame, beats: DataFrame, onsets: DataFrame, chorus: DataFrame, enabled: tuple[str, ...] = VALID) -> DataFrame:
+    """X14 [R]: events, estimated length of the expressions, and whether a song must go in chunks; only the
+    enabled effects count."""
     n = lambda df, c: df.groupBy("track_id").agg(F.count("*").alias(c))
     j = songs.select("track_id").join(n(beats, "b"), "track_id", "left").join(n(onsets, "o"), "track_id", "left").join(n(chorus, "c"), "track_id", "left").fillna(0, ["b", "o", "c"])
-    chars = F.col("b") * 60 + F.col("o") * 55 + F.col("c") * 60 + 150
-    events = F.col("b") + F.col("o")
+    # Characters of a term and of its frame.
+    used = [F.col(c) * per + 50 for name, c, per in (("zoom", "b", 60), ("flash", "o", 55), ("saturation", "c", 60)) if name in enabled]
+    chars = sum(used, F.lit(0).cast("long"))
+    events = sum((F.col(c) for name, c in (("zoom", "b"), ("flash", "o")) if name in enabled), F.lit(0).cast("long"))
     return j.select("track_id", events.alias("n_events"), chars.alias("est_chars"), ((events > MOST_EVENTS) | (chars > MOST_CHARS)).alias("chunked"))
 
 
-def expressions(songs: DataFrame, beats: DataFrame, size: float = 30.0) -> DataFrame:
-    """X15 [R]: zoom expression of each 30-second chunk of a song, ``0`` for one without beats."""
-    term = F.format_string("if(between(t,%.3f,%.3f),0.03*(1-(t-%.3f)/0.15),0)", "t", F.col("t") + 0.15, "t")
-    b = beats.select("track_id", F.floor(F.col("t") / size).alias("chunk"), "t", "beat_idx", term.alias("term"))
-    got = b.groupBy("track_id", "chunk").agg(F.array_sort(F.collect_list(F.struct("t", "beat_idx", "term"))).alias("g"))
-    n = F.ceil(F.col("duration") / size)
-    grid = songs.select("track_id", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("chunk"))
-    return grid.join(got, ["track_id", "chunk"], "left").select("track_id", "chunk", (F.col("chunk") * size).alias("chunk_start"),
-                                                                F.coalesce(F.array_join(F.transform("g", lambda r: r["term"]), "+"), F.lit("0")).alias("zoom_expr"))
+def expressions(songs: DataFrame, beats: DataFrame, onsets: DataFrame, chorus: DataFrame, size: float | None = 30.0, relative: bool = False) -> DataFrame:
+    """X15 [R]: zoom, brightness and saturation expressions of each 30-second chunk of a song, or of whole songs
+    (``size`` None); choruses are clipped to their chunks. ``relative`` counts times from a chunk's start."""
+    if size is None:
+        grid = songs.select("track_id", F.lit(0).cast("long").alias("chunk"), F.lit(0.0).alias("chunk_start"), F.col("duration").alias("chunk_end"))
+    else:
+        n = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("duration") / size) - 1)).alias("chunk")
+        grid = songs.select("track_id", "duration", n).select(
+            "track_id", "chunk", (F.col("chunk") * size).alias("chunk_start"), F.least((F.col("chunk") + 1) * size, F.col("duration")).alias("chunk_end"))
+    shift = F.col("chunk_start") if relative else F.lit(0.0)
+    chunk = lambda t: F.lit(0).cast("long") if size is None else F.floor(t / size)
+
+    def joined(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+        terms = F.array_sort(F.collect_list(F.struct(*order, "term")))
+        return rows.groupBy("track_id", "chunk").agg(F.array_join(F.transform(terms, lambda r: r["term"]), "+").alias(name))
+
+    def pulses(events: DataFrame, index: str, height: str, seconds: str, name: str) -> DataFrame:
+        e = events.select("track_id", "t", index, chunk(F.col("t")).alias("chunk")).withColumn("chunk_start", F.col("chunk") * (size or 0.0))
+        t = F.col("t") - shift
+        term = F.format_string(f"if(between(t,%.3f,%.3f),{height}*(1-(t-%.3f)/{seconds}),0)", t, t + float(seconds), t)
+        return joined(e.withColumn("term", term), ["t", index], name)
+
+    lo, hi = F.greatest("start_s", "chunk_start"), F.least("end_s", "chunk_end")
+    c = chorus.select("track_id", "section_idx", "start_s", "end_s").join(grid, "track_id").where((F.col("start_s") < F.col("chunk_end")) & (F.col("end_s") > F.col("chunk_start")))
+    a, z = lo - shift, hi - shift
+    ramp = F.format_string("if(between(t,%.3f,%.3f),0.4*((t-%.3f)/1.0),if(between(t,%.3f,%.3f),0.4,0))", a, a + 1.0, a, a + 1.0, z)
+    g = grid.drop("chunk_end")
+    for part in (pulses(beats, "beat_idx", "0.03", "0.15", "zoom_expr"), pulses(onsets, "onset_idx", "0.2", "0.1", "brightness_expr"),
+                 joined(c.withColumn("term", ramp), ["section_idx"], "saturation_expr")):
+        g = g.join(part, ["track_id", "chunk"], "left")
+    return g.select("track_id", "chunk", "chunk_start", F.coalesce("zoom_expr", F.lit("0")).alias("zoom_expr"), F.coalesce("brightness_expr", F.lit("0")).alias("brightness_expr"),
+                    F.concat_ws("+", F.lit("1"), "saturation_expr").alias("saturation_expr"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .asof import nearest
+
 # Prices in dollars.
 IMAGE, PER_SECOND, FLAT = 0.04, {"kling-3.0-pro": 0.112, "kling-3.0-standard": 0.084, "kling-2.6-pro": 0.07}, 0.59
 # Genre: frames a second, caption template, effects on by default.
@@ -15,6 +17,46 @@ SCENES, SCENE_SECONDS = {"intro": (1, 2), "outro": (1, 2), "verse": (2, 4), "cho
 SCALES = ("wide", "medium", "close-up")
 
 
+# Genre: palette, lighting, locations, camera.
+LOOKS = {
+    "pop": ("Bright, saturated, clean", "Even, polished", "Fashion-forward, varied", "Steady, smooth tracking"),
+    "hip-hop": ("High-contrast, neon accents", "Hard shadows, rim light", "Urban, nightlife, studio", "Low angles, slow-mo"),
+    "rock": ("Desaturated, earthy", "Harsh, practical", "Warehouses, stages, outdoors", "Handheld feel, fast cuts"),
+    "edm": ("Neon, hyper-saturated", "Strobes, colored gels", "Clubs, festivals, abstract", "Dynamic, zooms, glitch"),
+    "r&b": ("Warm amber, rich tones", "Soft backlight, warm", "Intimate interiors, golden hour", "Shallow DOF, close-ups"),
+    "indie": ("Muted, faded, vintage", "Natural, overcast", "Nature, small towns, bedrooms", "Static, contemplative"),
+    "country": ("Golden, warm earth", "Golden hour, natural", "Open fields, porches, roads", "Wide establishing shots"),
+}
+# Genre: narrative arc.
+ARCS = {
+    "pop": "Ordinary → discovery → transformation → celebration", "hip-hop": "Struggle → grind → rise → triumph",
+    "rock": "Frustration → rebellion → release → aftermath", "edm": "Tension build → anticipation → drop → euphoria",
+    "r&b": "Loneliness → attraction → intimacy → devotion", "indie": "Observation → introspection → realization → acceptance",
+    "country": "Memory → present struggle → community/faith → peace",
+}
+# Section: colour temperature.
+TEMPERATURES = {
+    "verse 1": "Cool blues, desaturated", "chorus": "Warm amber, saturated", "verse 2": "Slightly warmer than V1",
+    "bridge": "Contrasting (opposite of chorus)", "final chorus": "Golden, most saturated", "outro": "Return toward cool, fading",
+}
+# Mood: lighting.
+MOODS = {
+    "hopeful": "Golden light, open spaces, upward angles, warm tones, sunrise", "melancholic": "Rain, overcast, cool blue, solitary figures, dusk",
+    "energetic": "Fast movement, bright colors, neon, dynamic angles", "intimate": "Close-ups, shallow DOF, warm interior light, soft focus",
+    "defiant": "Low angles, harsh light, strong silhouettes, dramatic contrast", "nostalgic": "Film grain, warm sepia, soft focus, vintage settings",
+    "ethereal": "Fog, lens flare, particles, pastel tones, water", "triumphant": "Wide epic shots, golden hour, elevated vantage, sweeping vistas",
+}
+# Visual element: words for it, meanings.
+METAPHORS = {
+    "water": (("water",), "Emotion, purification, transformation"), "fire": (("fire",), "Passion, destruction, transformation, rage"),
+    "birds/flight": (("bird", "birds", "flight"), "Freedom, transcendence, escape"), "mirrors": (("mirror", "mirrors"), "Identity, self-reflection, duality"),
+    "rain/storms": (("rain", "storm", "storms"), "Tension, turmoil, cleansing"), "forests": (("forest", "forests"), "Tranquility, escape, the unknown"),
+    "cages/walls": (("cage", "cages", "wall", "walls"), "Entrapment, limitation"), "light/dark": (("light", "dark"), "Knowledge/ignorance, hope/despair"),
+    "clocks/sand": (("clock", "clocks", "sand"), "Mortality, urgency, time passing"), "doors/crossroads": (("door", "doors", "crossroads"), "Choice, transition, new beginnings"),
+    "broken glass": (("glass",), "Shattered illusions, vulnerability"), "red thread": (("thread",), "Connection, fate, unraveling"), "candle flame": (("candle", "flame"), "Hope, fragility, memory"),
+}
+
+
 def _mapped(values: dict, key):
     return F.element_at(F.create_map(*(F.lit(x) for kv in values.items() for x in kv)), key)
 
@@ -26,6 +68,34 @@ def genre_defaults(songs: DataFrame) -> DataFrame:
     return songs.select("track_id", "genre", pick(0).alias("fps"), pick(1).alias("template"), F.coalesce(pick(2), F.lit(False)).alias("effects"))
 
 
+def genre_looks(songs: DataFrame) -> DataFrame:
+    """J8 [D]: palette, lighting, locations, camera and narrative arc by genre; null for an unknown genre."""
+    low = F.lower("genre")
+    looks = (_mapped({k: v[i] for k, v in LOOKS.items()}, low).alias(n) for i, n in enumerate(("palette", "lighting", "locations", "camera")))
+    return songs.select("track_id", "genre", *looks, _mapped(ARCS, low).alias("arc"))
+
+
+def section_temperatures(sections: DataFrame) -> DataFrame:
+    """J8 [D]: colour temperature of each section; later verses are as the second, the last of several choruses is
+    final; null for labels without one."""
+    low = F.lower("label")
+    kind = Window.partitionBy("track_id", low)
+    nth, n = F.row_number().over(kind.orderBy("section_idx")), F.count("*").over(kind)
+    key = F.when(low == "verse", F.when(nth == 1, "verse 1").otherwise("verse 2")).when((low == "chorus") & (n > 1) & (nth == n), "final chorus").otherwise(low)
+    return sections.select("track_id", "section_idx", key.alias("key")).select("track_id", "section_idx", _mapped(TEMPERATURES, F.col("key")).alias("temperature"))
+
+
+def mood_lighting(scenes: DataFrame) -> DataFrame:
+    """J8 [D]: ``scenes`` with the lighting of their mood; null for an unknown mood."""
+    return scenes.withColumn("mood_lighting", _mapped(MOODS, F.lower("mood")))
+
+
+def theme_lexicon(spark: SparkSession, emotional: tuple[str, ...]) -> DataFrame:
+    """A16 [A]: ``word, theme``: the words of each visual element, and those of emotion."""
+    rows = [(w, k) for k, (words, _) in METAPHORS.items() for w in words] + [(w, "emotional") for w in emotional]
+    return spark.createDataFrame(rows, "word string, theme string")
+
+
 def costs(clips: DataFrame) -> DataFrame:
     """A13 [D]: cost by project and model, by project, and of all. ``clips``: project_id, model, duration."""
     each = clips.withColumn("usd", IMAGE + F.col("duration") * _mapped(PER_SECOND, F.col("model")))
@@ -60,8 +130,17 @@ def scene_counts(sections: DataFrame) -> DataFrame:
     return sections.withColumn("n_scenes", F.when(dur < lo * SCENE_SECONDS, F.greatest(F.lit(1), fit)).otherwise(F.least(F.greatest(fit, lo), hi)).cast("int"))
 
 
-def scene_plan(sections: DataFrame) -> DataFrame:
-    """G4 [D]: equal scenes of each section; snap the inner bounds with :func:`asof.nearest`."""
-    s = scene_counts(sections).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_scenes") - 1)))
+def scene_plan(sections: DataFrame, beats: DataFrame, songs: DataFrame) -> DataFrame:
+    """G4 [D]: equal scenes of each section whose inner bounds go to the nearest beat; in songs under 60 BPM only
+    every fourth beat counts. ``beats``: track_id, beat_idx, t; ``songs``: track_id, bpm."""
+    slow = songs.where(F.col("bpm") < 60).select("track_id", F.lit(True).alias("slow"))
+    counted = beats.join(slow, "track_id", "left").where(F.col("slow").isNull() | (F.col("beat_idx") % 4 == 0)).select("track_id", "t")
+    s = scene_counts(sections)
     step = (F.col("end_s") - F.col("start_s")) / F.col("n_scenes")
-    return s.select("track_id", "section_idx", F.col("i").alias("scene_in_section"), "label", (F.col("start_s") + F.col("i") * step).alias("start_s"), (F.col("start_s") + (F.col("i") + 1) * step).alias("end_s"))
+    key = ["track_id", "section_idx"]
+    inner = s.where("n_scenes > 1").select(*key, "start_s", "end_s", "n_scenes", F.explode(F.sequence(F.lit(1), F.col("n_scenes") - 1)).alias("i"))
+    inner = nearest(inner.select(*key, "i", (F.col("start_s") + F.col("i") * step).alias("at")), counted, "track_id", "at", "bound")
+    bounds = inner.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "bound"))), lambda r: r["bound"]).alias("inner"))
+    s = s.join(bounds, key, "left").withColumn("all", F.concat(F.array("start_s"), F.coalesce("inner", F.array().cast("array<double>")), F.array("end_s")))
+    s = s.select(*key, "label", "all", F.explode(F.sequence(F.lit(0), F.col("n_scenes") - 1)).alias("i"))
+    return s.select(*key, F.col("i").alias("scene_in_section"), "label", F.get("all", F.col("i")).alias("start_s"), F.get("all", F.col("i") + 1).alias("end_s"))

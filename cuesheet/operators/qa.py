@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.numbers import rounded
+
 FACE, JUMP, COLOUR = 0.5, 0.65, 0.7
 
 
@@ -24,15 +26,15 @@ def face_tier(frames: DataFrame, references: DataFrame) -> DataFrame:
     ``frames``: project_id, clip_id, frame_idx, embedding, has_face; ``references``: project_id, reference."""
     s = frames.join(references, "project_id").withColumn("sim", F.when(F.col("has_face"), cosine(F.col("embedding"), F.col("reference"))))
     g = s.groupBy("project_id", "clip_id").agg(F.count("*").alias("frames_checked"), F.count("sim").alias("frames_with_face"), F.min("sim").alias("lo"), F.avg("sim").alias("mean"))
-    return g.select("project_id", "clip_id", "frames_checked", "frames_with_face", F.coalesce(F.round("lo", 4), F.lit(0.0)).alias("min_similarity"),
-                    F.coalesce(F.round("mean", 4), F.lit(0.0)).alias("mean_similarity"), F.coalesce(F.col("lo") >= FACE, F.lit(True)).alias("passed"))
+    return g.select("project_id", "clip_id", "frames_checked", "frames_with_face", F.coalesce(rounded(F.col("lo"), 4), F.lit(0.0)).alias("min_similarity"),
+                    F.coalesce(rounded(F.col("mean"), 4), F.lit(0.0)).alias("mean_similarity"), F.coalesce(F.col("lo") >= FACE, F.lit(True)).alias("passed"))
 
 
 def ssim_tier(pairs: DataFrame) -> DataFrame:
     """A6 [R]: mean and least similarity of consecutive frames of a clip, the first worst pair, whether it jumps.
     ``pairs``: project_id, clip_id, pair_idx, ssim."""
     worst = F.min(F.struct("ssim", "pair_idx"))["pair_idx"]
-    g = pairs.where("ssim is not null").groupBy("project_id", "clip_id").agg(F.round(F.avg("ssim"), 4).alias("mean_ssim"), F.round(F.min("ssim"), 4).alias("min_ssim"), worst.alias("i"))
+    g = pairs.where("ssim is not null").groupBy("project_id", "clip_id").agg(rounded(F.avg("ssim"), 4).alias("mean_ssim"), rounded(F.min("ssim"), 4).alias("min_ssim"), worst.alias("i"))
     return g.select("project_id", "clip_id", "mean_ssim", "min_ssim", F.format_string("frame_%05d-frame_%05d", "i", F.col("i") + 1).alias("min_pair"), (F.col("min_ssim") < JUMP).alias("jump"))
 
 
@@ -51,6 +53,7 @@ def colour_tier(hist: DataFrame) -> DataFrame:
 def technical_checks(clips: DataFrame) -> DataFrame:
     """X12 [R]: issues of a probed clip; without a stream that is the only one. ``expected`` may be null."""
     size = F.format_string("%dx%d", "width", "height")
+    # Texts of the issues.
     checks = F.array(
         F.when(F.least("width", "height") < 720, F.concat(F.lit("Resolution below 720p ("), size, F.lit(")"))),
         F.when(F.col("fps") < 24, F.concat(F.lit("Frame rate below 24fps ("), F.format_string("%.2f", "fps"), F.lit(")"))),
@@ -68,14 +71,19 @@ def overall(clips: DataFrame) -> DataFrame:
     parts = ((face, 0.3), (v, 0.5), (F.col("colour"), 0.2))
     total = sum((F.coalesce(s * w, F.lit(0.0)) for s, w in parts), F.lit(0.0))
     weight = sum((F.when(s.isNotNull(), w).otherwise(0.0) for s, w in parts), F.lit(0.0))
-    return clips.withColumn("overall_score", F.round(F.least(F.greatest(F.try_divide(total, weight), F.lit(0.0)), F.lit(1.0)), 2))
+    return clips.withColumn("overall_score", rounded(F.least(F.greatest(F.try_divide(total, weight), F.lit(0.0)), F.lit(1.0)), 2))
 
 
 def summary(results: DataFrame) -> DataFrame:
-    """A9 [R]: totals and failed files of each project, and of the catalogue (null project)."""
-    failed = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("clip_id")))), lambda x: x.cast("string")), ",")
-    return results.rollup("project_id").agg(F.count("*").alias("total"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"),
-                                            F.when(F.grouping("project_id") == 0, failed).alias("failed_clips"))
+    """A9 [R]: totals and failed files of each project, and the totals of the catalogue (null project, no files).
+    The catalogue's row is the sum of the projects' rows; no list is gathered for it."""
+    failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("clip_id"))))
+    each = results.groupBy("project_id").agg(
+        F.count("*").alias("total"), F.count_if("passed").alias("n_passed"), F.count_if(~F.col("passed")).alias("failed"),
+        F.array_join(F.transform(failed, lambda x: x.cast("string")), ",").alias("failed_clips")).withColumnRenamed("n_passed", "passed")
+    whole = results.groupBy("project_id").agg(F.count("*").alias("total"), F.count_if("passed").alias("n"))
+    whole = whole.agg(F.lit(None).cast(each.schema["project_id"].dataType).alias("project_id"), F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("n"), F.lit(0)).alias("passed"))
+    return each.unionByName(whole.withColumn("failed", F.col("total") - F.col("passed")).withColumn("failed_clips", F.lit(None).cast("string")))
 
 
 def frozen_runs(pairs: DataFrame, limit: float = 0.999) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.numbers import rounded
 from .asof import nearest
 
 HOP = 512 / 22050
@@ -23,8 +24,8 @@ def normalised_energy(frames: DataFrame) -> DataFrame:
     """W4 [R]: energy over the song's largest (0 stays 0), 4 digits; time of the frame, 3 digits.
     The largest comes from an aggregate that is joined back, not from a window over raw frames."""
     top = frames.groupBy("track_id").agg(F.max("rms").alias("top"))
-    return frames.join(top, "track_id").select("track_id", "frame_idx", F.round(F.col("frame_idx") * HOP, 3).alias("time"),
-                                               F.round(F.when(F.col("top") > 0, F.col("rms") / F.col("top")).otherwise(F.col("rms")), 4).alias("value"))
+    return frames.join(top, "track_id").select("track_id", "frame_idx", rounded(F.col("frame_idx") * F.lit(HOP), 3).alias("time"),
+                                               rounded(F.when(F.col("top") > 0, F.col("rms") / F.col("top")).otherwise(F.col("rms")), 4).alias("value"))
 
 
 def block_energy(blocks: DataFrame, samples: DataFrame, step: float, span: float = 4.0) -> DataFrame:
@@ -45,10 +46,10 @@ def merge_blocks(blocks: DataFrame, songs: DataFrame) -> DataFrame:
     w = Window.partitionBy("track_id").orderBy("block_idx")
     flagged = blocks.withColumn("new", F.coalesce((F.col("cluster") != F.lag("cluster").over(w)).cast("int"), F.lit(1)))
     runs = flagged.withColumn("section_idx", (F.sum("new").over(w) - 1).cast("int")).groupBy("track_id", "section_idx").agg(
-        F.min("t").alias("start_s"), F.first("cluster").alias("cluster"), F.round(F.avg("energy"), 3).alias("energy_avg"))
+        F.min("t").alias("start_s"), F.first("cluster").alias("cluster"), rounded(F.avg("energy"), 3).alias("energy_avg"))
     nxt = F.lead("start_s").over(Window.partitionBy("track_id").orderBy("section_idx"))
     return runs.join(songs.select("track_id", "duration"), "track_id").select(
-        "track_id", "section_idx", F.round("start_s", 3).alias("start_s"), F.round(F.coalesce(nxt, "duration"), 3).alias("end_s"), "cluster", "energy_avg")
+        "track_id", "section_idx", rounded(F.col("start_s"), 3).alias("start_s"), rounded(F.coalesce(nxt, "duration"), 3).alias("end_s"), "cluster", "energy_avg")
 
 
 def label_sections(sections: DataFrame) -> DataFrame:
@@ -96,8 +97,23 @@ def bpm_of(beats: DataFrame) -> DataFrame:
     return gaps.groupBy("track_id").agg(F.percentile("gap", F.lit(0.5)).alias("gap")).select("track_id", F.round(F.when(F.col("gap") > 0, 60 / F.col("gap")), 1).alias("bpm"))
 
 
-def peaks(frames: DataFrame, reach: int = 3, delta: float = 1.0) -> DataFrame:
-    """W14 [A]: frames that are the largest of their surroundings and exceed their mean by ``delta``."""
-    w = Window.partitionBy("track_id").orderBy("frame_idx").rowsBetween(-reach, reach)
-    return frames.withColumn("top", F.max("rms").over(w)).withColumn("mean", F.avg("rms").over(w)).where(
-        (F.col("rms") == F.col("top")) & (F.col("rms") >= F.col("mean") + delta)).select("track_id", "frame_idx", "t")
+def peaks(frames: DataFrame, reach: int = 3, delta: float = 1.0, size: int = 4096) -> DataFrame:
+    """W14 [A]: frames that are the largest of their surroundings and exceed their mean by ``delta``. A song
+    goes in chunks of ``size`` frames, with those within ``reach`` of a border in both."""
+    i = F.col("frame_idx")
+    chunks = F.array_distinct(F.transform(F.array(i - reach, i, i + reach), lambda x: F.floor(x / size)))
+    f = frames.withColumn("chunk", F.explode(chunks))
+    w = Window.partitionBy("track_id", "chunk").orderBy("frame_idx").rowsBetween(-reach, reach)
+    f = f.withColumn("top", F.max("rms").over(w)).withColumn("mean", F.avg("rms").over(w)).where(F.col("chunk") == F.floor(i / size))
+    return f.where((F.col("rms") == F.col("top")) & (F.col("rms") >= F.col("mean") + delta)).select("track_id", "frame_idx", "t")
+
+
+def frame_energy(samples: DataFrame, length: int = 2048, hop: int = 512) -> DataFrame:
+    """W4 [A]: root mean square of overlapping frames of samples, frame k centred on sample k * hop with silence
+    around the song. A sample is sent to the frames that hold it. ``samples``: track_id, sample_idx, value."""
+    i, half = F.col("sample_idx"), length // 2
+    k = F.explode(F.sequence(F.greatest(F.ceil((i - half + 1) / hop), F.lit(0)), F.floor((i + half) / hop)))
+    sums = samples.select("track_id", i, "value", k.alias("frame_idx"))
+    last = samples.groupBy("track_id").agg(F.floor(F.max("sample_idx") / hop).alias("last"))
+    e = sums.groupBy("track_id", "frame_idx").agg(F.sqrt(F.sum(F.col("value") * F.col("value")) / length).alias("rms"))
+    return e.join(last, "track_id").where("frame_idx <= last").drop("last")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import ASS_HEAD, CAPTION_STYLES, CONNECTORS, CONNECTORS_WITH_ROLES, EMOTIONAL, ass_time, karaoke
+from ..functions.text import ASS_HEAD, CAPTION_STYLES, CONNECTORS, CONNECTORS_WITH_ROLES, EMOTIONAL, ass_time, karaoke, normalised
 
 
 def lines_of(words: DataFrame) -> DataFrame:
@@ -25,8 +25,11 @@ def frame_grid(words: DataFrame, fps: float) -> DataFrame:
 
 
 def beats_from_bpm(songs: DataFrame, default: float = 120.0) -> DataFrame:
-    """G2 [R]: a beat every 60 / bpm seconds below ``until``. ``songs``: track_id, bpm, until."""
+    """G2 [R]: a beat every 60 / bpm seconds below ``until``; [D] every 2 seconds where ``detected`` (if there is
+    such a column) says that there are none. ``songs``: track_id, bpm, until."""
     step = F.lit(60.0) / F.coalesce(F.col("bpm").cast("double"), F.lit(default))
+    if "detected" in songs.columns:
+        step = F.when(F.col("detected"), step).otherwise(2.0)
     idx = F.filter(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("until") / step)), lambda i: i * step < F.col("until"))
     return songs.select("track_id", step.alias("step"), F.explode(idx).alias("beat_idx")).select("track_id", "beat_idx", (F.col("beat_idx") * F.col("step")).alias("t"))
 
@@ -141,3 +144,9 @@ def ass_documents(words: DataFrame, style: str) -> DataFrame:
     line = F.concat(F.lit("Dialogue: 0,"), ass_time(first["start_s"]), F.lit(","), ass_time(last["end_s"]), F.lit(f",{look['name']},,0,0,0,,"), karaoke(F.col("w")), F.lit("\n"))
     songs = lines.select("track_id", "line_index", line.alias("line")).groupBy("track_id").agg(F.array_sort(F.collect_list(F.struct("line_index", "line"))).alias("g"))
     return songs.select("track_id", F.concat(F.lit(ASS_HEAD.format(**look)), F.array_join(F.transform("g", lambda r: r["line"]), "")).alias("document"))
+
+
+def theme_tags(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """A16 [A]: how often each theme's words occur in a song. ``lexicon``: word, theme (a small table, broadcast)."""
+    w = words.select("track_id", normalised(F.col("word")).alias("word"))
+    return w.join(F.broadcast(lexicon), "word").groupBy("track_id", "theme").agg(F.count("*").alias("n"))

@@ -58,19 +58,24 @@ def parse_beats(docs: DataFrame) -> DataFrame:
 
 
 def parse_sections(docs: DataFrame) -> DataFrame:
-    """IO4 [R]: sections from a flat list or under one of three names; end defaults to start + 30."""
+    """IO4 [R]: sections from a flat list or under one of three names; end defaults to start + 30, a label to ``section-`` and its number."""
     arr = f"array<{SECTION}>"
     obj = F.from_json("json", f"struct<sections:{arr},segments:{arr},structure:{arr}>")
     rows = F.when(F.trim("json").startswith("["), F.from_json("json", arr)).otherwise(F.coalesce(obj["sections"], obj["segments"], obj["structure"]))
     s = docs.select("track_id", F.posexplode(rows).alias("section_idx", "s"))
     start = F.coalesce("s.start", F.lit(0.0))
     return s.select("track_id", "section_idx", start.alias("start_s"), F.coalesce("s.end", start + 30).alias("end_s"),
-                    F.coalesce("s.label", "s.name", "s.type").alias("label"), F.coalesce("s.energy", "s.intensity").alias("energy"))
+                    F.coalesce("s.label", "s.name", "s.type", F.concat(F.lit("section-"), "section_idx")).alias("label"), F.coalesce("s.energy", "s.intensity").alias("energy"))
 
 
 def list_clips(spark: SparkSession, path: str) -> DataFrame:
     """IO5 [R]: clip files of the five kinds below ``path``, by name; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length").where(F.col("path").rlike(CLIP_KINDS))
+    return clip_files(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length"))
+
+
+def clip_files(files: DataFrame) -> DataFrame:
+    """IO5 [R]: of ``path, length`` the clips, numbered in each folder by name."""
+    files = files.where(F.col("path").rlike(CLIP_KINDS))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.regexp_replace("path", "/[^/]*$", "")
     order = Window.partitionBy(folder).orderBy(name)
