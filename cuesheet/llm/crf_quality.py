@@ -8,12 +8,14 @@ marginals, averaged with the lines' lengths as weights, give the document's qual
 logistic curve turns into the probability of label 1.
 
 The field is fitted on the driver with numpy, on at most ``SAMPLE`` documents of each label (those
-with the smallest hash of their id, from the training folds only). Scoring reads whole texts, row
-by row, where they are.
+with the smallest hash of their id, from the training folds only) of at most ``SAMPLE_BYTES`` each.
+Scoring reads whole texts of any length, row by row, where they are.
 
 Defined cases: a document without words scores 0; a null id counts as held out; a null quality is
-no label; repeated label rows of a document count once, the lower one; with labels of one kind only,
-or none, every score is the share of label 1 (0.5 without labels); an empty table gives an empty result.
+no label; repeated label rows of a document count once, the lower one; repeated rows are scored each;
+with labels of one kind only, or none, there is no field and every score, also of documents without words, is
+the share of label 1 (0.5 without labels); columns of any other name are not read; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Most documents of either label that the field is fitted on.
 SAMPLE = 2500
+#: Longest document of the sample.
+SAMPLE_BYTES = 65_536
 FOLDS = 5
 CUTOFF = 0.3
 #: Upper edges of the bins of each line measure; values at or over the last form one more bin.
@@ -86,15 +90,15 @@ class Field:
         """Length-weighted mean of the marginals of the good state."""
         u = np.zeros((1, len(bins), 2))
         u[0, :, 1] = self.line_scores(bins)
-        bad, _, _ = marginals(u, np.array([len(bins)]), self.trans)
+        bad, _, _ = marginals(u, np.array([len(bins)]), self.trans, with_moves=False)
         return float(((1 - bad[0]) * sizes).sum() / sizes.sum())
 
     def score(self, text: str) -> float:
+        if self.prior is not None:
+            return self.prior
         bins, sizes = line_measures(text)
         if not len(bins):
             return 0.0
-        if self.prior is not None:
-            return self.prior
         return float(_sigmoid(self.curve @ _curve_inputs(self.quality(bins, sizes))))
 
 
@@ -107,7 +111,7 @@ def _curve_inputs(q) -> np.ndarray:
     return np.array([np.log(q / (1 - q)), q, np.ones_like(q)])
 
 
-def marginals(u: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def marginals(u: np.ndarray, lengths: np.ndarray, trans: np.ndarray, with_moves: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over padded chains (docs, lines, states): probabilities of the bad state,
     expected transitions of each chain, and log of the partition sum."""
     n, length, _ = u.shape
@@ -124,7 +128,7 @@ def marginals(u: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np
     inside = np.arange(length) < lengths[:, None]
     bad = np.where(inside, np.exp(np.minimum(0, fwd[..., 1] + bwd[..., 1] - z[:, None])), 0)
     moves = np.zeros((n, 2, 2))
-    if length > 1:
+    if length > 1 and with_moves:
         pair = fwd[:, :-1, :, None] + trans + (u + bwd)[:, 1:, None, :] - z[:, None, None, None]
         moves = (np.exp(np.minimum(0, pair)) * inside[:, 1:, None, None]).sum(axis=1)
     return bad, moves, z
@@ -199,7 +203,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_y")).withColumn("_order", F.xxhash64("_id"))
     few = [known.where(F.col("_y") == y).orderBy("_order", "_id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(few[0].unionByName(few[1]))  # 2 * sample rows at most
-    rows = docs.join(chosen, F.col(id_col) == F.col("_id")).select("_id", "_y", F.coalesce(text_col, F.lit("")).alias("_t"))
+    rows = docs.join(chosen, F.col(id_col) == F.col("_id")).select("_id", "_y", F.coalesce(text_col, F.lit("")).alias("_t")).where(F.octet_length("_t") <= SAMPLE_BYTES)
     got = sorted(rows.groupBy("_id", "_y").agg(F.min("_t").alias("_t")).collect())
     return fit([r["_t"] for r in got], [r["_y"] for r in got])
 

@@ -50,12 +50,38 @@ def test_quality_classifier_holds_out(spark, sf):
     assert auc(s, y) > 0.9 and (p[y == 1] == 1).mean() > 0.95
 
 
+def test_quality_scores_equal_enumeration(spark, sf):
+    """Marginals over all labellings of short documents, their length-weighted mean, and the curve."""
+    from itertools import product
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    field = crf_quality.fit_field(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    n = crf_quality.N_BINS
+    own, before, after, bias = field.weights[:n], field.weights[n:2 * n], field.weights[2 * n:3 * n], field.weights[-1]
+    text = {r.doc_id: r.text for r in docs.collect()}
+    seen = 0
+    for r in crf_quality.quality_scores(docs, field).collect():
+        bins, sizes = crf_quality.line_measures(text[r.doc_id] or "")
+        if not 1 < len(bins) < 9:
+            continue
+        seen += 1
+        u = [bias + sum(own[b] for b in x) + (sum(before[b] for b in bins[i - 1]) if i else 0) + (sum(after[b] for b in bins[i + 1]) if i + 1 < len(bins) else 0) for i, x in enumerate(bins)]
+        weight = {p: math.exp(sum(a for a, y in zip(u, p) if y) + sum(field.trans[a, b] for a, b in zip(p, p[1:]))) for p in product((0, 1), repeat=len(bins))}
+        good = [sum(w for p, w in weight.items() if not p[i]) / sum(weight.values()) for i in range(len(bins))]
+        q = min(max(sum(g * s for g, s in zip(good, sizes)) / sum(sizes), 1e-4), 1 - 1e-4)
+        want = 1 / (1 + math.exp(-(field.curve[0] * math.log(q / (1 - q)) + field.curve[1] * q + field.curve[2])))
+        assert abs(want - r.score) < 1e-6 and r.predicted == (r.score >= 0.3)
+    assert seen > 50
+
+
 def test_classifier_odd_rows(spark):
     docs = odd_rows(spark)
     labels = spark.createDataFrame([(1, 1), (3, None)], "doc_id long, quality int")
     field = crf_quality.fit_field(docs, labels)
-    got = {(r.doc_id, r.score) for r in crf_quality.quality_scores(docs, field).collect()}
-    assert len(got) == 4 and {s for _, s in got} <= {0.0, 0.5, 1.0}
+    got = [r.score for r in crf_quality.quality_scores(docs, field).collect()]
+    assert got == [0.5] * 4  # the only labelled text has no words
+    two = crf_quality.fit_field(docs, spark.createDataFrame([(1, 1), (3, 0), (3, 1)], "doc_id long, quality int"))
+    assert two.prior is not None or all(0 <= r.score <= 1 for r in crf_quality.quality_scores(docs, two).collect())
     assert crf_quality.quality_scores(docs.limit(0), field).count() == 0
 
 
