@@ -93,6 +93,16 @@ SELECT d.doc_id, d.size, e.source_size, e.target,
          WHEN p.upto - p.words < p.rest THEN floor(CAST(d.size AS DOUBLE) * (p.rest - p.upto + p.words) / p.words) ELSE 0 END AS BIGINT) AS taken
 FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
 JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.k = p.k
+""",
+    # every pair of a label: for tables of some thousand vectors
+    "op9_rotation_codes": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT p.b, r.root FROM r JOIN p ON p.a = r.node WHERE r.root < p.b),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node), n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN c ON c.node = vec_id LEFT JOIN n ON n.a = vec_id
 """,
     "op4_warc_bundles": r"""
 WITH b AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),

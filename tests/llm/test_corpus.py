@@ -138,7 +138,7 @@ def test_pipeline_equals_plain_version(spark):
 
 def test_sql_of_the_operators(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     for name, sql in queries.ORACLE_SQL.items():
         got, want = queries.QUERIES[name](spark, SMALL), con.sql(sql)
