@@ -1,11 +1,13 @@
 """Operators 2, 3, 5, 6 and 7 against plain versions of the same rules."""
 
+import hashlib
 import math
 import random
 import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
@@ -269,6 +271,114 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert t[12:] == cases[12:] and [got[i][1] for i in (0, 2, 12)] == [1, 0, 0]
 
 
+def plain_feistel(key, kind, x, y, mx, my):
+    for r in range(1, 9):
+        noise = int(hashlib.sha256(f"{key}|{kind}|{r}|{y}|{mx}".encode()).hexdigest()[:14], 16)
+        x, y, mx, my = y, (x + noise % mx) % mx, my, mx
+    return x, y
+
+
+def plain_pseudonym(m, key):
+    sha = lambda kind, *parts: hashlib.sha256("|".join([key, kind, *parts]).encode()).hexdigest()
+    digits = re.sub("[^0-9]", "", m)
+    refill = lambda new: (it := iter(new)) and re.sub("[0-9]", lambda _: next(it), m)
+    if "@" in m:
+        return sha("email", m.lower())[:16] + "@example.com"
+    if re.fullmatch(pii.CLOUD_KEY, m):
+        return "AKIA" + sha("cloud", m)[:16].upper()
+    if head := re.match(pii.SECRET_NAME, m):
+        value = m[head.end():]
+        return head[0] + (sha("secret", value) + "".join(sha("secret", value, str(i)) for i in range(1, len(value) // 64 + 1)))[:len(value)]
+    if re.fullmatch(pii.DATE, m, re.A):
+        form = "%Y-%m-%d" if m[4] == "-" else "%d.%m.%Y" if "." in m else "%d/%m/%Y" if int(m[:2]) > 12 else "%m/%d/%Y"
+        try:
+            day = (datetime.strptime(m, form) - datetime(1900, 1, 1)).days
+        except ValueError:
+            return m
+        if not 0 <= day < 340 * 215:
+            return m
+        a, b = plain_feistel(key, "date", day // 215, day % 215, 340, 215)
+        return (datetime(1900, 1, 1) + timedelta(days=a * 215 + b)).strftime(form)
+    if re.fullmatch(pii.IPV4, m, re.A):
+        o = list(map(int, m.split(".")))
+        if max(o) > 255:
+            return m
+        a, b = plain_feistel(key, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{a >> 8}.{a & 255}.{b >> 8}.{b & 255}"
+    if re.fullmatch(pii.SSN, m, re.A):
+        area, group, serial = map(int, m.split("-"))
+        if area in (0, 666) or area >= 900 or not group or not serial:
+            return m
+        a, b = plain_feistel(key, "ssn", (area - (2 if area > 666 else 1)) * 99 + group - 1, serial - 1, 898 * 99, 9999)
+        area = a // 99 + (2 if a // 99 >= 665 else 1)
+        return f"{area:03}-{a % 99 + 1:02}-{b + 1:04}"
+    if re.fullmatch(pii.PHONE, m, re.A):
+        d = digits[-10:]
+        if d[0] < "2" or d[3] < "2":
+            return m
+        a, b = plain_feistel(key, "phone", *divmod(((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:]), 80_000), 80_000, 80_000)
+        v = a * 80_000 + b
+        return refill(digits[:-10] + f"{v // 8_000_000 + 200}{v // 10_000 % 800 + 200}{v % 10_000:04}")
+    if not luhn(digits):
+        return m
+    n = len(digits) - 2
+    left = n // 2
+    a, b = plain_feistel(key, "card", int(digits[1:1 + left]), int(digits[1 + left:-1]), 10 ** left, 10 ** (n - left))
+    body = f"{digits[0]}{a:0{left}}{b:0{n - left}}"
+    return refill(body + next(c for c in "0123456789" if luhn(body + c)))
+
+
+def test_pseudonyms_equal_a_plain_version(spark, sf, texts):
+    """Whole texts of the table and made ones with every kind, by hashlib and a plain Feistel network."""
+    rng = random.Random(8)
+    num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    made = {}
+    for i in range(400):
+        parts = [num(4) + "-" + num(2) + "-" + num(2), f"{rng.randint(1, 31):02}/{rng.randint(1, 12):02}/{rng.randint(1890, 2110)}", f"{rng.randint(1, 31):02}.{rng.randint(1, 12):02}.{rng.randint(1890, 2110)}",
+                 f"{num(3)}-{num(2)}-{num(4)}", ".".join(str(rng.randint(0, 300)) for _ in range(4)), f"({num(3)}) {num(3)}-{num(4)}", f"+1 {num(3)}.{num(3)}.{num(4)}", num(rng.randint(12, 20)),
+                 " ".join(num(4) for _ in range(4)), f"a.b{i}@x-{i}.example.org", "Password: " + "aZ9_/+=." * rng.randint(1, 30) + "end", "AKIA" + "".join(rng.choice("ABC123") for _ in range(16))]
+        rng.shuffle(parts)
+        made[-1 - i] = " word, ".join(parts) + "\n."
+    every = texts | made
+    df = spark.createDataFrame(list(every.items()), "doc_id long, text string")
+    changed = 0
+    for r in pii.pseudonymise(df, key="k", count_col="n").collect():
+        n = 0
+
+        def one(m):
+            nonlocal n
+            new = plain_pseudonym(m[0], "k")
+            n += new != m[0]
+            return new
+
+        want = re.sub(pii.CANDIDATE, one, every[r.doc_id], flags=re.A)
+        assert (r.text, r.n) == (want, n), r.doc_id
+        changed += n
+    assert changed > 2000
+
+
+def test_pseudonyms_odd_rows(spark):
+    """Repeated rows, nulls, columns with the operator's own names, very long and no rows."""
+    long = "x " * 40_000 + "mail a@b.example.org"
+    rows = [(1, "call 499-555-6503", 7, "a"), (1, "call 499-555-6503", 7, "a"), (None, None, None, None), (2, long, 1, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pii int, own string")
+    got = pii.pseudonymise(df)
+    assert got.columns == df.columns
+    r = sorted(got.collect(), key=lambda r: (r.doc_id or 0, r.text or ""))
+    assert r[0].text is None and r[1] == r[2] and (r[1].pii, r[1].own) == (7, "a") and r[3].text.startswith("x " * 40_000 + "mail ") and "a@b" not in r[3].text
+    assert pii.pseudonymise(df.limit(0)).count() == 0
+
+
+def test_token_counts_odd_rows(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    got = [(r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts.token_counts(odd_rows(spark), path, chunk=4000, overlap=16).collect()]
+    whole = token_counts.PieceCounter(path).count_whole
+    assert sorted(got, key=str) == sorted([(r.doc_id, len((r.text or "").encode()), whole(r.text or "")) for r in odd_rows(spark).collect()], key=str)
+    assert token_counts.token_counts(odd_rows(spark).limit(0), path).count() == 0
+
+
 def test_feistel_permutes_its_whole_domain(spark):
     df = spark.range(37 * 41).select(pii.feistel("k", "t", F.floor(F.col("id") / 41), F.col("id") % 41, F.lit(37), F.lit(41)).alias("s"))
     got = {(r.s.x, r.s.y) for r in df.collect()}
