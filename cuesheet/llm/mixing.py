@@ -41,31 +41,36 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     )
 
 
+def weighted_sources(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """``source, source_size, weight`` (written): weights in turn by the sources' order, null last. Sources are
+    numbered inside ranges of that order, and the ranges' sizes summed, so no task holds all of them."""
+    order = F.col("source").asc_nulls_last()
+    sorted_ = sizes.repartitionByRange(order).sortWithinPartitions(order)
+    numbered = durable(sorted_.select("source", "source_size", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")), "mix-sources")
+    ranges = numbered.groupBy("part").agg(F.count("*").alias("n"))  # as many rows as ranges
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    ranges = F.broadcast(ranges.select(F.col("part").alias("p"), before.alias("before")))
+    rank = F.col("before") + F.col("id") - F.shiftleft(F.col("part").cast("long"), 33)
+    weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")).cast("long")
+    return durable(numbered.join(ranges, F.col("part") == F.col("p")).select("source", "source_size", weight.alias("weight")), "mix-weights")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``source, source_size, target`` from ``source, source_size``: all sizes together are
-    shared by weight, none gets over ``max_epochs`` times its size, the excess is reshared.
-
-    The fixed point of resharing is a water level: sources in order of cap / weight fill up
-    until the level of the rest lies below the next cap. One row per source is all there is."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    level = Window.orderBy(F.col("cap") / F.col("weight"), F.col("rank"))
-    before = level.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        sizes.withColumn("rank", F.row_number().over(order) - 1)
-        .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int")).cast("long"))
-        .withColumn("cap", F.col("source_size") * max_epochs)
-        .withColumn("room", F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("share", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("capped", F.col("cap").cast("double") * F.col("share") <= F.col("room").cast("double") * F.col("weight"))
-    )
-    open_level = F.max(F.when(~F.col("capped"), F.struct(-F.col("cap") / F.col("weight"), -F.col("rank"), "room", "share"))).over(everything)
-    return (
-        ranked.withColumn("first", open_level)
-        .withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double"))
-                    .otherwise(F.col("first.room").cast("double") / F.col("first.share") * F.col("weight")))
-        .select("source", "source_size", "target")
-    )
+    """``source, source_size, target`` from ``source, source_size``: all sizes together are shared by
+    weight, none gets over ``max_epochs`` times its size, and the excess is reshared until none is above.
+
+    A round is one aggregation; sources once capped stay so, as the level of the others only rises."""
+    w = weighted_sources(sizes, weights).withColumn("cap", F.col("source_size") * max_epochs)
+    total, share = w.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    room, rest, n = total, share, 0
+    while True:
+        capped = F.col("cap").cast("double") * F.lit(rest) <= F.lit(float(room)) * F.col("weight")
+        found, cap, weight = w.where(capped).agg(F.count("*"), F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+        if found == n or not rest:
+            break
+        room, rest, n = total - cap, share - weight, found
+    level = F.lit(float(room) / rest if rest else 0.0)
+    return w.select("source", "source_size", F.when(capped, F.col("cap").cast("double")).otherwise(level * F.col("weight")).alias("target"))
 
 
 def cut_points(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
