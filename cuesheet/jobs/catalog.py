@@ -298,6 +298,23 @@ def h1_j10_w12_align(s):
     return lyrics.align(words(s), s.whisper_words())
 
 
+@query(f"""WITH n AS (SELECT track_id, count(*) AS nu FROM fx_words GROUP BY ALL), h AS (SELECT track_id, count(*) AS nw FROM fx_whisper GROUP BY ALL), b AS (SELECT track_id, nu, least(nu, coalesce(nw, 0)) // 4 * 4 AS m FROM n LEFT JOIN h USING (track_id)),
+x AS (SELECT f.*, m, CASE WHEN u_idx >= m THEN 4 ELSE u_idx % 4 END AS r, CASE WHEN u_idx < m THEN u_idx // 4 * 4 ELSE m END AS k, CASE WHEN u_idx < m THEN 0 ELSE u_idx - m END AS i, CASE WHEN u_idx < m THEN 1 ELSE nu - m END AS of FROM fx_words f JOIN b USING (track_id)),
+j AS (SELECT x.*, own.start_s AS s0, own.end_s AS e0, own.probability AS p0, w2.start_s AS s2, w3.end_s AS e3, w4.start_s AS s4, last.end_s AS el, nxt.start_s AS sn FROM x LEFT JOIN fx_whisper own ON own.track_id = x.track_id AND own.w_idx = u_idx LEFT JOIN fx_whisper w2 ON w2.track_id = x.track_id AND w2.w_idx = k + 2
+LEFT JOIN fx_whisper w3 ON w3.track_id = x.track_id AND w3.w_idx = k + 3 LEFT JOIN fx_whisper w4 ON w4.track_id = x.track_id AND w4.w_idx = k + 4 LEFT JOIN fx_whisper last ON last.track_id = x.track_id AND last.w_idx = m - 1 LEFT JOIN fx_whisper nxt ON nxt.track_id = x.track_id AND nxt.w_idx = m),
+t AS (SELECT *, CASE r WHEN 2 THEN s2 WHEN 3 THEN e3 ELSE coalesce(el, 0) END AS lo, CASE r WHEN 2 THEN e3 WHEN 3 THEN coalesce(s4, e3 + 0.5E0) ELSE coalesce(sn, coalesce(el, 0) + 0.5E0) END AS hi FROM j)
+SELECT track_id, u_idx, word, line_index, CASE WHEN r < 2 THEN s0 ELSE {_py('lo + i * ((hi - lo) / of)', 3)} END AS start_s, CASE WHEN r < 2 THEN e0 ELSE {_py('lo + (i + 1) * ((hi - lo) / of)', 3)} END AS end_s,
+CASE WHEN r < 2 THEN p0 WHEN r = 2 THEN 0.5E0 ELSE 0.3E0 END AS confidence, CASE r WHEN 0 THEN 'exact' WHEN 1 THEN 'fuzzy' WHEN 2 THEN 'interpolated' ELSE 'inserted' END AS match_type FROM t""", "fx_whisper")
+def j10_w12_s3_given_opcodes(s):
+    """Of four words one is equal, one replaced, one replaced by two, one not heard; the rest was not heard."""
+    song = lyrics.paired_lists(words(s), s.whisper_words())
+    m = (F.floor(F.least(F.size("u"), F.size("w")) / 4) * 4).cast("int")
+    op = lambda tag, u0, u1, w0, w1: F.struct(F.lit(tag).alias("tag"), u0.alias("u0"), u1.alias("u1"), w0.alias("w0"), w1.alias("w1"))
+    block = lambda k: F.array(op("equal", k, k + 1, k, k + 1), op("replace", k + 1, k + 2, k + 1, k + 2), op("replace", k + 2, k + 3, k + 2, k + 4), op("delete", k + 3, k + 4, k + 4, k + 4))
+    blocks = F.flatten(F.transform(F.filter(F.sequence(F.lit(0), m, F.lit(4)), lambda k: k < m), block))
+    return lyrics.timed_by(song.withColumn("ops", F.concat(blocks, F.array(op("delete", m, F.size("u"), m, m)))))
+
+
 @query(None)
 def a2_match_stats(s):
     return lyrics.match_stats(lyrics.align(words(s), s.whisper_words())).withColumn("match_stats", F.to_json("match_stats"))
