@@ -46,8 +46,8 @@ OWN = 8
 COARSE = 128
 HEAD = 200_000
 DIM, NOISE, RATE = 24, 48, 0.3
-#: Tokens whose triples a task holds, and minibatches that these make.
-CHUNK, STEPS = 2_000_000, 1000
+#: Tokens whose triples a task holds, and examples of a minibatch (fewer in a corpus of under two million tokens).
+CHUNK, BATCH = 1_000_000, 1400
 #: Passes over all training tokens, and tokens of a corpus below which there are more (up to five times as many).
 ROUNDS, ENOUGH = 2, 10_000_000
 #: Parameters of a block that is averaged as one row.
@@ -55,7 +55,7 @@ BLOCK = 65_536
 #: The end token; no word can hold a line feed.
 END = b"\n"
 #: Distinct words that a task holds before it passes their counts on.
-HELD = 300_000
+HELD = 200_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -248,7 +248,8 @@ def initial(mass: np.ndarray, seed: int = 10) -> Model:
 class Trainer:
     """Minibatch noise-contrastive estimation with AdaGrad, from a copy of a model."""
 
-    def __init__(self, model: Model, noise: np.ndarray, seed: int):
+    def __init__(self, model: Model, noise: np.ndarray, seed: int, batch: int = BATCH):
+        self.batch = batch
         self.p = [model.a.copy(), model.b.copy(), model.r.copy(), model.bias.copy()]
         self.sums = [np.full_like(x, 1e-2) for x in self.p]
         self.k, self.noise_upto, self.log_kq = len(noise), np.cumsum(noise), np.log(NOISE * noise).astype(np.float32)
@@ -278,11 +279,10 @@ class Trainer:
 
     def learn(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> None:
         """All given tokens, equal triples as one example of their weight, in random order."""
-        cells, n = np.unique((two * (self.k + 1) + one) * self.k + cls, return_counts=True)
+        cells, n = np.unique((two.astype(np.int64) * (self.k + 1) + one) * self.k + cls, return_counts=True)
         order = self.rng.permutation(len(cells))
-        size = max(64, len(cells) // STEPS)
-        for lo in range(0, len(cells), size):
-            at = order[lo:lo + size]
+        for lo in range(0, len(cells), self.batch):
+            at = order[lo:lo + self.batch]
             c, w = cells[at], n[at].astype(np.float32)
             before = c // self.k
             self.step(before % (self.k + 1), before // (self.k + 1), c % self.k, w / w.sum())
@@ -290,16 +290,17 @@ class Trainer:
 
 def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
     """``ROUNDS`` passes or more over all training texts; tasks are those that read the table, but fewer
-    where a task would have under ``CHUNK`` tokens."""
+    where a task would have under twice ``CHUNK`` tokens."""
     sc = encoded.sparkSession.sparkContext
     model, noise = initial(classes.mass), (classes.mass / classes.mass.sum())
-    texts = encoded.where("not held_out").select("codes").coalesce(max(1, math.ceil(classes.total / CHUNK)))
+    batch = max(64, min(BATCH, classes.total // 1500))
+    texts = encoded.where("not held_out").select("codes").coalesce(max(1, math.ceil(classes.total / (2 * CHUNK))))
     for nth in range(ROUNDS + min(4 * ROUNDS, ENOUGH // max(1, classes.total))):
         sent = sc.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, nth=nth) -> Iterator[pa.RecordBatch]:
             c, held, seen, total = sent_classes.value, [], 0, 0
-            trainer = Trainer(sent.value, noise, 1000 * nth + TaskContext.get().partitionId())
+            trainer = Trainer(sent.value, noise, 1000 * nth + TaskContext.get().partitionId(), batch)
 
             def learn() -> None:
                 if held:
@@ -307,12 +308,12 @@ def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
                 held.clear()
 
             for b in batches:
-                for lo in range(0, b.num_rows, 512):
-                    codes, starts = flat_codes(b.column(0).slice(lo, 512))
+                for lo in range(0, b.num_rows, 256):
+                    codes, starts = flat_codes(b.column(0).slice(lo, 256))
                     if not len(codes):
                         continue
                     cls = classes_of(codes, c)
-                    held.append((*contexts(cls, starts, c.k), cls))
+                    held.append([x.astype(np.int32) for x in (*contexts(cls, starts, c.k), cls)])
                     seen, total = seen + len(cls), total + len(cls)
                     if seen >= CHUNK:
                         learn()
