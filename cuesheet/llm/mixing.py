@@ -1,8 +1,9 @@
 """Mixing sources to target weights (operator 1).
 
 Every document gets a hash-random key. Within a source the documents are taken in key order;
-the words before each are found by distributed prefix sums: first over key ranges (sums of
-2**16 ranges a source), then only inside the one range that holds the cut. What results is one
+the words before each are found by distributed prefix sums: over 256 wide key ranges, over the 256
+ranges of the wide one that holds the cut, then inside the one range that holds it, so that no window
+has more than 256 rows of a source, or a 65,536th of its documents. What results is one
 row per source (whole epochs, the key at which the last epoch stops, and what that key still
 gets), so texts are never shuffled and a hot source is spread over its key ranges.
 
@@ -21,8 +22,8 @@ from .common import durable, n_words, small_or_not, text_or_empty
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-#: Hex digits of the key that name its range.
-RANGE_DIGITS = 4
+#: Hex digits of the key that name its range, and the wide range of that.
+RANGE_DIGITS, COARSE_DIGITS = 4, 2
 #: Sources up to which their plan is broadcast.
 BROADCAST_SOURCES = 100_000
 SEED = "mix-1"
@@ -89,7 +90,12 @@ def cut_points(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
         upto = F.sum("words").over(w) + (F.col(start) if start else F.lit(0))
         return sums.withColumn("upto", upto).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
 
-    in_part = cut(ranges.join(few, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "part", None)
+    coarse = F.substring("part", 1, COARSE_DIGITS)
+    wide = ranges.groupBy("source", coarse.alias("wide")).agg(F.sum("words").alias("words"))
+    in_wide = cut(wide.join(few, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "wide", None)
+    in_wide = durable(in_wide.select(F.col("source").alias("s"), F.col("wide").alias("w"), (F.col("upto") - F.col("words")).alias("before"), "rest"), "mix-wide")
+    of_wide = ranges.join(small_or_not(in_wide, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("s")) & (coarse == F.col("w")))
+    in_part = cut(of_wide.drop("s", "w"), "part", "before")
     in_part = durable(in_part.select(F.col("source").alias("s"), F.col("part").alias("p"), (F.col("upto") - F.col("words")).alias("before"), "rest"), "mix-parts")
     keys = (
         rows.join(small_or_not(in_part, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("s")) & (part == F.col("p")))
