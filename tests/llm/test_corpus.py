@@ -100,6 +100,33 @@ def test_archives_round_trip(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_odd_rows(spark):
+    """The smallest id repeated, a payload larger than many frames, columns of other names."""
+    rows = [(3, "u", "A", 1, 1), (3, "u", "A", 1, 1), (5, "u", "A", 1, 1), (6, "u", "é" * 1_500_000, 1, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, sha int, revisit int")
+    folder = common.shared_path(spark, "test-warc")
+    got = sorted((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_archives(warc.write_archives(pages, folder, frame_bytes=600), folder).collect())
+    assert got == [(3, "response", None, 1), (3, "response", None, 1), (5, "revisit", 3, 1), (6, "response", None, 3_000_000)]
+
+
+def test_stages_with_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, columns with the stages' own names, an empty table."""
+    good = [" ".join(f"word{k}x{i}" for i in range(60)) + "." for k in range(4)]
+    rows = [(1, None, "en", "a"), (2, "", None, None), (None, good[0], "en", None), (None, None, None, None), (3, " ".join(f"long{i}" for i in range(40_000)), "en", "a"),
+            (4, good[1], "en", "a"), (4, good[1], "en", "a"), (4, good[2], "de", "b"), (5, good[3] + " call 499-555-6503", "de", "b")]
+    clash = "own string, at long, pii int, plan string, of string, limits int, gone long, words array<int>"
+    df = spark.createDataFrame([(*r, None, "o", n, n, "p", "q", n, n, [n]) for n, r in enumerate(rows)], f"doc_id long, text string, lang string, source string, n_chars long, {clash}")
+    for docs in (df, df.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == df.columns and (out.count() > 0) == (docs.count() > 0)
+        assert (corpus_pipeline.packing_stage(spark, docs, SMALL).count() > 0) == (docs.count() > 0)
+    once = sorted((r.doc_id or 0, (r.text or "")[:8]) for r in corpus_pipeline.near_duplicate_stage(spark, df, SMALL).collect())
+    assert once == [(0, "word0x0 "), (1, ""), (3, "long0 lo"), (4, "word1x0 "), (4, "word2x0 "), (5, "word3x0 ")]
+    private = {r.at: r.text for r in corpus_pipeline.privacy_stage(spark, df, SMALL).collect()}
+    assert private[0] is None and private[5] == good[1] and "499-555-6503" not in private[8]
+
+
 def test_pipeline_equals_plain_version(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     text = {r.doc_id: r.text for r in docs.collect()}

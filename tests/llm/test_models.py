@@ -126,6 +126,14 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_odd_ids(spark):
+    """Null ids are smallest of nothing; repeated rows are copies of each other; other columns are not read."""
+    v, w = [1.0, 0.0, 2.0], [0.0, 3.0, 0.0]
+    df = spark.createDataFrame([(None, v, 1, 0), (None, v, 1, 0), (7, w, 1, 0), (7, w, 1, 0), (None, w, 2, 0)], "vec_id long, embedding array<float>, label int, node int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(None, 1, None, True), (None, 1, None, True), (7, 1, 7, True), (7, 1, 7, True), (None, 0, None, True)], key=str)
+
+
 @pytest.mark.parametrize("dim", [64, 256])
 def test_embedding_recall_at_the_threshold(spark, dim):
     """Planted groups whose pairs lie on both sides of the threshold, at the real widths of keys."""
