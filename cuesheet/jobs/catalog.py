@@ -152,8 +152,27 @@ def _stamp(c: str) -> str:
     return f"CAST(floor({c} / 3600) AS BIGINT) || ':' || lpad(CAST(CAST(floor({c} % 3600 / 60) AS BIGINT) AS VARCHAR), 2, '0') || ':' || lpad(CAST(CAST(floor({c} % 60) AS BIGINT) AS VARCHAR), 2, '0') || '.' || lpad(CAST(CAST(floor(({c} % 60 - floor({c} % 60)) * 100) AS BIGINT) AS VARCHAR), 2, '0')"
 
 
+# Fixed values, written out for the SQL: the head of a karaoke document.
+_HEAD = """[Script Info]
+Title: Karaoke Subtitles
+ScriptType: v4.00+
+WrapStyle: 0
+ScaledBorderAndShadow: yes
+YCbCr Matrix: TV.709
+PlayResX: 1920
+PlayResY: 1080
+
+[V4+ Styles]
+Format: Name, Fontname, Fontsize, PrimaryColour, SecondaryColour, OutlineColour, BackColour, Bold, Italic, Underline, StrikeOut, ScaleX, ScaleY, Spacing, Angle, BorderStyle, Outline, Shadow, Alignment, MarginL, MarginR, MarginV, Encoding
+Style: Karaoke,Arial Black,72,&H00FFFFFF,&H0000D7FF,&H00000000,&H80000000,-1,0,0,0,100,100,2,0,1,3,2,2,40,40,60,1
+
+[Events]
+Format: Layer, Start, End, Style, Name, MarginL, MarginR, MarginV, Effect, Text
+"""
+
+
 @query(rf"""WITH k AS (SELECT track_id, line_index, min(start_s) AS s, max(end_s) AS e, string_agg('{{\kf' || greatest(1, CAST(trunc((end_s - start_s) * 100) AS INT)) || '}}' || CASE WHEN word_idx > 0 THEN ' ' ELSE '' END || word, '' ORDER BY u_idx) AS k FROM fx_timed GROUP BY ALL)
-SELECT track_id, md5('{T.ASS_HEAD.format(**T.CAPTION_STYLES["karaoke"]).replace("'", "''")}' || string_agg('Dialogue: 0,' || {_stamp('s')} || ',' || {_stamp('e')} || ',Karaoke,,0,0,0,,' || k || chr(10), '' ORDER BY line_index)) AS document_md5 FROM k GROUP BY ALL""", "fx_timed")
+SELECT track_id, md5('{_HEAD}' || string_agg('Dialogue: 0,' || {_stamp('s')} || ',' || {_stamp('e')} || ',Karaoke,,0,0,0,,' || k || chr(10), '' ORDER BY line_index)) AS document_md5 FROM k GROUP BY ALL""", "fx_timed")
 def x3_ass_documents(s):
     return timeline.ass_documents(timed(s), "unknown style").select("track_id", F.md5("document").alias("document_md5"))
 
@@ -165,18 +184,20 @@ def with_roles(s: Songs) -> DataFrame:
     return words(s).withColumn("role", F.when((F.col("line_index") % 3 == 0) & (F.col("word_idx") % 4 == 1), "hero"))
 
 
-def _in(values) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+# Fixed values, written out for the SQL: word lists.
+_CONNECTORS = "('the', 'a', 'an', 'and', 'or', 'but', 'in', 'on', 'at', 'to', 'for', 'of', 'is', 'are', 'was', 'were', 'it', 'my', 'your', 'i', 'we', 'he', 'she', 'they', 'so', 'if', 'no', 'not', 'just', 'with')"
+_WITH_ROLES = "('the', 'a', 'an', 'and', 'or', 'but', 'in', 'on', 'at', 'to', 'for', 'of', 'is', 'are', 'was', 'were', 'it', 'my', 'your')"
+_EMOTIONAL_IN = "('love', 'heart', 'soul', 'pain', 'fire', 'light', 'dark', 'dream', 'lost', 'broken', 'beauty', 'forever', 'silence', 'truth', 'faith', 'hope', 'fear', 'cry', 'tears', 'blood', 'death', 'life', 'alone', 'free', 'breathe', 'burn', 'fall', 'fly', 'rise', 'shine', 'shadow', 'ghost', 'memory', 'heaven', 'hell', 'angel', 'demon', 'wild', 'infinite', 'eternity', 'desire', 'touch', 'kiss', 'whisper', 'scream', 'echo', 'flame')"
 
 
-@query(f"""WITH r AS (SELECT *, {ROLE} AS role, lower(word) IN {_in(T.CONNECTORS)} AS con FROM fx_words),
+@query(f"""WITH r AS (SELECT *, {ROLE} AS role, lower(word) IN {_CONNECTORS} AS con FROM fx_words),
 q AS (SELECT *, bool_or(role IS NOT NULL) OVER l AS has, row_number() OVER (PARTITION BY track_id, line_index ORDER BY CASE WHEN con THEN 0 ELSE length(word) END DESC, word_idx) AS n FROM r WINDOW l AS (PARTITION BY track_id, line_index))
-SELECT track_id, u_idx, CASE WHEN has THEN coalesce(role, CASE WHEN lower(word) IN {_in(T.CONNECTORS_WITH_ROLES)} THEN 'connector' ELSE 'accent' END) WHEN n = 1 THEN 'hero' WHEN con THEN 'connector' ELSE 'accent' END AS shown_role FROM q""", "fx_words")
+SELECT track_id, u_idx, CASE WHEN has THEN coalesce(role, CASE WHEN lower(word) IN {_WITH_ROLES} THEN 'connector' ELSE 'accent' END) WHEN n = 1 THEN 'hero' WHEN con THEN 'connector' ELSE 'accent' END AS shown_role FROM q""", "fx_words")
 def x4_roles(s):
     return timeline.roles(with_roles(s)).select("track_id", "u_idx", "shown_role")
 
 
-CLASS = f"""SELECT track_id, line_index, word_idx, u_idx, word, CASE WHEN low IN {_in(T.EMOTIONAL)} THEN 'emotional' WHEN low IN {_in(SUPPORT)} THEN 'support' WHEN imp > 0.7 THEN 'key' WHEN imp < 0.3 THEN 'support' WHEN length(low) >= 4 THEN 'key' ELSE 'support' END AS word_class
+CLASS = f"""SELECT track_id, line_index, word_idx, u_idx, word, CASE WHEN low IN {_EMOTIONAL_IN} THEN 'emotional' WHEN low IN ('the', 'and', 'of', 'to', 'in', 'is', 'that') THEN 'support' WHEN imp > 0.7 THEN 'key' WHEN imp < 0.3 THEN 'support' WHEN length(low) >= 4 THEN 'key' ELSE 'support' END AS word_class
 FROM (SELECT *, regexp_replace(lower(word), '[^a-z]', '', 'g') AS low, CASE WHEN u_idx % 3 = 0 THEN (u_idx % 10) / 10.0E0 END AS imp FROM fx_words)"""
 
 
@@ -582,7 +603,8 @@ def x16_amplitudes(s):
 
 # ---- clips ---------------------------------------------------------------------------------
 
-_BASE = "CASE " + " ".join(f"WHEN lower(label) LIKE '%{k}%' THEN {v}E0" for k, v in clips.TYPE_SCORES) + " ELSE 0.5E0 END"
+# Fixed values, written out for the SQL: scores of labels.
+_BASE = "CASE WHEN lower(label) LIKE '%chorus%' THEN 0.9E0 WHEN lower(label) LIKE '%drop%' THEN 0.95E0 WHEN lower(label) LIKE '%climax%' THEN 0.95E0 WHEN lower(label) LIKE '%bridge%' THEN 0.7E0 WHEN lower(label) LIKE '%prechorus%' THEN 0.65E0 WHEN lower(label) LIKE '%pre-chorus%' THEN 0.65E0 WHEN lower(label) LIKE '%verse%' THEN 0.5E0 WHEN lower(label) LIKE '%intro%' THEN 0.4E0 WHEN lower(label) LIKE '%outro%' THEN 0.3E0 ELSE 0.5E0 END"
 SCORED = f"""SELECT s.*, least(CASE WHEN energy IS NOT NULL THEN (base + energy) / 2 ELSE base END + least(n / greatest(end_s - start_s, 0.1E0) / 4, 0.3E0), 1.0E0) AS score FROM (SELECT *, {_BASE} AS base, (SELECT count(*) FROM fx_beats b WHERE b.track_id = x.track_id AND t BETWEEN start_s AND end_s) AS n FROM fx_sections x) s"""
 BONUS = f"""SELECT track_id, section_idx, start_s, end_s, label, CASE WHEN start_s < 5 AND score >= 0.4E0 THEN least(score + 0.1E0, 1.0E0) ELSE score END AS score FROM (SELECT * REPLACE (CASE WHEN lower(label) LIKE '%chorus%' AND section_idx = min(CASE WHEN lower(label) LIKE '%chorus%' THEN section_idx END) OVER (PARTITION BY track_id) THEN least(score + 0.15E0, 1.0E0) ELSE score END AS score) FROM ({SCORED}))"""
 
@@ -796,7 +818,7 @@ def a14_review(s):
 _GENRE = "CASE track_id % 8 WHEN 0 THEN 'Pop' WHEN 1 THEN 'Hip-hop' WHEN 2 THEN 'Rock' WHEN 3 THEN 'EDM' WHEN 4 THEN 'R&B' WHEN 5 THEN 'Indie' WHEN 6 THEN 'Country' ELSE 'Polka' END"
 
 
-@query(f"SELECT track_id, g AS genre, m.fps, m.template, coalesce(m.fx, false) AS effects FROM (SELECT track_id, {_GENRE} AS g FROM fx_tracks) LEFT JOIN (VALUES " + ", ".join(f"('{k}', {f}, '{t}', {bool(e)})" for k, (f, t, e) in planning.GENRES.items()) + ") m(k, fps, template, fx) ON lower(g) = k", "fx_tracks")
+@query(f"SELECT track_id, g AS genre, m.fps, m.template, coalesce(m.fx, false) AS effects FROM (SELECT track_id, {_GENRE} AS g FROM fx_tracks) LEFT JOIN (VALUES ('pop', 30, 'beat-pulse', false), ('hip-hop', 24, 'text-slam', true), ('rock', 24, 'split-scatter', false), ('edm', 30, 'beat-pulse', true), ('r&b', 24, 'gradient-wipe', false), ('indie', 24, 'stacked-emphasis', false), ('country', 24, 'bold-centered', false)) m(k, fps, template, fx) ON lower(g) = k", "fx_tracks")
 def j8_genre_defaults(s):
     return planning.genre_defaults(s.tracks().withColumn("genre", F.expr(_GENRE)))
 
