@@ -1,6 +1,6 @@
 """Song-shaped views of the generic test tables, as DataFrames and as DuckDB SQL.
 
-Every view covers its whole table, but for edge cases made on purpose: song 7 has no beats, every 20th
+Every view covers its whole table, but for edge cases made on purpose: every 50th song has no beats, every 20th
 lyric has no transcript, and transcripts miss every 17th word or so. Times are seconds from the start of
 a song."""
 
@@ -26,18 +26,18 @@ class Songs:
     def events(self) -> DataFrame:
         micros = F.unix_micros(F.col("ts").cast("timestamp"))
         return self.table("events").select(
-            "event_id", (F.col("user_id") % 50).alias("track_id"),
+            "event_id", F.col("user_id").alias("track_id"),
             F.round((micros - 1704067200000000) / F.lit(1e10), 3).alias("t"), "event_type", "value")
 
     def tracks(self) -> DataFrame:
-        return self.events().select("track_id").distinct().select("track_id", F.lit(260.0).alias("duration"), (50 + F.col("track_id") * 3).alias("bpm"))
+        return self.events().select("track_id").distinct().select("track_id", F.lit(260.0).alias("duration"), (50 + F.col("track_id") % 50 * 3).alias("bpm"))
 
     def _numbered(self, rows: DataFrame, name: str) -> DataFrame:
         w = Window.partitionBy("track_id").orderBy("t", "event_id")
         return rows.select("track_id", (F.row_number().over(w) - 1).cast("int").alias(name), "t", "value")
 
     def beats(self) -> DataFrame:
-        return self._numbered(self.events().where(F.col("event_type").isin(*KINDS_OF_BEAT) & (F.col("track_id") != 7)), "beat_idx").drop("value")
+        return self._numbered(self.events().where(F.col("event_type").isin(*KINDS_OF_BEAT) & (F.col("track_id") % 50 != 7)), "beat_idx").drop("value")
 
     def onsets(self) -> DataFrame:
         return self._numbered(self.events().where(F.col("event_type").isin("purchase", "error")), "onset_idx").drop("value")
@@ -60,7 +60,7 @@ class Songs:
         k = F.col("o_orderkey")
         pick = lambda a, b, c: F.when(k % 41 == 0, a).when(k % 11 == 0, b).otherwise(c)
         return self.table("orders").select(
-            F.col("o_custkey").alias("project_id"), k.alias("clip_id"), (5.0 + (k % 7) * F.lit(0.5)).alias("duration"), (F.col("o_custkey") % 50).alias("track_id"),
+            F.col("o_custkey").alias("project_id"), k.alias("clip_id"), (5.0 + (k % 7) * F.lit(0.5)).alias("duration"), F.floor(F.col("o_custkey") / 10).alias("track_id"),
             pick(0, 1280, 1920).alias("width"), pick(0, 640, 1080).alias("height"),
             F.when(k % 13 == 0, "24000/1001").when(k % 17 == 0, "0/0").otherwise("30/1").alias("r_frame_rate"), (k % 41 != 0).alias("has_video"))
 
@@ -100,9 +100,9 @@ _LABEL_SQL = "CASE (n_nationkey + track_id) % 7 " + " ".join(f"WHEN {k} THEN '{v
 
 #: The same views for DuckDB: name: (views it reads, SQL).
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
-    "fx_events": ((), "SELECT event_id, user_id % 50 AS track_id, round((epoch_us(ts) - 1704067200000000) / 1e10, 3) AS t, event_type, value FROM events"),
-    "fx_tracks": (("fx_events",), "SELECT track_id, 260.0E0 AS duration, 50 + track_id * 3 AS bpm FROM (SELECT DISTINCT track_id FROM fx_events)"),
-    "fx_beats": (("fx_events",), "SELECT track_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY t, event_id) - 1 AS INT) AS beat_idx, t FROM fx_events WHERE event_type IN ('click','view','signup') AND track_id <> 7"),
+    "fx_events": ((), "SELECT event_id, user_id AS track_id, round((epoch_us(ts) - 1704067200000000) / 1e10, 3) AS t, event_type, value FROM events"),
+    "fx_tracks": (("fx_events",), "SELECT track_id, 260.0E0 AS duration, 50 + track_id % 50 * 3 AS bpm FROM (SELECT DISTINCT track_id FROM fx_events)"),
+    "fx_beats": (("fx_events",), "SELECT track_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY t, event_id) - 1 AS INT) AS beat_idx, t FROM fx_events WHERE event_type IN ('click','view','signup') AND track_id % 50 <> 7"),
     "fx_onsets": (("fx_events",), "SELECT track_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY t, event_id) - 1 AS INT) AS onset_idx, t FROM fx_events WHERE event_type IN ('purchase','error')"),
     "fx_energy": (("fx_events",), "SELECT track_id, CAST(row_number() OVER (PARTITION BY track_id ORDER BY t, event_id) - 1 AS INT) AS frame_idx, t, value AS rms FROM fx_events"),
     "fx_sections": (("fx_tracks",), f"""SELECT track_id, CAST(n_nationkey AS INT) AS section_idx,
@@ -110,7 +110,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         CAST((n_nationkey + 1) * 10 + (track_id * 7 + (n_nationkey + 1) * (n_nationkey + 1) * 4) % 7 AS DOUBLE) AS end_s,
         {_LABEL_SQL} AS label, CASE WHEN (n_nationkey + track_id) % 4 = 0 THEN (n_nationkey % 10) / 10.0E0 END AS energy
         FROM fx_tracks CROSS JOIN nation"""),
-    "fx_clips": ((), """SELECT o_custkey AS project_id, o_orderkey AS clip_id, 5.0E0 + (o_orderkey % 7) * 0.5E0 AS duration, o_custkey % 50 AS track_id,
+    "fx_clips": ((), """SELECT o_custkey AS project_id, o_orderkey AS clip_id, 5.0E0 + (o_orderkey % 7) * 0.5E0 AS duration, CAST(floor(o_custkey / 10) AS BIGINT) AS track_id,
         CASE WHEN o_orderkey % 41 = 0 THEN 0 WHEN o_orderkey % 11 = 0 THEN 1280 ELSE 1920 END AS width,
         CASE WHEN o_orderkey % 41 = 0 THEN 0 WHEN o_orderkey % 11 = 0 THEN 640 ELSE 1080 END AS height,
         CASE WHEN o_orderkey % 13 = 0 THEN '24000/1001' WHEN o_orderkey % 17 = 0 THEN '0/0' ELSE '30/1' END AS r_frame_rate, o_orderkey % 41 <> 0 AS has_video FROM orders"""),
