@@ -4,7 +4,7 @@ Vectors are normalised and rotated by fixed random rotations. A vector's code is
 first rotation, its correction factor c the inner product of code and vector; for a vector q the
 value <code, q> / c is an unbiased estimate of the inner product, within
 ``EPSILON * sqrt((1 - c^2) / (c^2 (D - 1)))`` but for a chance of about exp(-EPSILON^2 / 2) (3 in 10,000;
-measured on pairs at the threshold: none in 400). A pair goes to exact recomputation, in double
+measured on pairs at the threshold: none in 20,000). A pair goes to exact recomputation, in double
 precision, only if both its estimates reach the threshold within their bounds; q itself is stored
 as one byte a component, whose error widens the bound.
 
