@@ -75,3 +75,21 @@ def text_or_empty(col: str = "text") -> Column:
 
 def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
+#: Keys with at least one in so many of all rows are heavy: by their sum there are no more of them than that.
+HEAVY = 10_000
+#: Rows of a look-up table that may be broadcast whole.
+FEW_ROWS = 300_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, by: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``table``, a written one with one row for each key ``by`` and in ``weight`` the key's
+    rows on the left. No key is hot: a small table is broadcast; of a large one the heavy keys are, at most
+    ``HEAVY`` of ``total`` rows, and what is left is joined by shuffle. ``rows`` is then read twice."""
+    if table.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        return rows.join(F.broadcast(table), by, how)
+    is_heavy = F.col(weight) * HEAVY >= total
+    heavy = F.broadcast(table.where(is_heavy))
+    rest = rows.join(F.broadcast(table.where(is_heavy).select(*by)), by, "left_anti").join(table.where(~is_heavy), by, how)
+    return rows.join(heavy, by).unionByName(rest)

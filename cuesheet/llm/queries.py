@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_quality, embedding_dedup, lbl_lm, mixing, packing, pii, quality_rules, simhash, token_counts, warc
+from . import crf_quality, embedding_dedup, exact_dedup, lbl_lm, mixing, packing, pii, quality_rules, simhash, token_counts, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -61,10 +61,14 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl_lm.language_scores(_table(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_source_mixing, op2_feistel_pii, op3_token_counts, op4_warc_bundles, op5_harmonic_packing, op6_quality_rules,
-              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear)
+              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear, op13_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -116,5 +120,11 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM r
+""",
+    "op13_exact_dedup": r"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
 """,
 }
