@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_quality, embedding_dedup, exact_dedup, lbl_lm, mixing, packing, pii, quality_rules, simhash, token_counts, warc
+from . import crf_quality, embedding_dedup, exact_dedup, lbl_lm, mixing, packing, pii, prefix_trie, quality_rules, simhash, token_counts, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -61,6 +61,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl_lm.language_scores(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations")).drop("node_key")
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_source_mixing, op2_feistel_pii, op3_token_counts, op4_warc_bundles, op5_harmonic_packing, op6_quality_rules,
-              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear, op13_exact_dedup)
+              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear, op12_prefix_trie, op13_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -120,6 +124,35 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM r
+""",
+    # every pair of a node and one below it in some conversation: for tables of some thousand turns
+    "op12_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.n, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.n <= h
+  UNION ALL SELECT c.conv_id, t.n, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.n > h),
+p AS (
+  SELECT conv_id, row_number() OVER o AS depth, length(text) AS n_chars,
+         string_agg(CAST(length(role) AS VARCHAR) || ':' || CAST(length(text) AS VARCHAR) || ':' || role || text, '') OVER o AS path
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+m AS (SELECT path, depth, min(n_chars) AS n_chars, min(conv_id) AS conv_id, count(*) AS n_convs FROM p GROUP BY path, depth),
+k AS (SELECT DISTINCT a.path, a.depth, b.path AS parent FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth = b.depth + 1),
+n AS (SELECT m.*, k.parent, (SELECT count(*) FROM k AS x WHERE x.parent = m.path AND x.depth = m.depth + 1) AS n_children FROM m LEFT JOIN k USING (path, depth)),
+s AS (SELECT DISTINCT a.path AS top, a.depth AS top_depth, b.path, b.depth FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+u AS (SELECT top, top_depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * n_chars) AS saved FROM s JOIN n USING (path, depth) GROUP BY ALL),
+l AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+e AS (SELECT path, depth, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM p JOIN l USING (conv_id, depth) GROUP BY path, depth)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs, CAST(n.n_children AS BIGINT) AS n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n JOIN u ON u.top = n.path AND u.top_depth = n.depth LEFT JOIN m AS up ON up.path = n.parent AND up.depth = n.depth - 1 LEFT JOIN e ON e.path = n.path AND e.depth = n.depth
 """,
     "op13_exact_dedup": r"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
