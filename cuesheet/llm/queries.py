@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_quality, embedding_dedup, exact_dedup, lbl_lm, mixing, packing, pii, prefix_trie, quality_rules, simhash, token_counts, warc
+from . import crf_quality, embedding_dedup, exact_dedup, lbl_lm, mixing, packing, pii, prefix_trie, quality_rules, simhash, token_alignment, token_counts, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -61,6 +61,10 @@ def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl_lm.language_scores(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations")).drop("node_key")
 
@@ -72,7 +76,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_source_mixing, op2_feistel_pii, op3_token_counts, op4_warc_bundles, op5_harmonic_packing, op6_quality_rules,
-              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear, op12_prefix_trie, op13_exact_dedup)
+              op7_simhash_golay, op8_crf_quality, op9_rotation_codes, op10_log_bilinear, op11_token_alignment, op12_prefix_trie, op13_exact_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
