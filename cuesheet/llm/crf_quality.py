@@ -199,11 +199,13 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
 
 def fit_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Field:
     """Fit on at most ``sample`` labelled documents of each label outside the held-out fold."""
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (fold(F.col(id_col)) != 0))
-    known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_y")).withColumn("_order", F.xxhash64("_id"))
+    known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y"))
+    known = known.where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & (fold(F.col("_id")) != 0))
+    known = known.groupBy("_id").agg(F.min("_y").alias("_y")).withColumn("_order", F.xxhash64("_id"))
     few = [known.where(F.col("_y") == y).orderBy("_order", "_id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(few[0].unionByName(few[1]))  # 2 * sample rows at most
-    rows = docs.join(chosen, F.col(id_col) == F.col("_id")).select("_id", "_y", F.coalesce(text_col, F.lit("")).alias("_t")).where(F.octet_length("_t") <= SAMPLE_BYTES)
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_t"))
+    rows = texts.join(chosen, "_id").where(F.octet_length("_t") <= SAMPLE_BYTES)
     got = sorted(rows.groupBy("_id", "_y").agg(F.min("_t").alias("_t")).collect())
     return fit([r["_t"] for r in got], [r["_y"] for r in got])
 

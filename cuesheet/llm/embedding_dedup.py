@@ -21,7 +21,8 @@ numbers a row, however many pairs are linked.
 Equal vectors are one class, whose copies count as links without being compared.
 
 Defined cases: a vector that is null, zero, or has null or non-finite components, or whose label is
-null, has no links and is a component of its own; vectors of different length never link; null ids
+null, has no links and is a component of its own; labels are of any type that can be compared, and equal when
+their values are; vectors of different length never link; null ids
 take part and are smallest of nothing (a component without any id has a null id); repeated rows are
 copies; columns of any other name are not read; an empty table gives an empty result.
 """
@@ -31,11 +32,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import durable, small_or_not
 from .components import connected_components
@@ -217,14 +220,27 @@ def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(raw, pa.binary())], b.schema.names)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``label``, of any type that can be compared, as a whole number: whole numbers stay, others get
+    a 64-bit hash with the first seed under which no two labels share one."""
+    kind = rows.schema["label"].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return rows.withColumn("label", F.col("label").cast("long"))
+    label = F.col("label") + F.lit(0.0) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col("label")  # one zero
+    for seed in count():
+        found = rows.select(label.alias("label"), F.xxhash64(label, F.lit(seed)).alias("h")).where("label IS NOT NULL").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        if not found.where("lo <> hi").limit(1).count():
+            return rows.withColumn("label", F.when(label.isNotNull(), F.xxhash64(label, F.lit(seed))))
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every vector."""
-    own = vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("embedding"))
+    own = numbered(vectors.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).alias("embedding")))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     usable = F.coalesce(F.col("label").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     two = [F.xxhash64("label", "embedding").alias("h1"), F.xxhash64("embedding", F.lit(1), "label").alias("h2")]
     own = own.withColumn("usable", usable)
-    classes = own.where("usable").select("vec_id", F.col("label").cast("long").alias("label"), "embedding", *two).groupBy("h1", "h2").agg(
+    classes = own.where("usable").select("vec_id", "label", "embedding", *two).groupBy("h1", "h2").agg(
         F.first("label").alias("label"), F.min("vec_id").alias("first_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     id_type = vectors.schema[id_col].dataType.simpleString()
     classes = classes.mapInArrow(_as_bytes, f"h1 long, h2 long, label long, first_id {id_type}, copies long, vector binary")

@@ -36,8 +36,8 @@ FIRST_DAY = "1900-01-01"
 #: 73,100 days from FIRST_DAY, as 340 x 215.
 DAYS = (340, 215)
 
-#: Fixed patterns of the candidates.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+#: Fixed patterns of the candidates. Groups that may repeat without end are possessive: the matcher would recurse once for each repetition.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 CLOUD_KEY = r"AKIA[0-9A-Z]{16}"
 SECRET_NAME = r"""(?i:token|password|secret|api_key)[ ]{0,3}[=:][ ]{0,3}["']?"""
 #: The whole value, however long, without the dots that end a sentence; an address is an address.

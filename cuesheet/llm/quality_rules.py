@@ -7,7 +7,8 @@ spread in every group, with or without such things; word length and letter share
 are. A limit is the group's own middle value plus or less a multiple of the distance from there to
 its own quarter. There is no fixed cutoff: a group's quartiles are averaged with its language's,
 which count as ``PRIOR`` documents, and those with the quartiles of all, so small groups lean on
-larger ones by degrees. The limits are joined back and a document is kept if it passes the base
+larger ones by degrees; a spread is never below a quarter of the wider group's, and a limit never
+nearer to the middle than ``SLACK``, so a group of like texts does not drop what is hardly different. The limits are joined back and a document is kept if it passes the base
 rules and all of them.
 
 Defined cases: a null text has no words; a null language or source is a group of its own;
@@ -18,6 +19,8 @@ empty result.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,11 @@ WINDOW = 5
 MAX_REPEAT_PERCENT = 20
 #: Measure: multiples of the lower and the upper quarter's distance from the middle, None where that side is free.
 RULES = {"symbol_rate": (None, 6.0), "bang_rate": (None, 6.0), "dup_line_rate": (None, 6.0), "word_length": (10.0, 10.0), "letter_share": (12.0, None)}
+#: How far from the middle a limit lies at least: two more found in a text with none, half a character a word, a twentieth of the characters.
+#: It matters only where a group's quartiles nearly coincide.
+SLACK = {"symbol_rate": log(3), "bang_rate": log(3), "dup_line_rate": log(3), "word_length": 0.5, "letter_share": 0.05}
+#: A quarter's distance is at least this share of that of the group's language, and that one's of that of all.
+LEAST_SPREAD = 0.25
 #: Documents that the wider group's quartiles count as.
 PRIOR = 50.0
 KLL_K = 200
@@ -119,7 +127,13 @@ def thresholds(groups: DataFrame) -> DataFrame:
 
     def leaning(own: str, wider: Column, k: str) -> Column:
         n = F.col(f"{own}.n")
-        return F.zip_with(F.col(f"{own}.{k}"), wider, lambda a, b: (n * a + PRIOR * b) / (n + PRIOR)).alias(k)
+        mixed = F.zip_with(F.col(f"{own}.{k}"), wider, lambda a, b: (n * a + PRIOR * b) / (n + PRIOR))
+
+        def spread(q: Column) -> Column:
+            at = lambda x, i: F.get(x, F.lit(i))
+            return F.array(F.least(at(q, 0), at(q, 1) - LEAST_SPREAD * (at(wider, 1) - at(wider, 0))), at(q, 1), F.greatest(at(q, 2), at(q, 1) + LEAST_SPREAD * (at(wider, 2) - at(wider, 1))))
+
+        return _let(mixed, spread).alias(k)
 
     joined = (
         quartiles(groups, "own", "lang", "source")
@@ -131,8 +145,8 @@ def thresholds(groups: DataFrame) -> DataFrame:
     def limit(k: str) -> Column:
         below, above = RULES[k]
         q1, q2, q3 = (F.get(k, F.lit(i)) for i in range(3))
-        low = F.lit(float("-inf")) if below is None else q2 - below * (q2 - q1)
-        high = F.lit(float("inf")) if above is None else q2 + above * (q3 - q2)
+        low = F.lit(float("-inf")) if below is None else q2 - F.greatest(below * (q2 - q1), F.lit(SLACK[k]))
+        high = F.lit(float("inf")) if above is None else q2 + F.greatest(above * (q3 - q2), F.lit(SLACK[k]))
         return F.struct(low.alias("low"), high.alias("high")).alias(k)
 
     return joined.select("lang", "source", F.struct(*map(limit, RULES)).alias("limits"))

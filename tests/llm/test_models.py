@@ -85,6 +85,15 @@ def test_classifier_odd_rows(spark):
     assert crf_quality.quality_scores(docs.limit(0), field).count() == 0
 
 
+def test_classifier_with_columns_of_its_own_names(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").limit(300), spark.read.parquet(f"{sf}/labels.parquet")
+    clash = [F.lit(7).alias(k) for k in ("_id", "_y", "_t", "_order", "score", "held_out")]
+    plain, odd = crf_quality.fit_field(docs, labels), crf_quality.fit_field(docs.select("*", *clash), labels.select("*", *clash))
+    assert np.array_equal(plain.weights, odd.weights)
+    score = lambda df, field: sorted(map(tuple, crf_quality.quality_scores(df, field).collect()))
+    assert score(docs, plain) == score(docs.select("*", *clash), odd)
+
+
 def plain_links(rows):
     ids = [r[0] for r in rows]
     x = np.array([r[1] for r in rows], float)
@@ -134,6 +143,31 @@ def test_embedding_odd_ids(spark):
     assert got == sorted([(None, 1, None, True), (None, 1, None, True), (7, 1, 7, True), (7, 1, 7, True), (None, 0, None, True)], key=str)
 
 
+@pytest.mark.parametrize("kind, labels", [("string", ["a", "b", "1"]), ("double", [1.2, 1.7, -0.0]), ("decimal(4,2)", [1, 2, 3]), ("date", None), ("array<int>", [[1], [1, 2], []]), ("boolean", [True, False, None])])
+def test_embedding_labels_of_any_type(spark, kind, labels):
+    """Equal labels link, others don't, of whatever type; zeros of both signs are equal."""
+    from datetime import date
+    from decimal import Decimal
+
+    labels = labels or [date(2024, 1, k) for k in (1, 2, 3)]
+    labels = [Decimal(x) for x in labels] if kind.startswith("decimal") else labels
+    v = [1.0, 0.5, 2.0]
+    rows = [(i, [x + i * 1e-3 for x in v], label) for i, label in enumerate(labels * 2)]
+    if kind == "double":
+        rows.append((6, v, 0.0))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()}
+    for i, (_, _, a) in enumerate(rows):
+        same = [j for j, (_, _, b) in enumerate(rows) if a is not None and a == b]
+        assert got[i] == (max(len(same) - 1, 0), min(same, default=i))
+
+
+def test_colliding_label_numbers_take_another_seed(spark, monkeypatch):
+    real = F.xxhash64
+    monkeypatch.setattr(embedding_dedup.F, "xxhash64", lambda c, seed=None: real(c) if seed is None else F.when(seed == 0, 5).otherwise(real(c, seed)))
+    rows = embedding_dedup.numbered(spark.createDataFrame([("a",), ("b",), (None,)], "label string"))
+    assert len({r.label for r in rows.collect()}) == 3
+
+
 @pytest.mark.parametrize("dim", [64, 256])
 def test_embedding_recall_at_the_threshold(spark, dim):
     """Planted groups whose pairs lie on both sides of the threshold, at the real widths of keys."""
