@@ -35,13 +35,15 @@ def with_bonuses(scored: DataFrame) -> DataFrame:
 
 
 def candidates(scored: DataFrame, beats: DataFrame, least: float = 15.0, most: float = 30.0) -> DataFrame:
-    """T1 [R]: window of each section: 15 to 30 s, on beats, snapped again where that moved it too far. All
-    look-ups of a section read one array of the beats around its start."""
+    """T1 [R]: window of each section: 15 to 30 s, on beats, snapped again where that moved it too far. The first
+    look-ups read an array of the beats around the section's start; the second ones go from the beat found there, which may be
+    far off, and read the array around that."""
     n = F.col("end_s") - F.col("start_s")
     raw = F.when(n < least, F.col("start_s") + least).when(n > most, F.col("start_s") + most).otherwise(F.col("end_s"))
     s = with_events_around(scored, beats, "track_id", F.col("start_s"), "near")
     near, a, b = F.col("near"), F.col("a"), F.col("b")
-    s = s.withColumn("a", last_upto(near, F.col("start_s"))).withColumn("b", first_from(near, raw))
+    s = s.withColumn("a", last_upto(near, F.col("start_s"))).withColumn("b", first_from(near, raw)).drop("near")
+    s = with_events_around(s, beats, "track_id", a, "near")
     s = s.withColumn("b", F.when(b - a > most + 1, last_upto(near, a + most)).otherwise(b))
     s = s.withColumn("b", F.when(b - a < least - 1, first_from(near, a + least)).otherwise(b))
     return s.select("track_id", "section_idx", "label", "score", F.greatest(a, F.lit(0.0)).alias("clip_start"), b.alias("clip_end"))
