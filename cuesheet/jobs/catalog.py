@@ -13,7 +13,7 @@ from ..functions import vision
 from ..operators import asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
 from ..sources import io
 from ..sources.fixtures import Songs, duck
-from ..streaming import live
+from ..streaming import live, replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -917,3 +917,33 @@ def st1_chunk_counts(s):
 def st3_playing_section(s):
     """The streaming job's rows for a whole table."""
     return live.playing_section(s.events().select("track_id", "event_id", "t"), s.sections())
+
+
+SLICES = 8
+
+
+@query("""SELECT CAST(floor(epoch(ts) / 30) AS BIGINT) * 30 AS chunk_start, user_id AS track_id, count(*) FILTER (event_type = 'click') AS beats, count(*) FILTER (event_type = 'purchase') AS onsets FROM events GROUP BY ALL""")
+def st1_replayed_chunks(s):
+    """The whole table through the streaming job, in order of time, a row far ahead closing the last chunks."""
+    kind = F.when(F.col("event_type") == "click", "beat").when(F.col("event_type") == "purchase", "onset")
+    e = s.table("events").select(F.col("user_id").alias("track_id"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"))
+    end = e.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts")).select(F.lit(None).cast("long").alias("track_id"), "ts", F.lit(None).cast("string").alias("kind"))
+    out, _ = replay.replay(replay.sliced(e, F.col("ts"), SLICES), live.chunk_counts, closing=end)
+    return out.withColumn("chunk_start", F.unix_timestamp("chunk_start"))
+
+
+IDLE = 86_400.0
+
+
+@query("""WITH a AS (SELECT user_id AS project_id, user_id % 11 AS clip_id, event_id, epoch_us(ts) AS us, round(value, 2) AS score, value > 100 AS passed FROM events WHERE event_type = 'error'),
+b AS (SELECT *, CASE WHEN lag(passed) OVER w OR us - lag(us) OVER w > 86400000000 THEN 1 ELSE 0 END AS fresh FROM a WINDOW w AS (PARTITION BY project_id, clip_id ORDER BY us, event_id)),
+c AS (SELECT *, sum(fresh) OVER (PARTITION BY project_id, clip_id ORDER BY us, event_id) AS run FROM b),
+r AS (SELECT project_id, clip_id, run, arg_min(event_id, struct_pack(u := us, e := event_id)) AS first_attempt, max(us) AS last_us, CAST(count(*) AS INT) AS attempts, bool_or(passed) AS done, max(score) AS best_score FROM c GROUP BY ALL),
+e AS (SELECT *, last_us + 86400000000 < (SELECT max(us) FROM a) - 600000000 OR run < max(run) OVER (PARTITION BY project_id, clip_id) AS idle FROM r)
+SELECT project_id, clip_id, first_attempt, attempts, CASE WHEN done THEN 'done' WHEN idle OR attempts > 3 THEN 'review' WHEN attempts = 3 THEN 'simplify' ELSE 'new_seed' END AS action, best_score, done OR idle AS closed FROM e""")
+def st2_retry_states(s):
+    """Attempts of the whole table through the job with state and timers, in order of time; a run of attempts ends after a day without one."""
+    a = s.table("events").where("event_type = 'error'").select(F.col("user_id").alias("project_id"), (F.col("user_id") % 11).alias("clip_id"), F.col("ts").cast("timestamp").alias("ts"),
+                                                               F.col("event_id").alias("attempt"), F.round("value", 2).alias("score"), (F.col("value") > 100).alias("passed"))
+    out, _ = replay.replay(replay.sliced(a, F.col("ts"), SLICES), lambda df: live.retry_states(df, idle_seconds=IDLE))
+    return live.final_states(out)

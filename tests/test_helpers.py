@@ -132,15 +132,6 @@ def test_chunk_counts_stream_equals_batch(spark, tmp_path):
     assert got <= want and {r for r in want if r[0] < last} <= got
 
 
-def test_retry_stream(spark, tmp_path):
-    t = START
-    rows = [(1, 1, t, 0.2, False), (1, 2, t, 0.3, False), (1, 2, t, 0.9, True), (2, 1, t, 0.1, False), (2, 1, t, 0.4, False), (2, 1, t, 0.3, False), (2, 1, t, 0.2, False)]
-    df = spark.createDataFrame(rows, "project_id long, clip_id long, ts timestamp, score double, passed boolean")
-    run(live.retry_states(stream(spark, tmp_path, df)), "append", "st2")
-    got = {(r.project_id, r.clip_id): (r.attempts, r.action, r.best_score) for r in spark.table("st2").collect()}
-    assert got == {(1, 1): (1, "new_seed", 0.2), (1, 2): (2, "done", 0.9), (2, 1): (4, "review", 0.4)}
-
-
 def test_playing_section_stream(spark, tmp_path):
     s = spark.createDataFrame([(1, 0.0, 5.0, "Intro"), (1, 5.0, 9.0, "Verse")], "track_id int, start_s double, end_s double, label string")
     df = spark.createDataFrame([(1, 0.0), (1, 5.0), (1, 9.0), (2, 1.0)], "track_id int, t double")
