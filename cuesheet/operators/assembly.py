@@ -4,32 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import transition
 from .asof import nearest, sections_at
+from .chunked import SIZE, following, running_sum
 
 
-def cut_list(clips: DataFrame, beats: DataFrame, sections: DataFrame, default_td: float | None = None) -> DataFrame:
+def cut_list(clips: DataFrame, beats: DataFrame, sections: DataFrame, default_td: float | None = None, size: int = SIZE) -> DataFrame:
     """W5 [R]: cut after each clip of a project but the last: raw time, nearest beat, and the transition by
-    the sections 0.1 s around that beat. ``clips``: project_id, clip_id, track_id, duration."""
-    w = Window.partitionBy("project_id").orderBy("clip_id")
-    c = clips.select("project_id", "clip_id", "track_id", F.sum("duration").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("raw_cut"), F.lead("clip_id").over(w).alias("next_clip"))
-    c = nearest(c.where("next_clip is not null").drop("next_clip"), beats, "track_id", "raw_cut", "snapped_cut")
+    the sections 0.1 s around that beat. ``clips``: project_id, clip_id, track_id, duration. Sums run in chunks of
+    ``size`` clip numbers, so a long project is many tasks."""
+    c = clips.select("project_id", "clip_id", "track_id", "duration")
+    c = following(running_sum(c, ["project_id"], "clip_id", {"raw_cut": F.col("duration")}, size), ["project_id"], "clip_id", "clip_id", "next_clip", size)
+    c = nearest(c.where("next_clip is not null").drop("next_clip", "duration"), beats, "track_id", "raw_cut", "snapped_cut")
     at = {"section_before": F.col("snapped_cut") - 0.1, "section_after": F.col("snapped_cut") + 0.1}
     c = sections_at(c, sections, "track_id", at, ["project_id", "clip_id"])
     kind, td = transition(F.col("section_before"), F.col("section_after"))
     return c.select("project_id", "clip_id", "raw_cut", "snapped_cut", "section_before", "section_after", kind.alias("xfade"), (F.lit(default_td) if default_td else td).alias("td"))
 
 
-def offsets(clips: DataFrame, cuts: DataFrame) -> DataFrame:
+def offsets(clips: DataFrame, cuts: DataFrame, size: int = SIZE) -> DataFrame:
     """W6 [R]: where each transition begins. A hard cut takes no time from its own offset but 0.033 s from
     all later ones; an offset below 0 is 0, which later ones don't feel."""
     hard = (F.col("xfade") == "none") | (F.col("td") <= 0)
     j = clips.select("project_id", "clip_id", "duration").join(cuts.select("project_id", "clip_id", "xfade", "td"), ["project_id", "clip_id"])
     j = j.withColumn("own", F.when(hard, 0.0).otherwise(F.col("td"))).withColumn("used", F.when(hard, 0.033).otherwise(F.col("td")))
-    w = Window.partitionBy("project_id").orderBy("clip_id")
-    upto = F.sum("duration").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.coalesce(F.sum("used").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    j = running_sum(j, ["project_id"], "clip_id", {"lasted": F.col("duration"), "taken": F.col("used")}, size)
+    upto = F.col("lasted") - (F.col("taken") - F.col("used"))
     return j.select("project_id", "clip_id", F.when(hard, "fade").otherwise(F.col("xfade")).alias("transition"), F.col("used").alias("duration"), F.greatest(F.lit(0.0), upto - F.col("own")).alias("offset"))
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.numbers import rounded
 from .asof import first_from, last_upto, overlapping, with_events_around
+from .chunked import SIZE, around, known, preceding
 
 # Score of a section by a word in its label, first match first.
 TYPE_SCORES = (("chorus", 0.9), ("drop", 0.95), ("climax", 0.95), ("bridge", 0.7), ("prechorus", 0.65), ("pre-chorus", 0.65), ("verse", 0.5), ("intro", 0.4), ("outro", 0.3))
@@ -64,25 +66,24 @@ def pick(cands: DataFrame, k: int, margin: float = 2.0) -> DataFrame:
 def manifest(picks: DataFrame, height: int = 1080, width: int = 1920) -> DataFrame:
     """T3 [R]: rows of the clip manifest; a video narrower than the crop is centred."""
     crop = int(height * 9 / 16)
-    return picks.select("track_id", F.format_string("tiktok-clip-%02d", F.col("rank") + 1).alias("file"), F.round("clip_start", 3).alias("start_time"), F.round("clip_end", 3).alias("end_time"),
-                        F.round(F.col("clip_end") - F.col("clip_start"), 3).alias("duration"), F.col("label").alias("section_label"), F.round("score", 3).alias("energy"),
+    return picks.select("track_id", F.format_string("tiktok-clip-%02d", F.col("rank") + 1).alias("file"), rounded(F.col("clip_start"), 3).alias("start_time"), rounded(F.col("clip_end"), 3).alias("end_time"),
+                        rounded(F.col("clip_end") - F.col("clip_start"), 3).alias("duration"), F.col("label").alias("section_label"), rounded(F.col("score"), 3).alias("energy"),
                         F.lit(crop).alias("crop_width"), F.lit("center" if width < crop else "smart").alias("crop_mode"))
 
 
-def crop_positions(centers: DataFrame, width: int, crop: int, reach: int = 7) -> DataFrame:
+def crop_positions(centers: DataFrame, width: int, crop: int, reach: int = 7, size: int = SIZE) -> DataFrame:
     """W7 [R]: crop position of each frame: gaps filled from before, then from the first known, then the
-    middle; mean over 15 frames; left edge inside the picture."""
-    w = Window.partitionBy("clip_id").orderBy("frame_idx")
-    first = F.first("center_x", True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    filled = centers.withColumn("filled", F.coalesce(F.last("center_x", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), first, F.lit(width // 2)))
-    mean = F.avg("filled").over(w.rowsBetween(-reach, reach)).cast("int")
-    return filled.select("clip_id", "frame_idx", F.greatest(F.lit(0), F.least(mean - crop // 2, F.lit(width - crop))).alias("crop_x"))
+    middle; mean over 15 frames; left edge inside the picture. A clip goes in chunks of ``size`` frames, which carry the
+    last and first known values and share the frames at their borders; frames are numbered without gaps."""
+    filled = known(centers.select("clip_id", "frame_idx", "center_x"), ["clip_id"], "frame_idx", "center_x", "filled", size)
+    filled = filled.withColumn("filled", F.coalesce("filled", F.lit(width // 2)))
+    c = around(filled, ["clip_id"], "frame_idx", reach, {"mean": F.avg("filled")}, size)
+    return c.select("clip_id", "frame_idx", F.greatest(F.lit(0), F.least(F.col("mean").cast("int") - crop // 2, F.lit(width - crop))).alias("crop_x"))
 
 
-def crop_commands(crops: DataFrame, crop: int, height: int, fps: float) -> DataFrame:
+def crop_commands(crops: DataFrame, crop: int, height: int, fps: float, size: int = SIZE) -> DataFrame:
     """W8 [R]: a command for each frame at which the position changes."""
-    prev = F.lag("crop_x").over(Window.partitionBy("clip_id").orderBy("frame_idx"))
-    c = crops.withColumn("prev", prev).where(F.col("prev").isNull() | (F.col("prev") != F.col("crop_x")))
+    c = preceding(crops, ["clip_id"], "frame_idx", "crop_x", "prev", size).where("prev IS NULL OR prev <> crop_x")
     return c.select("clip_id", "frame_idx", F.format_string(f"%.4f [enter] crop w {crop} h {height} x %d y 0;", F.col("frame_idx") / F.lit(float(fps)), "crop_x").alias("command"))
 
 

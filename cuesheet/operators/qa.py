@@ -46,7 +46,7 @@ def colour_tier(hist: DataFrame) -> DataFrame:
     c = j.groupBy("project_id", "clip_id", "channel").agg(F.covar_pop("p", "m").alias("c"), F.var_pop("p").alias("vp"), F.var_pop("m").alias("vm"))
     r = F.when((F.col("vp") < 1e-14) | (F.col("vm") < 1e-14), 1.0).otherwise(F.col("c") / F.sqrt(F.col("vp") * F.col("vm")))
     return c.withColumn("r", r).groupBy("project_id", "clip_id").agg(
-        *(F.round(F.max(F.when(F.col("channel") == k, F.col("r"))), 4).alias(f"{n}_correlation") for k, n in enumerate("lab")),
+        *(rounded(F.max(F.when(F.col("channel") == k, F.col("r"))), 4).alias(f"{n}_correlation") for k, n in enumerate("lab")),
         (F.min(F.when(F.col("channel") > 0, F.col("r"))) >= COLOUR).alias("passed"))
 
 

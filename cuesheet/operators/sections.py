@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.numbers import rounded
 from .asof import nearest
+from .chunked import SIZE, following, runs
 
 HOP = 512 / 22050
 
@@ -40,16 +41,16 @@ def block_energy(blocks: DataFrame, samples: DataFrame, step: float, span: float
     return blocks.join(means, ["track_id", "block_idx"], "left").withColumn("energy", F.coalesce("energy", F.lit(0.0)))
 
 
-def merge_blocks(blocks: DataFrame, songs: DataFrame) -> DataFrame:
+def merge_blocks(blocks: DataFrame, songs: DataFrame, size: int = SIZE) -> DataFrame:
     """W1 [R]: runs of blocks of one cluster as sections, up to the next run's start, the last to the end.
-    ``blocks``: track_id, block_idx, t, cluster, energy; ``songs``: track_id, duration."""
-    w = Window.partitionBy("track_id").orderBy("block_idx")
-    flagged = blocks.withColumn("new", F.coalesce((F.col("cluster") != F.lag("cluster").over(w)).cast("int"), F.lit(1)))
-    runs = flagged.withColumn("section_idx", (F.sum("new").over(w) - 1).cast("int")).groupBy("track_id", "section_idx").agg(
-        F.min("t").alias("start_s"), F.first("cluster").alias("cluster"), rounded(F.avg("energy"), 3).alias("energy_avg"))
-    nxt = F.lead("start_s").over(Window.partitionBy("track_id").orderBy("section_idx"))
-    return runs.join(songs.select("track_id", "duration"), "track_id").select(
-        "track_id", "section_idx", rounded(F.col("start_s"), 3).alias("start_s"), rounded(F.coalesce(nxt, "duration"), 3).alias("end_s"), "cluster", "energy_avg")
+    ``blocks``: track_id, block_idx, t, cluster, energy; ``songs``: track_id, duration. Runs are made inside chunks of
+    ``size`` blocks and joined at their borders, so a song of any length is many tasks."""
+    parts = {"start_s": (F.min("t"), F.min("start_s")), "_sum": (F.sum("energy"), F.sum("_sum")), "_n": (F.count("energy"), F.sum("_n"))}
+    merged = runs(blocks, ["track_id"], "block_idx", "cluster", parts, "section_idx", size)
+    merged = following(merged, ["track_id"], "section_idx", "start_s", "next_s", size)
+    return merged.join(songs.select("track_id", "duration"), "track_id").select(
+        "track_id", "section_idx", rounded(F.col("start_s"), 3).alias("start_s"), rounded(F.coalesce("next_s", "duration"), 3).alias("end_s"), "cluster",
+        rounded(F.col("_sum") / F.col("_n"), 3).alias("energy_avg"))
 
 
 def label_sections(sections: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def snap_sections(sections: DataFrame, beats: DataFrame, songs: DataFrame) -> Da
     s = nearest(sections, beats, "track_id", "end_s", "beat_end")
     has = beats.select("track_id").distinct().withColumn("has_beats", F.lit(True))
     s = s.join(has, "track_id", "left").join(songs.select("track_id", "duration"), "track_id")
-    end = F.when(F.lead("section_idx").over(w).isNull(), F.round("duration", 3)).otherwise(F.round("beat_end", 3))
+    end = F.when(F.lead("section_idx").over(w).isNull(), rounded(F.col("duration"), 3)).otherwise(rounded(F.col("beat_end"), 3))
     s = s.withColumn("new_end", end)
     s = s.withColumn("new_start", F.coalesce(F.lag("new_end").over(w), F.lit(0.0)))
     keep = F.col("has_beats").isNull() | (F.col("new_end") > F.col("new_start"))
@@ -94,7 +95,7 @@ def chapters(sections: DataFrame) -> DataFrame:
 def bpm_of(beats: DataFrame) -> DataFrame:
     """W13 [A]: 60 over the median gap of a song's beats, 1 digit; null without a gap above 0."""
     gaps = beats.select("track_id", (F.col("t") - F.lag("t").over(Window.partitionBy("track_id").orderBy("t", "beat_idx"))).alias("gap"))
-    return gaps.groupBy("track_id").agg(F.percentile("gap", F.lit(0.5)).alias("gap")).select("track_id", F.round(F.when(F.col("gap") > 0, 60 / F.col("gap")), 1).alias("bpm"))
+    return gaps.groupBy("track_id").agg(F.percentile("gap", F.lit(0.5)).alias("gap")).select("track_id", rounded(F.when(F.col("gap") > 0, 60 / F.col("gap")), 1).alias("bpm"))
 
 
 def peaks(frames: DataFrame, reach: int = 3, delta: float = 1.0, size: int = 4096) -> DataFrame:
