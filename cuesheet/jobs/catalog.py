@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions import vision
-from ..operators import asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
+from ..operators import anchors, asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
 from ..sources import io
 from ..sources.fixtures import Songs, duck
 from ..streaming import live, replay
@@ -947,3 +947,26 @@ def st2_retry_states(s):
                                                                F.col("event_id").alias("attempt"), F.round("value", 2).alias("score"), (F.col("value") > 100).alias("passed"))
     out, _ = replay.replay(replay.sliced(a, F.col("ts"), SLICES), lambda df: live.retry_states(df, idle_seconds=IDLE))
     return live.final_states(out)
+
+
+_RUN = "SELECT *, norm || ' ' || lead(norm, 1) OVER w || ' ' || lead(norm, 2) OVER w AS run FROM (SELECT track_id, {i}, trim(regexp_replace(lower(word), '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g')) AS norm FROM {view}) WINDOW w AS (PARTITION BY track_id ORDER BY {i})"
+_ONCE = "SELECT track_id, run, min({i}) AS {i} FROM ({rows}) WHERE run <> '' GROUP BY ALL HAVING count(*) = 1"
+
+
+@query(f"""WITH u AS ({_ONCE.format(i='u_idx', rows=_RUN.format(i='u_idx', view='fx_words'))}), h AS ({_ONCE.format(i='w_idx', rows=_RUN.format(i='w_idx', view='fx_whisper'))}), p AS (SELECT track_id, u_idx, w_idx FROM u JOIN h USING (track_id, run)),
+s AS (SELECT *, coalesce(w_idx > max(w_idx) OVER (PARTITION BY track_id ORDER BY u_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AND coalesce(w_idx < min(w_idx) OVER (PARTITION BY track_id ORDER BY u_idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), true) AS safe FROM p),
+x AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY u_idx) AS n FROM s WHERE NOT safe),
+r AS (SELECT track_id, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(u INT, w INT, len INT, came INT)[]) AS got FROM x GROUP BY track_id
+UNION ALL SELECT r.track_id, x.n, list_append(got, {{'u': x.u_idx, 'w': x.w_idx, 'len': 1 + coalesce(list_max([g.len FOR g IN got IF g.w < x.w_idx]), 0), 'came': coalesce(list_last([g.u FOR g IN got IF g.len = coalesce(list_max([f.len FOR f IN got IF f.w < x.w_idx]), 0)]), -1)}}) FROM r JOIN x ON r.track_id = x.track_id AND x.n = r.n + 1),
+z AS (SELECT track_id, unnest(arg_max(got, n)) AS g FROM r GROUP BY track_id), e AS (SELECT track_id, g.u AS u, g.w AS w, g.len AS len, g.came AS came FROM z),
+c AS (SELECT track_id, u, w, came FROM e QUALIFY row_number() OVER (PARTITION BY track_id ORDER BY len DESC, u DESC) = 1 UNION ALL SELECT e.track_id, e.u, e.w, e.came FROM c JOIN e ON e.track_id = c.track_id AND e.u = c.came)
+SELECT track_id, u_idx, w_idx FROM s WHERE safe UNION ALL SELECT track_id, u, w FROM c""".replace("WITH u", "WITH RECURSIVE u", 1), "fx_words", "fx_whisper")
+def j10_anchor_chain(s):
+    """Anchors of three words: the longest chain of pairs in order in both the lyrics and the transcript."""
+    return anchors.anchors(words(s), s.whisper_words(), (3,))
+
+
+@query(None)
+def j10_w12_align_long(s):
+    """Words paired by anchors, a row for each gap between them."""
+    return anchors.align_long(words(s), s.whisper_words())

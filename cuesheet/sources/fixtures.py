@@ -147,6 +147,7 @@ def duck(body: str, *views: str) -> str:
         add(v)
     ctes = [f"{v} AS ({VIEWS[v][1]})" for v in need]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return "WITH " + ", ".join([*ctes, body[5:]])
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(head):
+            return head + ", ".join([*ctes, body[len(head):]])
     return ("WITH " + ", ".join(ctes) + " " if ctes else "") + body
