@@ -10,11 +10,16 @@ threshold itself; closer texts are missed far more rarely.
 
 Rows that share a key are first compared by one word of the fingerprint kept for that (``GLANCE``
 bits); those with a partner get their whole fingerprints, and a walk over each key's rows names links
-that connect what is connected by pairs within the threshold. A key with very many rows (found by
-counting on every 64th fingerprint; the path taken does not change the links) is dealt as blocks that
+that connect what is connected by pairs within three standard errors of the threshold. A key with very many
+rows (found by counting on every 64th fingerprint; the path taken does not change the links) is dealt as blocks that
 share some of its rows, and afterwards only rows outside the key's main component are compared with
 all of it. So links of a key of n close texts number about n, not n squared.
 
+Fingerprints only propose: the texts that they connect are read once more, one of each class, and meet again with
+their sorted shingle hashes, keyed by their proposed component. There the same walk links a pair only if its exact
+similarity reaches the threshold, and the components of those links are the result. Very large components are dealt as blocks
+in the same way.
+
 Defined cases: texts without words are equal, shorter ones are a single shingle; whole texts are
 read, however long; null and repeated ids are told apart by row; repeated rows are copies; columns of any
 name stay as they are; an empty table gives an empty result.
@@ -23,7 +28,7 @@ name stay as they are; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +43,7 @@ from .simhash import BROADCAST_IDS, codeword_keys
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Recall of candidates at the threshold.
-RECALL = 0.95
+RECALL = 0.985
 #: Words of 64 bits in a fingerprint; the last is compared first, the others hold segments.
 WIDE = 9
 SEGMENT, SEGMENTS = 23, 22
@@ -49,15 +54,17 @@ GLANCE = 19
 #: Rows of a key (estimated on every ``THIN``-th fingerprint) from which on it is dealt as blocks.
 CROWDED, THIN = 4096, 64
 HUBS, BROADCAST_KEYS = 64, 100_000
+#: Bytes of shingle hashes from which on a proposed component is dealt as blocks.
+CROWDED_BYTES = 64 << 20
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 
 
 def most_bits(similarity: float = SIMILARITY) -> int:
-    """Differing bits up to which texts count as similar: what is expected at ``similarity``, and 1.5 standard errors."""
+    """Differing bits up to which texts may be similar: what is expected at ``similarity``, and three standard errors."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     n = 64 * WIDE
-    return math.floor(p * n + 1.5 * math.sqrt(p * (1 - p) * n))
+    return math.floor(p * n + 3 * math.sqrt(p * (1 - p) * n))
 
 
 def key_plan(n: int, recall: float = RECALL, similarity: float = SIMILARITY) -> tuple[int, int]:
@@ -163,33 +170,64 @@ def _keyed(bits: int, tables: int):
     return run
 
 
-def walk(fp: np.ndarray, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Links (two lists of row numbers) that connect rows exactly as all pairs within ``most`` bits do."""
-    a, b, left, ahead = [], [], np.arange(1, len(fp)), [0]
+Near = Callable[[int, np.ndarray], np.ndarray]
+
+
+def by_bits(most: int) -> Callable[[np.ndarray], Near]:
+    """From fingerprints as bytes a test of one row against others: whether they differ in at most so many bits."""
+    def prepared(raw: np.ndarray) -> Near:
+        fp = _words(raw)
+        return lambda x, others: np.bitwise_count(fp[others] ^ fp[x]).sum(axis=1, dtype=np.int64) <= most
+
+    return prepared
+
+
+def by_similarity(most: int, similarity: float) -> Callable[[np.ndarray], Near]:
+    """From fingerprints followed by sorted shingle hashes: whether the exact similarity is reached. The bits, and the sizes, only
+    spare the looking."""
+    def prepared(raw: np.ndarray) -> Near:
+        sets = [np.frombuffer(r, np.uint64)[WIDE:] for r in raw]
+        size = np.array([len(x) for x in sets])
+        close = by_bits(most)([r[:8 * WIDE] for r in raw])
+
+        def near(x: int, others: np.ndarray) -> np.ndarray:
+            maybe = close(x, others) & (np.minimum(size[others], size[x]) >= similarity * np.maximum(size[others], size[x]))
+            for k in np.flatnonzero(maybe):
+                shared = len(np.intersect1d(sets[x], sets[others[k]], assume_unique=True))
+                maybe[k] = shared >= similarity * (size[x] + size[others[k]] - shared)
+            return maybe
+
+        return near
+
+    return prepared
+
+
+def walk(n: int, near: Near) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Links (two lists of row numbers) that connect ``n`` rows exactly as all near pairs do."""
+    a, b, left, ahead = [], [], np.arange(1, n), [0]
     while len(left):
         if not ahead:
             ahead, left = [int(left[0])], left[1:]
             continue
         x = ahead.pop()
-        near = np.bitwise_count(fp[left] ^ fp[x]).sum(axis=1, dtype=np.int64) <= most
-        if near.any():
-            found = left[near]
-            a.append(np.full(len(found), x))
-            b.append(found)
-            ahead.extend(found.tolist())
-            left = left[~near]
+        found = near(x, left)
+        if found.any():
+            a.append(np.full(int(found.sum()), x))
+            b.append(left[found])
+            ahead.extend(left[found].tolist())
+            left = left[~found]
     return a, b
 
 
-def _walked(most: int, width: int):
+def _walked(prepared: Callable[[np.ndarray], Near], width: int):
     """Links inside the runs of rows sorted by the first ``width`` columns, which node and fp follow."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, cols in runs(batches, width):
-            node, fp = cols[width], _words(cols[width + 1])
+            node, raw = cols[width], cols[width + 1]
             one, two = [], []
             for lo, hi in zip(start, np.r_[start[1:], len(node)], strict=True):
                 if hi - lo > 1:
-                    a, b = walk(fp[lo:hi], most)
+                    a, b = walk(hi - lo, prepared(raw[lo:hi]))
                     one.extend(node[lo + x] for x in a)
                     two.extend(node[lo + x] for x in b)
             if one:
@@ -198,21 +236,44 @@ def _walked(most: int, width: int):
     return run
 
 
-def _across(most: int):
+def _across(prepared: Callable[[np.ndarray], Near]):
     """Links between rows of side 1 and side 0 in the runs of (key, block)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for start, (_, _, side, node, fp) in runs(batches, 2):
-            fp = _words(fp)
+        for start, (_, _, side, node, raw) in runs(batches, 2):
             for lo, hi in zip(start, np.r_[start[1:], len(node)], strict=True):
-                all_, asked = lo + np.flatnonzero(side[lo:hi] == 0), lo + np.flatnonzero(side[lo:hi] == 1)
-                for x in asked:
-                    near = all_[(np.bitwise_count(fp[all_] ^ fp[x]).sum(axis=1, dtype=np.int64) <= most) & (node[all_] != node[x])]
-                    if len(near):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), node[x])), pa.array(node[near])], ["a", "b"])
+                own, near = node[lo:hi], prepared(raw[lo:hi])
+                all_ = np.flatnonzero(side[lo:hi] == 0)
+                for x in np.flatnonzero(side[lo:hi] == 1):
+                    others = all_[own[all_] != own[x]]
+                    others = others[near(x, others)]
+                    if len(others):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), own[x])), pa.array(own[others])], ["a", "b"])
 
     return run
 
 
+def crowd_links(crowd: DataFrame, data: DataFrame, prepared: Callable[[np.ndarray], Near], links: DataFrame | None) -> DataFrame:
+    """``links`` and those inside crowded keys. ``crowd``, a written table: key, node, n and blocks of the key; ``data``: node, fp."""
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    hub = F.pmod(F.xxhash64("node", F.lit(2)), F.col("n")) < HUBS
+    dealt = crowd.select("key", F.explode(F.when(hub, every).otherwise(F.array(own))).alias("block"), "node").join(data, "node")
+    unit = ["key", "block"]
+    inside = dealt.select(*unit, "node", "fp").repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_walked(prepared, 2), "a long, b long")
+    links = durable((inside if links is None else links.unionByName(inside)).distinct(), "similar-links")
+    rooted = crowd.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = durable(rooted, "similar-rooted")
+    main = rooted.groupBy("key", "root").count().groupBy(F.col("key").alias("k")).agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    apart = rooted.join(main, F.col("key") == F.col("k")).where("root <> main").select("key", F.explode(every).alias("block"), F.lit(1).alias("side"), "node")
+    keys = durable(apart, "similar-apart")
+    if keys.isEmpty():
+        return links
+    asked = keys.select("key").distinct()
+    both = crowd.join(asked, "key").select("key", own.alias("block"), F.lit(0).alias("side"), "node").unionByName(keys).join(data, "node")
+    more = both.select(*unit, "side", "node", "fp").repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_across(prepared), "a long, b long")
+    return durable(links.unionByName(more).distinct(), "similar-links")
+
+
 def similar_links(classes: DataFrame, most: int, recall: float = RECALL) -> DataFrame:
     """Links ``a, b`` between the nodes of ``node, fp`` (a written table of distinct fingerprints)
     whose components are those of all candidates within ``most`` bits."""
@@ -226,37 +287,56 @@ def similar_links(classes: DataFrame, most: int, recall: float = RECALL) -> Data
     plain = keyed.join(few.select("hot_key"), F.col("key") == F.col("hot_key"), "left_anti")
     close = durable(plain.repartition("key").sortWithinPartitions("key").mapInArrow(glanced(1, GLANCE), "key long, node long"), "similar-close")
     close = close.join(fps, "node").select("key", "node", "fp").repartition("key").sortWithinPartitions("key")
-    links = durable(close.mapInArrow(_walked(most, 1), "a long, b long").distinct(), "similar-links")
+    links = durable(close.mapInArrow(_walked(by_bits(most), 1), "a long, b long").distinct(), "similar-links")
     if hot.isEmpty():
         return links
-
     crowd = keyed.join(few, F.col("key") == F.col("hot_key")).select("key", "node", "n", F.ceil(F.col("n") / CROWDED).cast("int").alias("blocks"))
-    crowd = durable(crowd, "similar-crowd")
-    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    hub = F.pmod(F.xxhash64("node", F.lit(2)), F.col("n")) < HUBS
-    dealt = crowd.select("key", F.explode(F.when(hub, every).otherwise(F.array(own))).alias("block"), "node").join(fps, "node")
-    unit = ["key", "block"]
-    inside = dealt.select(*unit, "node", "fp").repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_walked(most, 2), "a long, b long")
-    links = durable(links.unionByName(inside).distinct(), "similar-links")
-    rooted = crowd.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = durable(rooted, "similar-rooted")
-    main = rooted.groupBy("key", "root").count().groupBy(F.col("key").alias("k")).agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    apart = rooted.join(main, F.col("key") == F.col("k")).where("root <> main").select("key", F.explode(every).alias("block"), F.lit(1).alias("side"), "node")
-    keys = durable(apart, "similar-apart")
-    if keys.isEmpty():
+    return crowd_links(durable(crowd, "similar-crowd"), fps, by_bits(most), links)
+
+
+def with_shingles(docs: DataFrame, chosen: DataFrame, shingle: int) -> DataFrame:
+    """``key, node, fp``: the classes of ``chosen`` (doc_id, key, node, fp; one document each) with their shingle hashes behind their
+    fingerprints. ``docs``: doc_id, text; where ids are repeated, the text whose fingerprint it is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for b in batches:
+            out = []
+            for key, node, fp, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                g = shingle_hashes(text, hashes, shingle)
+                if wide_fingerprint(g).tobytes() == fp:
+                    out.append((key, node, fp + g.tobytes()))
+            cols = list(zip(*out)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "node", "fp"])
+
+    few = small_or_not(chosen.withColumnRenamed("doc_id", "of"), BROADCAST_IDS)
+    found = docs.join(few, docs["doc_id"].eqNullSafe(F.col("of"))).select("key", "node", "fp", "text").mapInArrow(run, "key long, node long, fp binary")
+    return found.groupBy("key", "node").agg(F.first("fp").alias("fp"))
+
+
+def verified_links(members: DataFrame, most: int, similarity: float) -> DataFrame:
+    """Links between the nodes of ``key, node, fp`` (a written table of :func:`with_shingles`), those of pairs of one key that reach the
+    similarity exactly; they connect what all such pairs connect."""
+    near = by_similarity(most, similarity)
+    sizes = members.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n"), F.sum(F.octet_length("fp")).alias("size"))
+    blocks = F.ceil(F.greatest(F.col("n") / CROWDED, F.col("size") / CROWDED_BYTES)).cast("int")
+    hot = durable(sizes.select("k", "n", blocks.alias("blocks")).where("blocks > 1"), "similar-large")
+    few, same = small_or_not(hot, BROADCAST_KEYS), F.col("key") == F.col("k")
+    plain = members.join(few.select("k"), same, "left_anti").repartition("key").sortWithinPartitions("key")
+    links = durable(plain.select("key", "node", "fp").mapInArrow(_walked(near, 1), "a long, b long").distinct(), "similar-exact")
+    if hot.isEmpty():
         return links
-    asked = keys.select("key").distinct()
-    both = crowd.join(asked, "key").select("key", own.alias("block"), F.lit(0).alias("side"), "node").unionByName(keys).join(fps, "node")
-    more = both.select(*unit, "side", "node", "fp").repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_across(most), "a long, b long")
-    return durable(links.unionByName(more).distinct(), "similar-links")
+    crowd = durable(members.join(few, same).select("key", "node", "n", "blocks"), "similar-crowd")
+    return crowd_links(crowd, members.select("node", "fp"), near, links)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, component_id`` for every document: the smallest id reachable by similar texts."""
     fps = durable(wide_fingerprints(docs, id_col, text_col, shingle), "similar-fingerprints")
     classes = durable(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("node", F.monotonically_increasing_id()), "similar-classes")
-    parts = connected_components(similar_links(classes, most_bits(similarity)))
+    proposed = connected_components(similar_links(classes, most_bits(similarity)))
+    chosen = durable(classes.join(proposed, "node").select(F.col("first_id").alias("doc_id"), F.col("root").alias("key"), "node", "fp"), "similar-proposed")
+    members = durable(with_shingles(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), chosen, shingle), "similar-members")
+    parts = connected_components(verified_links(members, most_bits(similarity), similarity))
     rooted = classes.join(parts, "node", "left").select("fp", "first_id", F.coalesce("root", "node").alias("root"))
     rooted = durable(rooted, "similar-roots")
     of_root = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
