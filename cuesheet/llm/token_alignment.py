@@ -14,9 +14,11 @@ expanded once for each distinct group:
 Very common groups and pairs are broadcast, at most 10,000 of them by the sum of their weights; the others are
 joined by shuffle. Highest counts are one number for each A-id, bounded by the vocabulary.
 
-Texts are encoded whole, without special tokens (their strings are plain text). Texts of over ``PART``
-characters are encoded in parts that are cut at single blanks between ASCII letters, where
-neither tokenizer can have a token; a test holds that against whole encodings.
+Texts are encoded without special tokens (their strings are plain text), whole by their segments: neither
+tokenizer can have a token across a single blank between two other characters, as the first splits
+its input before such a blank and the second has no piece with a blank after something else (checked on the
+vocabularies; else a text is one segment). A worker remembers recent segments with their groups, and encodes the
+new ones of many texts in one call. A test holds this against whole encodings.
 
 Defined cases: a text that is null or empty, or whose joined bytes by A or B differ from the text with a
 blank in front, has no tokens: zeros, and '' as checksum; repeated rows and ids count as documents of their
@@ -30,9 +32,10 @@ import json
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import count
+from itertools import chain, count
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +48,14 @@ from .common import durable, looked_up, text_or_empty
 
 #: Characters after which a text is cut at the next place that allows it.
 PART = 65_536
-#: Distinct groups that a task counts, and a worker remembers, at once.
-HELD = 200_000
-#: Characters encoded in one call.
-BATCH = 262_144
-
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Distinct groups that a task counts, and groups and segments that a worker remembers, at once.
+HELD = 300_000
+#: Characters looked at in one call, and of a segment that is remembered.
+BATCH, SHORT = 262_144, 64
+#: Texts between two looks at what is held.
+ROWS = 256
+
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 _BITS = 16
 
 
@@ -80,14 +85,17 @@ class Aligner:
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.vocab_size())]
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << _BITS:
             raise ValueError("vocabularies of at most 65,536 ids")
-        self.size_a, self.size_b = (np.array([len(x) for x in v]) for v in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = (np.array(list(map(len, v))) for v in (self.bytes_a, self.bytes_b))
         self.text_a = np.array([f"{i}{s}" for s in ",|" for i in range(len(self.bytes_a))], object)
         self.text_b = np.array([f"{i}{s}" for s in ",;" for i in range(len(self.bytes_b))], object)
         self.in_parts = self._in_parts(path_a, path_b, proto)
-        self.known: dict[tuple[bytes, bytes], tuple[int, tuple[int, ...], int]] = {}
+        self.groups: dict[int, tuple] = {}
+        self.keys: dict[tuple[bytes, bytes], int] = {}
+        self.clashes: list[tuple[int, bytes, bytes]] = []
+        self.segments: dict[str, tuple | None] = {}
 
     def _in_parts(self, path_a: str, path_b: str, proto) -> bool:
-        """Whether both tokenizers surely have a boundary before a blank between letters, whatever stands around."""
+        """Whether both tokenizers surely have a boundary before a single blank, whatever stands around."""
         with open(path_a, encoding="utf-8") as f:
             d = json.load(f)
         m = proto.ModelProto()
@@ -122,47 +130,80 @@ class Aligner:
             end_a += len(self.bytes_a[a[i]]) * step_a
             end_b += len(self.bytes_b[b[j]]) * step_b
 
-    def interned(self, key: tuple[bytes, bytes]) -> tuple[int, tuple[int, ...], int]:
-        """The key of a group of several tokens, its distinct pairs, and the number of its links."""
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= HELD:
-                self.known.clear()
-            links = self.links(*key)
-            h = xxhash.xxh64_intdigest(len(key[0]).to_bytes(8, "little") + key[0] + key[1], self.seed)
-            found = self.known[key] = (-1 - (h >> 1), tuple(dict.fromkeys(links)), len(links))
-        return found
-
-    def encoded(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of A and B for each text; a batch has a bounded number of characters."""
-        lo = 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BATCH):
-                size += len(texts[hi])
-                hi += 1
-            found = self.a.encode_batch_fast([" " + t for t in texts[lo:hi]], add_special_tokens=False)
-            for i, t in enumerate(texts[lo:hi]):
-                yield found[i].ids, self.b.encode(t, num_threads=1)
-            lo = hi
-
-    def cut(self, ids_a: list[int], ids_b: list[int]):
-        """Ends of the groups as counts of A- and B-tokens, with both arrays of ids."""
-        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+    def interned(self, a: bytes, b: bytes) -> int:
+        """The key of a group of several tokens; its distinct pairs, the number of its links and its ids are in ``self.groups``."""
+        code = self.keys.get((a, b))
+        if code is None:
+            links = self.links(a, b)
+            code = self.keys[a, b] = -1 - (xxhash.xxh64_intdigest(len(a).to_bytes(8, "little") + a + b, self.seed) >> 1)
+            if code in self.groups:
+                self.clashes.append((code, a, b))
+            self.groups[code] = tuple(dict.fromkeys(links)), len(links), a, b
+        return code
+
+    def forget(self) -> None:
+        """Drop what is remembered, if it is much."""
+        if len(self.segments) > HELD or len(self.groups) > HELD:
+            self.segments.clear()
+            self.groups.clear()
+            self.keys.clear()
+
+    def segmented(self, parts: Iterable[str]) -> Iterator[list[tuple | None]]:
+        """The entries of each part's segments, in order."""
+        waiting, size = [], 0
+        for p in parts:
+            waiting.append(_CUT.split(p) if self.in_parts else [p])
+            size += len(p)
+            if size >= BATCH:
+                yield from self._entries(waiting)
+                waiting, size = [], 0
+        yield from self._entries(waiting)
+
+    def _entries(self, lists: list[list[str]]) -> Iterator[list[tuple | None]]:
+        missing = list({s for x in lists for s in x}.difference(self.segments))
+        if missing:
+            ids_a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in missing], add_special_tokens=False)]
+            ids_b = self.b.encode(missing, num_threads=1)
+            good = [n for n, (s, a, b) in enumerate(zip(missing, ids_a, ids_b, strict=True)) if self._spelt(s, a, b)]
+            self.segments.update(dict.fromkeys(missing))
+            self.segments.update(zip((missing[n] for n in good), self.entries([ids_a[n] for n in good], [ids_b[n] for n in good])))
+        for x in lists:
+            yield list(map(self.segments.__getitem__, x))
+        for s in missing:
+            if len(s) > SHORT:
+                del self.segments[s]
+
+    def _spelt(self, text: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        """Whether the bytes of both are those of the text with a blank in front."""
+        want = (" " + text).encode()
+        return b"".join([self.bytes_a[i] for i in ids_a]) == want == b"".join([self.bytes_b[i] for i in ids_b])
+
+    def entries(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> list[tuple]:
+        """Of each segment, many at a time: numbers of A-tokens, B-tokens and links, ``a1,a2|b1;a3|b2,b3;``, and the keys of its groups."""
+        if not ids_a:
+            return []
+        len_a, len_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((ids_a, len_a), (ids_b, len_b)))
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         at = np.searchsorted(end_b, end_a)
-        both = np.flatnonzero(end_b[at] == end_a)
-        return a, b, both + 1, at[both] + 1
-
-    def listed(self, a, b, to_a, to_b) -> str:
-        """``a1,a2|b1;a3|b2,b3;``"""
+        last = np.flatnonzero(end_b[at] == end_a)  # segments end with a group, so no group spans two
+        to_a, to_b = last + 1, at[last] + 1
         n_a, n_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
-        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        last_a[to_a - 1] = last_b[to_b - 1] = 1
-        out = np.empty(len(a) + len(b), object)
-        out[np.arange(len(a)) + np.repeat(to_b - n_b, n_a)] = self.text_a[a + len(self.bytes_a) * last_a]
-        out[np.arange(len(b)) + np.repeat(to_a, n_b)] = self.text_b[b + len(self.bytes_b) * last_b]
-        return "".join(out.tolist())
+        codes, links = a[last] << _BITS | b[to_b - 1], np.ones(len(last), np.int64)
+        more = np.flatnonzero((n_a > 1) | (n_b > 1))
+        raw_a, raw_b = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
+        own = [self.interned(raw_a[i:k], raw_b[m:n]) for i, k, m, n in zip(*((4 * x[more]).tolist() for x in (to_a - n_a, to_a, to_b - n_b, to_b)), strict=True)]
+        codes[more], links[more] = own, [self.groups[c][1] for c in own]
+        # the ids in order, those of A before those of B in each group, each with the sign that follows it
+        shown = np.empty(len(a) + len(b), object)
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[to_a - 1], sign_b[to_b - 1] = len(self.size_a), len(self.size_b)
+        shown[np.arange(len(a)) + np.repeat(to_b - n_b, n_a)] = self.text_a[a + sign_a]
+        shown[np.arange(len(b)) + np.repeat(to_a, n_b)] = self.text_b[b + sign_b]
+        shown, keys = shown.tolist(), codes.tolist()
+        at_token, at_group = np.cumsum(len_a + len_b).tolist(), np.searchsorted(to_a, np.cumsum(len_a), "right").tolist()
+        n_links = np.diff(np.cumsum(links)[np.array(at_group) - 1], prepend=0).tolist()
+        return [(x, y, n, "".join(shown[t:u]), tuple(keys[g:h])) for x, y, n, t, u, g, h in zip(len_a.tolist(), len_b.tolist(), n_links, [0, *at_token], at_token, [0, *at_group], at_group)]
 
 
 @cache
@@ -170,30 +211,25 @@ def aligner(path_a: str, path_b: str, seed: int) -> Aligner:
     return Aligner(path_a, path_b, seed)
 
 
+_N_A, _N_B, _LINKS, _LISTED, _GROUPS = map(itemgetter, range(5))
+
+
 class _Document:
     """Sums and distinct groups of a text, part by part."""
 
-    def __init__(self, own: Aligner):
-        self.own, self.sha = own, hashlib.sha256()
-        self.single: Counter = Counter()
-        self.several: Counter = Counter()
-        self.n_a = self.n_b = self.n_groups = 0
+    def __init__(self):
+        self.sha = hashlib.sha256()
+        self.groups: Counter = Counter()
+        self.n_a = self.n_b = self.n_links = 0
         self.good = True
 
-    def add(self, text: str, ids_a: list[int], ids_b: list[int]) -> None:
-        t, want = self.own, (" " + text).encode()
-        if not self.good or b"".join(map(t.bytes_a.__getitem__, ids_a)) != want or b"".join(map(t.bytes_b.__getitem__, ids_b)) != want:
+    def add(self, entries: list[tuple | None]) -> None:
+        if not self.good or None in entries:
             self.good = False
             return
-        a, b, to_a, to_b = t.cut(ids_a, ids_b)
-        listed = t.listed(a, b, to_a, to_b)
-        self.sha.update((";" * bool(self.n_groups) + listed[:-1]).encode())
-        self.n_a, self.n_b, self.n_groups = self.n_a + len(a), self.n_b + len(b), self.n_groups + len(to_a)
-        from_a, from_b = np.r_[0, to_a[:-1]], np.r_[0, to_b[:-1]]
-        one = (to_a - from_a == 1) & (to_b - from_b == 1)
-        self.single.update((a[from_a[one]] << _BITS | b[from_b[one]]).tolist())
-        raw_a, raw_b, more = a.astype("<u4").tobytes(), b.astype("<u4").tobytes(), ~one
-        self.several.update([(raw_a[i:j], raw_b[k:m]) for i, j, k, m in zip(*((4 * x[more]).tolist() for x in (from_a, to_a, from_b, to_b)), strict=True)])
+        self.sha.update((";" * bool(self.groups) + "".join(map(_LISTED, entries))[:-1]).encode())
+        self.groups.update(chain.from_iterable(map(_GROUPS, entries)))
+        self.n_a, self.n_b, self.n_links = self.n_a + sum(map(_N_A, entries)), self.n_b + sum(map(_N_B, entries)), self.n_links + sum(map(_LINKS, entries))
 
 
 _NAMES = ["nth", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "times", "kind", "code", "a", "b", "n"]
@@ -207,7 +243,7 @@ def coded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, first = aligner(path_a, path_b, seed), TaskContext.get().partitionId() << 33
-        single, several, again, nth = Counter(), Counter(), Counter(), 0
+        held, again, nth = Counter(), Counter(), 0
 
         def batch(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
             cols = list(zip(*rows)) if rows else [[]] * (len(_NAMES) - 1)
@@ -216,41 +252,36 @@ def coded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str,
 
         def counted(id_type: pa.DataType) -> pa.RecordBatch:
             none = (None,) * 8
-            rows = [(*none, "group", c, None, None, n) for c, n in single.items()]
-            rows += [(*none, "group", own.interned(k)[0], *k, n) for k, n in several.items()]
-            rows += [(*none, "again", c, None, None, n) for c, n in again.items()]
-            for c in (single, several, again):
-                c.clear()
+            rows = [(*none, "group", c, *(own.groups[c][2:] if c < 0 else (None, None)), n) for c, n in held.items()] + [(*none, "group", *x, 0) for x in own.clashes] + [(*none, "again", c, None, None, n) for c, n in again.items()]
+            held.clear()
+            again.clear()
+            own.forget()
             return batch(rows, pa.nulls(len(rows), id_type))
 
         for b in batches:
-            texts, rows = b.column(1).to_pylist(), []
-            parts = [own.parts(t) if t else [] for t in texts]
-            ids = own.encoded([p for ps in parts for p in ps])
-            for ps in parts:
-                d = _Document(own)
-                for p in ps:
-                    d.add(p, *next(ids))
-                if not ps or not d.good:
-                    rows.append((first + nth, 0, 0, 0, 0, "", [], [], "doc", None, None, None, None))
-                else:
-                    groups, n_links, met = list(d.single), sum(d.single.values()), set(d.single)
-                    for key, times in d.several.items():
-                        code, pairs, n = own.interned(key)
-                        groups.append(code)
-                        n_links += n * times
-                        again.update(met.intersection(pairs))
-                        met.update(pairs)
-                    single.update(d.single.keys())
-                    several.update(d.several.keys())
-                    rows.append((first + nth, d.n_a, d.n_b, d.n_groups, n_links, d.sha.hexdigest(), groups, [*d.single.values(), *d.several.values()], "doc", None, None, None, None))
-                nth += 1
-                if len(single) + len(several) + len(again) > HELD:
-                    yield counted(b.column(0).type)
-            yield batch(rows, b.column(0))
-            last = b.column(0).type
-        if nth:
-            yield counted(last)
+            ids, texts = b.column(0), b.column(1)
+            for lo in range(0, b.num_rows, ROWS):
+                rows, parts = [], [own.parts(t) if t else [] for t in texts.slice(lo, ROWS).to_pylist()]
+                entries = own.segmented(p for ps in parts for p in ps)
+                for ps in parts:
+                    d = _Document()
+                    for _ in ps:
+                        d.add(next(entries))
+                    if not ps or not d.good:
+                        rows.append((first + nth, 0, 0, 0, 0, "", [], [], "doc", None, None, None, None))
+                    else:
+                        g = d.groups
+                        met = Counter(chain.from_iterable([own.groups[c][0] if c < 0 else (c,) for c in g]))
+                        again.update({p: n - 1 for p, n in met.items() if n > 1})
+                        held.update(g.keys())
+                        rows.append((first + nth, d.n_a, d.n_b, g.total(), d.n_links, d.sha.hexdigest(), list(g), list(g.values()), "doc", None, None, None, None))
+                    nth += 1
+                next(entries, None)
+                yield batch(rows, ids.slice(lo, ROWS))
+                if len(held) + len(again) > HELD or len(own.segments) > HELD or len(own.groups) > HELD:
+                    yield counted(ids.type)
+        if held:
+            yield counted(ids.type)
 
     long, types = pa.int64(), None
     types = [long] * 5 + [pa.string(), pa.list_(long), pa.list_(long), pa.string(), long, pa.binary(), pa.binary(), long]

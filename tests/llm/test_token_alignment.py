@@ -83,13 +83,17 @@ def test_odd_texts(spark, monkeypatch, tokenizers):
     assert token_alignment.alignment(df.limit(0), A, B).count() == 0
 
 
-def test_parts_equal_whole_texts(spark, monkeypatch):
-    text = "\n".join(r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r.text)[:200_000]
-    df = spark.createDataFrame([(1, text), (2, text.replace(" ", "  ")), (3, text.replace(" ", ""))], "doc_id long, text string")
-    whole = found(token_alignment.alignment(df, A, B))
+def test_segments_equal_whole_texts(spark, monkeypatch, tokenizers):
+    """Texts cut into many parts and segments against the tokenizers' encodings of the whole: blanks of all kinds, other spaces, signs beside blanks."""
+    text = "\n".join(r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r.text)[:12_000]
+    odd = " ".join(f"{x} {y}" for x in ("a", ",", "\u3000", "\x85", "\x1c", "\u200b", "'", "1", "é", "\n", "\t", "<s>", "\u2028", "🙂") for y in ("'s", "b", "\u3000", "\xa0", "2", "\r\n", ".", "'ll"))
+    texts = [text, text[:4_000].replace(" ", "  "), text[:4_000].replace(" ", ""), odd, odd.replace(" ", "\n "), "don 't we 'll 've " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = [(n, *x) for n, x in enumerate(plain(texts, tokenizers))]
+    assert found(token_alignment.alignment(df, A, B)) == whole
     monkeypatch.setattr(token_alignment, "PART", 50)
     own = token_alignment.Aligner(A, B)
-    assert own.in_parts and len(own.parts(text)) > 500
+    assert own.in_parts and len(own.parts(text)) > 150
     assert found(token_alignment.alignment(df, A, B)) == whole
 
 
