@@ -1,4 +1,4 @@
-"""Vectorised helpers on frames (H2 to H4): clustering, similarity, colour."""
+"""Vectorised helpers on frames (H2, H3): clustering and similarity."""
 
 from __future__ import annotations
 
@@ -10,23 +10,56 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 
-def ward_clusters(x: np.ndarray, most: int) -> np.ndarray:
-    """Labels of at most ``most`` clusters by Ward linkage over cosine distances, numbered by first appearance."""
-    n = len(x)
+def cosine_distances(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=1)
-    safe = np.where(norm > 0, norm, 1)
-    d = 1 - (x / safe[:, None]) @ (x / safe[:, None]).T
+    unit = x / np.where(norm > 0, norm, 1)[:, None]
+    return 1 - unit @ unit.T
+
+
+def ward_merges(d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merges of Ward linkage by nearest-neighbour chains: pairs of rows that stand for their clusters, and heights, from the lowest up.
+
+    A chain goes from a cluster to its nearest one until two are each other's nearest (of equally near ones the chain's last
+    one, else the lowest); they merge at once, as no other merge can come between. n - 1 merges of one row each: O(n^2)."""
+    n = len(d)
+    d, size, alive = d.astype(float) ** 2, np.ones(n), np.ones(n, bool)
     np.fill_diagonal(d, np.inf)
-    size, label = np.ones(n), np.arange(n)
-    for _ in range(max(0, n - most)):
-        i, j = sorted(np.unravel_index(np.argmin(d), d.shape))
-        a, b, k = size[i], size[j], size
+    chain, pairs, heights = [], [], []
+    while len(pairs) < n - 1:
+        if not chain:
+            chain.append(int(np.argmax(alive)))
+        while True:
+            x = chain[-1]
+            y = int(np.argmin(d[x]))
+            if len(chain) > 1 and d[x, chain[-2]] <= d[x, y]:
+                y = chain[-2]
+                break
+            chain.append(y)
+        chain = chain[:-2]
+        i, j = min(x, y), max(x, y)
+        a, b, h = size[i], size[j], d[i, j]
         with np.errstate(invalid="ignore"):
-            joined = np.sqrt(np.maximum(0, ((a + k) * d[i] ** 2 + (b + k) * d[j] ** 2 - k * d[i, j] ** 2) / (a + b + k)))
-        joined[~np.isfinite(d[i]) | ~np.isfinite(d[j])] = np.inf
-        d[i], d[:, i], d[j], d[:, j] = joined, joined, np.inf, np.inf
-        size[i] += size[j]
-        label[label == j] = i
+            d[i] = np.where(alive, np.maximum(0, ((a + size) * d[i] + (b + size) * d[j] - size * h) / (a + b + size)), np.inf)
+        alive[j] = False
+        d[i, [i, j]] = np.inf
+        d[:, i] = d[i]
+        d[j], d[:, j] = np.inf, np.inf
+        size[i] = a + b
+        pairs.append((i, j))
+        heights.append(np.sqrt(h))
+    order = np.argsort(heights, kind="stable")
+    return np.array(pairs, int).reshape(-1, 2)[order], np.array(heights)[order]
+
+
+def ward_clusters(x: np.ndarray, most: int, tie: float = 1e-9) -> np.ndarray:
+    """Labels by Ward linkage over cosine distances, numbered by first appearance: the fewest merges that leave at most ``most``
+    clusters, and all merges as high as the last of these (within ``tie``), so equal distances may leave fewer."""
+    n = len(x)
+    label = np.arange(n)
+    if n > most:
+        pairs, heights = ward_merges(cosine_distances(x))
+        for i, j in pairs[heights <= heights[n - most - 1] + tie]:
+            label[label == label[j]] = label[i]
     _, first, back = np.unique(label, return_index=True, return_inverse=True)
     return np.argsort(np.argsort(first))[back]
 
@@ -49,11 +82,26 @@ def _gauss(img: np.ndarray) -> np.ndarray:
     return sum(w * p[:, i:i + img.shape[1]] for i, w in enumerate(g))
 
 
+def resized(img: np.ndarray, height: int, width: int) -> np.ndarray:
+    """A grey picture of bytes in another size, by linear interpolation between the centres of its pixels; whole numbers again."""
+    def places(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
+        low = np.floor(at).astype(int)
+        return low, np.minimum(low + 1, n - 1), at - low
+
+    if img.shape == (height, width):
+        return img
+    (r, r2, fr), (c, c2, fc) = places(img.shape[0], height), places(img.shape[1], width)
+    x = img.astype(float)
+    rows = x[r] * (1 - fr)[:, None] + x[r2] * fr[:, None]
+    return np.floor(rows[:, c] * (1 - fc) + rows[:, c2] * fc + 0.5)
+
+
 def ssim(a: np.ndarray, b: np.ndarray) -> float:
-    """Mean structural similarity of two grey pictures; unequal sizes are cut to the nearest pixels of the smaller."""
+    """Mean structural similarity of two grey pictures; of unequal ones each is resized to the smaller height and width."""
     if a.shape != b.shape:
         h, w = min(a.shape[0], b.shape[0]), min(a.shape[1], b.shape[1])
-        a, b = (x[np.ix_(np.arange(h) * x.shape[0] // h, np.arange(w) * x.shape[1] // w)] for x in (a, b))
+        a, b = resized(a, h, w), resized(b, h, w)
     a, b = a.astype(float), b.astype(float)
     ma, mb = _gauss(a), _gauss(b)
     va, vb, ab = _gauss(a * a) - ma * ma, _gauss(b * b) - mb * mb, _gauss(a * b) - ma * mb
@@ -66,25 +114,3 @@ def ssim_pairs(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Itera
     """H3 [R]: similarity of grey frames given as pixel lists and height; null for a missing one."""
     for a, b, h in parts:
         yield pd.Series([None if x is None or y is None else ssim(np.reshape(x, (k, -1)), np.reshape(y, (k, -1))) for x, y, k in zip(a, b, h)], dtype=float)
-
-
-def lab(bgr: np.ndarray) -> np.ndarray:
-    """8-bit L, a, b of 8-bit blue, green, red pixels (n, 3)."""
-    c = bgr[:, ::-1].astype(float) / 255
-    c = np.where(c > 0.04045, ((c + 0.055) / 1.055) ** 2.4, c / 12.92)
-    xyz = c @ np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]]).T / np.array([0.950456, 1, 1.088754])
-    f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
-    light = np.where(xyz[:, 1] > 0.008856, 116 * np.cbrt(xyz[:, 1]) - 16, 903.3 * xyz[:, 1])
-    out = np.stack([light * 255 / 100, 500 * (f[:, 0] - f[:, 1]) + 128, 200 * (f[:, 1] - f[:, 2]) + 128], axis=1)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
-
-
-@F.pandas_udf(ArrayType(ArrayType(DoubleType())))
-def lab_histograms(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """H4, A8 [R]: three normalised histograms of a picture given as a list of blue, green, red bytes."""
-    for pixels in parts:
-        out = []
-        for p in pixels:
-            v = lab(np.reshape(np.asarray(p, np.uint8), (-1, 3)))
-            out.append([(lambda h: h / (h.sum() + 1e-10))(np.bincount(v[:, k], minlength=256).astype(float)).tolist() for k in range(3)])
-        yield pd.Series(out)

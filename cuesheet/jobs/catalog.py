@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import colour, vision
 from ..functions import text as T
-from ..functions import vision
 from ..operators import anchors, asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
 from ..sources import io
 from ..sources.fixtures import Songs, duck
@@ -495,12 +495,29 @@ def w14_peaks(s):
     return sections.peaks(s.energy())
 
 
-@query(None)
+def block_lists(s: Songs, per_block: int) -> DataFrame:
+    """``track_id, c``: mean chroma of each block of a song, in order."""
+    means = sections.block_chroma(s.chroma(), per_block).groupBy("track_id", "block_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pitch", "mean"))), lambda r: r["mean"]).alias("c"))
+    return means.groupBy("track_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("block_idx", "c"))), lambda r: r["c"]).alias("c"))
+
+
+_NEAR = "list_filter(dist, lambda x: x.i = least({0}, {1}) AND x.j = greatest({0}, {1}))[1].d"
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT track_id, count(*) AS frames FROM fx_chroma GROUP BY ALL), x AS (SELECT track_id, frame_idx // 2 AS b, unnest(chroma) AS v, generate_subscripts(chroma, 1) AS p FROM fx_chroma),
+m AS (SELECT track_id, CAST(b AS INT) AS b, p, avg(CAST(v AS DOUBLE)) AS v FROM x JOIN n USING (track_id) WHERE b < greatest(1, frames // 2) GROUP BY ALL), c AS (SELECT track_id, b, list(v ORDER BY p) AS v FROM m GROUP BY ALL),
+d AS (SELECT a.track_id, list({{'i': a.b, 'j': z.b, 'd': pow(1 - list_cosine_similarity(a.v, z.v), 2)}}) AS dist FROM c a JOIN c z ON a.track_id = z.track_id AND a.b < z.b GROUP BY ALL),
+s AS (SELECT track_id, k, k AS rest, alive, dist, CAST([] AS STRUCT(i INT, j INT, h DOUBLE)[]) AS merges FROM (SELECT track_id, list({{'c': b, 'n': 1.0E0}} ORDER BY b) AS alive, count(*) AS k FROM c GROUP BY ALL) JOIN d USING (track_id)
+UNION ALL SELECT track_id, k, rest - 1, [{{'c': y.c, 'n': CASE WHEN y.c = f.i THEN na + nb ELSE y.n END}} FOR y IN alive IF y.c <> f.j],
+list_concat([x FOR x IN dist IF x.i <> f.i AND x.i <> f.j AND x.j <> f.i AND x.j <> f.j], [{{'i': least(y.c, f.i), 'j': greatest(y.c, f.i), 'd': greatest(0.0E0, ((na + y.n) * {_NEAR.format('y.c', 'f.i')} + (nb + y.n) * {_NEAR.format('y.c', 'f.j')} - y.n * f.d) / (na + nb + y.n))}} FOR y IN alive IF y.c <> f.i AND y.c <> f.j]),
+list_append(merges, {{'i': f.i, 'j': f.j, 'h': f.d}}) FROM (SELECT *, list_filter(alive, lambda y: y.c = f.i)[1].n AS na, list_filter(alive, lambda y: y.c = f.j)[1].n AS nb FROM (SELECT *, list_min([{{'d': x.d, 'i': x.i, 'j': x.j}} FOR x IN dist]) AS f FROM s WHERE rest > 1))),
+e AS (SELECT track_id, k, merges, CASE WHEN k > 13 THEN sqrt(merges[k - 13].h) + 1e-9 ELSE -1 END AS top FROM s WHERE rest = 1),
+l AS (SELECT track_id, list_reduce(list_prepend(range(k), [[CAST(g.i AS BIGINT), CAST(g.j AS BIGINT)] FOR g IN merges IF sqrt(g.h) <= top]), lambda a, g: [CASE WHEN v = a[g[2] + 1] THEN a[g[1] + 1] ELSE v END FOR v IN a]) AS labels FROM e),
+u AS (SELECT track_id, unnest(labels) AS v, unnest(range(len(labels))) AS b FROM l), w AS (SELECT *, min(b) OVER (PARTITION BY track_id, v) AS head FROM u)
+SELECT track_id, CAST(b AS INT) AS block_idx, CAST(dense_rank() OVER (PARTITION BY track_id ORDER BY head) - 1 AS INT) AS cluster FROM w""", "fx_chroma")
 def h2_cluster_blocks(s):
-    """Clusters of 7-frame blocks of each song."""
-    means = sections.block_chroma(s.chroma(), 7).groupBy("track_id", "block_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("pitch", "mean"))), lambda r: r["mean"]).alias("c"))
-    song = means.groupBy("track_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("block_idx", "c"))), lambda r: r["c"]).alias("c"))
-    return song.select("track_id", F.posexplode(vision.cluster_blocks("c", F.lit(260.0))).alias("block_idx", "cluster"))
+    """Clusters of 2-frame blocks of each song: 25 blocks, 13 clusters at most."""
+    return block_lists(s, 2).select("track_id", F.posexplode(vision.cluster_blocks("c", F.lit(260.0))).alias("block_idx", "cluster"))
 
 
 def grey(s: Songs) -> DataFrame:
@@ -515,11 +532,32 @@ def h3_a6_ssim(s):
     return qa.ssim_tier(p.select("project_id", "clip_id", "pair_idx", F.round(vision.ssim_pairs("pixels", "next", F.lit(8)), 6).alias("ssim")))
 
 
-@query(None)
+_LIGHT = "CASE WHEN {0} / 255 <= 0.04045E0 THEN {0} / 255 / 12.92E0 ELSE pow(({0} / 255 + 0.055E0) / 1.055E0, 2.4E0) END"
+_PIXELS = f"""px AS (SELECT label AS project_id, vec_id AS clip_id, [least(255, greatest(0, round((CAST(x AS DOUBLE) + 0.5) * 255))) FOR x IN embedding] || [0.0, 0.0] AS v FROM embeddings),
+bgr AS (SELECT project_id, clip_id, v[3 * i + 1] AS b8, v[3 * i + 2] AS g8, v[3 * i + 3] AS r8 FROM (SELECT *, unnest(range(22)) AS i FROM px)),
+lin AS (SELECT project_id, clip_id, {_LIGHT.format('b8')} AS b, {_LIGHT.format('g8')} AS g, {_LIGHT.format('r8')} AS r FROM bgr),
+xyz AS (SELECT project_id, clip_id, (0.412453E0 * r + 0.357580E0 * g + 0.180423E0 * b) / 0.950456E0 AS x, 0.212671E0 * r + 0.715160E0 * g + 0.072169E0 * b AS y, (0.019334E0 * r + 0.119193E0 * g + 0.950227E0 * b) / 1.088754E0 AS z FROM lin),
+lab AS (SELECT project_id, clip_id, CASE WHEN y > 0.008856E0 THEN 116 * cbrt(y) - 16 ELSE 903.3E0 * y END AS l, CASE WHEN x > 0.008856E0 THEN cbrt(x) ELSE 7.787E0 * x + 16 / 116.0E0 END AS fx,
+CASE WHEN y > 0.008856E0 THEN cbrt(y) ELSE 7.787E0 * y + 16 / 116.0E0 END AS fy, CASE WHEN z > 0.008856E0 THEN cbrt(z) ELSE 7.787E0 * z + 16 / 116.0E0 END AS fz FROM xyz),
+h AS (SELECT project_id, clip_id, channel, bin, count(*) / (22 + 1e-10) AS p FROM (SELECT project_id, clip_id, unnest([0, 1, 2]) AS channel,
+unnest([CAST(least(255, greatest(0, round_even(c, 0))) AS INT) FOR c IN [l * 255 / 100, 500 * (fx - fy) + 128, 200 * (fy - fz) + 128]]) AS bin FROM lab) GROUP BY ALL)"""
+
+
+@query(f"""WITH {_PIXELS}, k AS (SELECT project_id, count(DISTINCT clip_id) AS n FROM h GROUP BY ALL HAVING count(DISTINCT clip_id) >= 2),
+b AS (SELECT unnest(range(256)) AS bin), f AS (SELECT c.project_id, c.clip_id, c.channel, b.bin, coalesce(h.p, 0) AS p FROM (SELECT DISTINCT project_id, clip_id, channel FROM h) c JOIN k USING (project_id) CROSS JOIN b LEFT JOIN h ON h.project_id = c.project_id AND h.clip_id = c.clip_id AND h.channel = c.channel AND h.bin = b.bin),
+m AS (SELECT project_id, channel, bin, avg(p) AS m FROM f GROUP BY ALL), r AS (SELECT f.project_id, clip_id, channel, corr(p, m) AS r FROM f JOIN m USING (project_id, channel, bin) GROUP BY ALL)
+SELECT project_id, clip_id, {_py('max(r) FILTER (channel = 0)', 4)} AS l_correlation, {_py('max(r) FILTER (channel = 1)', 4)} AS a_correlation, {_py('max(r) FILTER (channel = 2)', 4)} AS b_correlation, min(r) FILTER (channel > 0) >= 0.7 AS passed FROM r GROUP BY ALL""")
 def h4_a8_a7_colour(s):
     """Frames of 22 colour pixels from the 64 values and two zeros."""
-    f = grey(s).select("project_id", F.col("frame_idx").alias("clip_id"), F.posexplode(vision.lab_histograms(F.concat("pixels", F.array(F.lit(0), F.lit(0))))).alias("channel", "h"))
-    return qa.colour_tier(f.select("project_id", "clip_id", "channel", F.posexplode("h").alias("bin", "p")))
+    f = grey(s).select("project_id", F.col("frame_idx").alias("clip_id"), F.concat("pixels", F.array(F.lit(0), F.lit(0))).alias("pixels"))
+    return colour.sparse_colour_tier(colour.sparse_histograms(f, ["project_id", "clip_id"], "pixels"))
+
+
+@query(f"WITH {_PIXELS} SELECT project_id, clip_id, channel, bin, round(p, 6) AS share FROM h")
+def h4_a8_histograms(s):
+    """Bins of the same frames that hold any pixel."""
+    f = grey(s).select("project_id", F.col("frame_idx").alias("clip_id"), F.concat("pixels", F.array(F.lit(0), F.lit(0))).alias("pixels"))
+    return colour.sparse_histograms(f, ["project_id", "clip_id"], "pixels").select("project_id", "clip_id", "channel", "bin", F.round("p", 6).alias("share"))
 
 
 @query("SELECT vec_id AS frame_idx FROM embeddings WHERE list_sum([least(255, greatest(0, round((CAST(x AS DOUBLE) + 0.5) * 255))) FOR x IN embedding]) / 64 <= 127")
@@ -576,6 +614,32 @@ _CHUNKS = "SELECT track_id, chunk, chunk * 30.0E0 AS chunk_start, least((chunk +
 _WHOLE = "SELECT track_id, CAST(0 AS BIGINT) AS chunk, 0.0E0 AS chunk_start, duration AS chunk_end FROM fx_tracks"
 
 
+_TEMPO = "SELECT track_id, CASE WHEN b < 140 THEN 0.03E0 WHEN b <= 170 THEN 0.018E0 ELSE 0.012E0 END AS az, CASE WHEN b < 140 THEN 0.2E0 WHEN b <= 170 THEN 0.12E0 ELSE 0.08E0 END AS ao FROM (SELECT track_id, 60 + track_id % 3 * 50 + track_id % 50 AS b FROM fx_tracks)"
+
+
+def tempos(s: Songs) -> DataFrame:
+    """Songs of all tempo bands."""
+    k = F.col("track_id")
+    return s.tracks().withColumn("bpm", 60 + k % 3 * 50 + k % 50)
+
+
+@query(f"""WITH h AS ({_TEMPO}), z AS (SELECT track_id, f, sum(az * greatest(0, 1 - (f / 10.0E0 - e) / 0.15E0)) AS z FROM (SELECT track_id, e, {_SPREAD} FROM (SELECT track_id, t AS e FROM fx_beats)) JOIN h USING (track_id) WHERE f / 10.0E0 >= e AND f / 10.0E0 <= round(e + 0.15E0, 4) GROUP BY ALL),
+o AS (SELECT track_id, f, sum(ao * greatest(0, 1 - (f / 10.0E0 - e) / 0.1E0)) AS o FROM (SELECT track_id, e, {_SPREAD} FROM (SELECT track_id, t AS e FROM fx_onsets)) JOIN h USING (track_id) WHERE f / 10.0E0 >= e AND f / 10.0E0 <= round(e + 0.1E0, 4) GROUP BY ALL),
+c AS (SELECT track_id, f, sum(0.4E0 * least(1, greatest(0, f / 10.0E0 - start_s)) * least(1, greatest(0, end_s - f / 10.0E0))) AS c FROM (SELECT *, unnest(range(CAST(floor(start_s * 10) AS BIGINT), CAST(ceil(end_s * 10) AS BIGINT) + 1)) AS f FROM fx_sections WHERE lower(label) = 'chorus') WHERE f / 10.0E0 >= start_s AND f / 10.0E0 <= end_s GROUP BY ALL)
+SELECT track_id, f AS frame_idx, round(1 + coalesce(z, 0), 6) AS zoom, round(coalesce(o, 0), 6) AS flash, round(1 + coalesce(c, 0), 6) AS saturation FROM z FULL JOIN o USING (track_id, f) FULL JOIN c USING (track_id, f)""", "fx_beats", "fx_onsets", "fx_sections", "fx_tracks")
+def a12_x16_curves_by_tempo(s):
+    c = effects.curves(s.beats(), s.onsets(), effects.choruses(s.sections()), FPS, heights=effects.heights_by_tempo(tempos(s)))
+    return c.select("track_id", "frame_idx", *(F.round(k, 6).alias(k) for k in ("zoom", "flash", "saturation")))
+
+
+@query(f"""WITH h AS (SELECT track_id, replace(CAST(az AS VARCHAR), 'E0', '') AS az, replace(CAST(ao AS VARCHAR), 'E0', '') AS ao FROM ({_TEMPO})),
+z AS (SELECT track_id, string_agg(printf('if(between(t,%.3f,%.3f),%s*(1-(t-%.3f)/0.15),0)', t, t + 0.15E0, az, t), '+' ORDER BY t, beat_idx) AS x FROM fx_beats JOIN h USING (track_id) GROUP BY ALL),
+b AS (SELECT track_id, string_agg(printf('if(between(t,%.3f,%.3f),%s*(1-(t-%.3f)/0.1),0)', t, t + 0.1E0, ao, t), '+' ORDER BY t, onset_idx) AS x FROM fx_onsets JOIN h USING (track_id) GROUP BY ALL)
+SELECT t.track_id, coalesce(z.x, '0') AS zoom_expr, coalesce(b.x, '0') AS brightness_expr FROM fx_tracks t LEFT JOIN z USING (track_id) LEFT JOIN b USING (track_id)""", "fx_beats", "fx_onsets", "fx_tracks")
+def x15_x16_expressions_by_tempo(s):
+    return expressions(s, size=None, heights=effects.heights_by_tempo(tempos(s))).select("track_id", "zoom_expr", "brightness_expr")
+
+
 def expressions(s: Songs, **how) -> DataFrame:
     return effects.expressions(s.tracks(), s.beats(), s.onsets(), effects.choruses(s.sections()), **how)
 

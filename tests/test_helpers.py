@@ -1,12 +1,13 @@
 """Alignment, frame helpers, sources and streams against plain versions."""
 
+import time
 from datetime import datetime, timedelta
 from difflib import SequenceMatcher
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from cuesheet.functions import vision
+from cuesheet.functions import colour, vision
 from cuesheet.operators import asof, lyrics, qa, timeline
 from cuesheet.sources import io
 from cuesheet.streaming import live
@@ -49,12 +50,71 @@ def test_opcodes_equal_difflib(spark):
     assert got == {i: SequenceMatcher(None, u, w).get_opcodes() for i, (u, w) in enumerate(pairs)}
 
 
+def slow_ward(x, most):
+    """All merges by searching the whole matrix each time, cut like ours."""
+    n = len(x)
+    d = vision.cosine_distances(x) ** 2
+    members, steps = {i: [i] for i in range(n)}, []
+    d = {(i, j): d[i, j] for i in range(n) for j in range(i)}
+    at = lambda i, j: d[max(i, j), min(i, j)]
+    while len(members) > 1:
+        i, j = min(((a, b) for a in members for b in members if a < b), key=lambda p: (at(*p), p))
+        a, b, h = len(members[i]), len(members[j]), at(i, j)
+        for k in members.keys() - {i, j}:
+            c = len(members[k])
+            d[max(i, k), min(i, k)] = max(0.0, ((a + c) * at(i, k) + (b + c) * at(j, k) - c * h) / (a + b + c))
+        steps.append((h ** 0.5, members[i] + members[j]))
+        members[i] += members.pop(j)
+    label = list(range(n))
+    if n > most:
+        top = steps[n - most - 1][0] + 1e-9
+        for h, own in steps:
+            if h <= top:
+                for k in own:
+                    label[k] = min(own)
+    seen = {}
+    return [seen.setdefault(v, len(seen)) for v in label]
+
+
 def test_ward_clusters():
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(c, 0.05, (6, 12)) for c in (np.eye(12)[0] * 5, np.eye(12)[5] * 5, np.eye(12)[9] * 5)])[np.r_[0:3, 6:9, 12:18, 3:6, 9:12]]
     got = vision.ward_clusters(x, 3)
     assert got.tolist() == [0] * 3 + [1] * 3 + [2] * 6 + [0] * 3 + [1] * 3
-    assert vision.ward_clusters(x[:2], 3).tolist() == [0, 1]
+    assert vision.ward_clusters(x[:2], 3).tolist() == [0, 1] and vision.ward_clusters(x[:0], 3).tolist() == []
+    for n, most in ((1, 3), (2, 1), (7, 3), (25, 13), (60, 5), (60, 59)):
+        x = rng.normal(size=(n, 12))
+        assert vision.ward_clusters(x, most).tolist() == slow_ward(x, most)
+    # ties: every row twice or more, and rows of nothing
+    x = np.repeat(rng.normal(size=(12, 12)), [1, 2, 3, 4] * 3, axis=0)[rng.permutation(30)]
+    for most in (3, 8, 12, 20):
+        assert vision.ward_clusters(x, most).tolist() == slow_ward(x, most)
+    assert vision.ward_clusters(np.ones((10, 12)), 3).tolist() == [0] * 10  # equal distances leave fewer than asked
+    took = []
+    for n in (450, 900):
+        x = rng.normal(size=(n, 12))
+        start = time.perf_counter()
+        vision.ward_clusters(x, 60)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 8 * took[0] + 0.5  # a cube would take eight times as long
+
+
+def test_resized_pictures():
+    """Linear interpolation between pixel centres, against a loop; halves and doubles of a gradient."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 256, (9, 14))
+    for h, w in ((9, 14), (4, 14), (9, 7), (5, 5), (1, 1)):
+        got = vision.resized(a, h, w)
+        for i in range(h):
+            for j in range(w):
+                y, x = min(max((i + 0.5) * 9 / h - 0.5, 0), 8), min(max((j + 0.5) * 14 / w - 0.5, 0), 13)
+                y0, x0 = int(y), int(x)
+                y1, x1 = min(y0 + 1, 8), min(x0 + 1, 13)
+                want = sum(a[p, q] * fy * fx for p, fy in ((y0, 1 - y + y0), (y1, y - y0)) for q, fx in ((x0, 1 - x + x0), (x1, x - x0)))
+                assert abs(got[i, j] - np.floor(want + 0.5)) <= (abs(want % 1 - 0.5) < 1e-9)
+    assert vision.resized(np.array([[0, 10, 20, 30]]), 1, 2).tolist() == [[5, 25]]
+    b = np.repeat(np.repeat(a, 2, axis=0), 2, axis=1)
+    assert vision.ssim(a, b) > 0.999 and vision.ssim(b, a) > 0.999
 
 
 def test_similarity_and_colour():
@@ -73,15 +133,16 @@ def test_similarity_and_colour():
             vx, vy, c = (k * x * x).sum() - mx * mx, (k * y * y).sum() - my * my, (k * x * y).sum() - mx * my
             total += (2 * mx * my + 6.5025) * (2 * c + 58.5225) / ((mx * mx + my * my + 6.5025) * (vx + vy + 58.5225))
     assert abs(vision.ssim(a, b) - total / 720) < 1e-9
-    assert vision.lab(np.array([[0, 0, 0], [255, 255, 255], [0, 0, 255]], np.uint8)).tolist() == [[0, 128, 128], [255, 128, 128], [136, 208, 195]]
 
 
 def test_frame_helpers_in_spark(spark):
     df = spark.createDataFrame([(1, [0] * 64, [255] * 64, 8), (2, [9] * 64, None, 8)], "i int, a array<int>, b array<int>, h int")
     got = {r.i: r.s for r in df.select("i", vision.ssim_pairs("a", "b", "h").alias("s")).collect()}
     assert got[1] < 0.01 and got[2] is None
-    hist = spark.createDataFrame([([0, 0, 255] * 10,)], "p array<int>").select(vision.lab_histograms("p").alias("h")).first().h
-    assert abs(hist[0][136] - 1) < 1e-6 and [len(x) for x in hist] == [256] * 3
+    pixels = spark.createDataFrame([(1, [0, 0, 0, 255, 255, 255, 0, 0, 255]), (2, []), (3, None), (4, [0, 0, 255] * 10 + [7])], "i int, p array<int>")
+    assert sorted(map(tuple, colour.lab_pixels(pixels.where("i = 1"), "p").collect())) == [(1, 0, 128, 128), (1, 136, 208, 195), (1, 255, 128, 128)]
+    hist = [tuple(r)[:3] + (round(r.p, 6),) for r in colour.sparse_histograms(pixels.where("i > 1"), ["i"], "p").collect()]
+    assert sorted(hist) == [(4, 0, 136, 1.0), (4, 1, 208, 1.0), (4, 2, 195, 1.0)]
     blocks = spark.createDataFrame([([[1.0] * 12, [1.0] * 12, [1.0, 0.0] * 6],)], "c array<array<double>>")
     assert blocks.select(vision.cluster_blocks("c", F.lit(40.0)).alias("x")).first().x == [0, 1, 2]
 
