@@ -525,11 +525,20 @@ def grey(s: Songs) -> DataFrame:
     return s.faces().select("project_id", "frame_idx", F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.round((x + 0.5) * 255).cast("int")))).alias("pixels"))
 
 
-@query(None)
+_G = "g AS (SELECT i, CASE WHEN pos < 0 THEN -pos WHEN pos > 7 THEN 14 - pos ELSE pos END AS r, exp(-pow(k - 5, 2) / 4.5E0) / (SELECT sum(exp(-pow(x - 5, 2) / 4.5E0)) FROM range(11) y(x)) AS w FROM (SELECT i, k, i + k - 5 AS pos FROM range(8) a(i), range(11) b(k)))"
+_SUMS = "sum(w * {0}a) AS a, sum(w * {0}b) AS b, sum(w * {1}) AS aa, sum(w * {2}) AS bb, sum(w * {3}) AS ab"
+
+
+@query(f"""WITH {_G}, px AS (SELECT label AS project_id, vec_id, [least(255, greatest(0, round((CAST(x AS DOUBLE) + 0.5) * 255))) FOR x IN embedding] AS v FROM embeddings),
+pr AS (SELECT project_id, row_number() OVER (PARTITION BY project_id ORDER BY vec_id) - 1 AS pair_idx, v, lead(v) OVER (PARTITION BY project_id ORDER BY vec_id) AS nxt FROM px),
+q AS (SELECT project_id, pair_idx, i // 8 AS r, i % 8 AS c, v[i + 1] AS a, nxt[i + 1] AS b FROM (SELECT *, unnest(range(64)) AS i FROM pr WHERE nxt IS NOT NULL)),
+h AS (SELECT project_id, pair_idx, g.i AS r, c, {_SUMS.format('q.', 'q.a * q.a', 'q.b * q.b', 'q.a * q.b')} FROM q JOIN g ON g.r = q.r GROUP BY ALL), k AS (SELECT project_id, pair_idx, h.r, g.i AS c, {_SUMS.format('h.', 'h.aa', 'h.bb', 'h.ab')} FROM h JOIN g ON g.r = h.c GROUP BY ALL),
+s AS (SELECT project_id, 0 AS clip_id, pair_idx, round(avg((2 * a * b + 6.5025E0) * (2 * (ab - a * b) + 58.5225E0) / ((a * a + b * b + 6.5025E0) * (aa - a * a + bb - b * b + 58.5225E0))), 6) AS ssim FROM k GROUP BY ALL)
+SELECT project_id, clip_id, {_py('avg(ssim)', 4)} AS mean_ssim, {_py('min(ssim)', 4)} AS min_ssim, printf('frame_%05d-frame_%05d', min(struct_pack(s := ssim, i := pair_idx)).i, min(struct_pack(s := ssim, i := pair_idx)).i + 1) AS min_pair, {_py('min(ssim)', 4)} < 0.65 AS jump FROM s GROUP BY ALL""")
 def h3_a6_ssim(s):
-    w = Window.partitionBy("project_id").orderBy("frame_idx")
-    p = grey(s).select("project_id", F.lit(0).alias("clip_id"), (F.row_number().over(w) - 1).alias("pair_idx"), "pixels", F.lead("pixels").over(w).alias("next")).where("next is not null")
-    return qa.ssim_tier(p.select("project_id", "clip_id", "pair_idx", F.round(vision.ssim_pairs("pixels", "next", F.lit(8)), 6).alias("ssim")))
+    """Frames of 8 x 8 pixels, each with the next one of its project."""
+    p = qa.frame_pairs(grey(s), ["project_id"], "frame_idx", "pixels").select("project_id", F.lit(0).alias("clip_id"), "pair_idx", "pixels", "next_pixels")
+    return qa.ssim_tier(p.select("project_id", "clip_id", "pair_idx", F.round(vision.ssim_pairs("pixels", "next_pixels", F.lit(8)), 6).alias("ssim")))
 
 
 _LIGHT = "CASE WHEN {0} / 255 <= 0.04045E0 THEN {0} / 255 / 12.92E0 ELSE pow(({0} / 255 + 0.055E0) / 1.055E0, 2.4E0) END"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numbers import rounded
+from .chunked import SIZE, following, running_sum
 
 FACE, JUMP, COLOUR = 0.5, 0.65, 0.7
 
@@ -30,6 +31,16 @@ def face_tier(frames: DataFrame, references: DataFrame) -> DataFrame:
                     F.coalesce(rounded(F.col("mean"), 4), F.lit(0.0)).alias("mean_similarity"), F.coalesce(F.col("lo") >= FACE, F.lit(True)).alias("passed"))
 
 
+def frame_pairs(frames: DataFrame, by: list[str], order: str, pixels: str, size: int = SIZE) -> DataFrame:
+    """Each frame of a clip with the next one: ``by, order, pair_idx, pixels`` and ``next_`` pixels. Neighbours are found on the frames'
+    numbers alone; pixels are joined to them by frame, so no clip's or project's pictures meet in one task."""
+    n = frames.select(*by, order)
+    n = following(running_sum(n, by, order, {"_nth": F.lit(1)}, size), by, order, order, "_next", size).where("_next IS NOT NULL")
+    own = frames.select(*by, order, F.col(pixels).alias(pixels))
+    nxt = frames.select(*by, F.col(order).alias("_next"), F.col(pixels).alias(f"next_{pixels}"))
+    return n.join(own, [*by, order]).join(nxt, [*by, "_next"]).select(*by, order, (F.col("_nth") - 1).cast("long").alias("pair_idx"), pixels, f"next_{pixels}")
+
+
 def ssim_tier(pairs: DataFrame) -> DataFrame:
     """A6 [R]: mean and least similarity of consecutive frames of a clip, the first worst pair, whether it jumps.
     ``pairs``: project_id, clip_id, pair_idx, ssim."""
