@@ -11,8 +11,9 @@ from pyspark.sql.window import Window
 from ..functions import colour, vision
 from ..functions import text as T
 from ..operators import anchors, asof, assembly, clips, effects, lyrics, planning, qa, sections, timeline
-from ..sources import io
+from ..sources import io, song_files
 from ..sources.fixtures import Songs, duck
+from ..sources.storage import shared_folder
 from ..streaming import live, replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,16 +51,33 @@ def timed(s: Songs) -> DataFrame:
 # ---- sources -------------------------------------------------------------------------------
 
 
-@query("SELECT track_id, w_idx, word, start_s, end_s, CASE WHEN w_idx % 5 = 0 THEN 0.0E0 ELSE probability END AS probability FROM fx_whisper", "fx_whisper")
-def io1_transcript_words(s):
+def transcripts(s: Songs) -> DataFrame:
+    """``track_id, json``: a transcript's document for each song that has one."""
     w = s.whisper_words()
     word = F.struct(F.concat(F.lit(" "), "word").alias("word"), F.col("start_s").alias("start"), F.col("end_s").alias("end"), F.when(F.col("w_idx") % 5 != 0, F.col("probability")).alias("probability"))
     seg = w.withColumn("seg", F.floor(F.col("w_idx") / 7)).groupBy("track_id", "seg").agg(F.array_sort(F.collect_list(F.struct("w_idx", word.alias("w")))).alias("g"))
     doc = seg.groupBy("track_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seg", "g"))), lambda x: F.struct(F.transform(x["g"], lambda y: y["w"]).alias("words"))).alias("segments"))
-    text = doc.select("track_id", F.to_json(F.struct("segments")).alias("json"))
+    return doc.select("track_id", F.to_json(F.struct("segments")).alias("json"))
+
+
+_TRANSCRIPT_SQL = "SELECT track_id, w_idx, word, start_s, end_s, CASE WHEN w_idx % 5 = 0 THEN 0.0E0 ELSE probability END AS probability FROM fx_whisper"
+
+
+@query(_TRANSCRIPT_SQL, "fx_whisper")
+def io1_transcript_words(s):
+    text = transcripts(s)
     return io.transcript_words(text.select("track_id", F.from_json("json", io.TRANSCRIPT).alias("d")).select("track_id", "d.segments"))
 
 
+@query(_TRANSCRIPT_SQL, "fx_whisper")
+def io1_transcript_files(s):
+    """The same through files: a document a song is written, and the folder read."""
+    folder = shared_folder(s.spark, "transcripts")
+    song_files.write_song_files(transcripts(s).withColumnRenamed("json", "document"), folder)
+    text = song_files.read_song_files(s.spark, folder).select(F.col("track_id").cast("long").alias("track_id"), F.from_json("text", io.TRANSCRIPT).alias("d"))
+    return io.transcript_words(text.select("track_id", "d.segments"))
+
+
 @query("SELECT track_id, line_index, word_idx, u_idx, word FROM fx_words", "fx_words")
 def io2_lyric_words(s):
     return words(s).select("track_id", "line_index", "word_idx", "u_idx", "word")
@@ -171,8 +189,19 @@ Format: Layer, Start, End, Style, Name, MarginL, MarginR, MarginV, Effect, Text
 """
 
 
-@query(rf"""WITH k AS (SELECT track_id, line_index, min(start_s) AS s, max(end_s) AS e, string_agg('{{\kf' || greatest(1, CAST(trunc((end_s - start_s) * 100) AS INT)) || '}}' || CASE WHEN word_idx > 0 THEN ' ' ELSE '' END || word, '' ORDER BY u_idx) AS k FROM fx_timed GROUP BY ALL)
-SELECT track_id, md5('{_HEAD}' || string_agg('Dialogue: 0,' || {_stamp('s')} || ',' || {_stamp('e')} || ',Karaoke,,0,0,0,,' || k || chr(10), '' ORDER BY line_index)) AS document_md5 FROM k GROUP BY ALL""", "fx_timed")
+_CAPTIONS = rf"""WITH k AS (SELECT track_id, line_index, min(start_s) AS s, max(end_s) AS e, string_agg('{{\kf' || greatest(1, CAST(trunc((end_s - start_s) * 100) AS INT)) || '}}' || CASE WHEN word_idx > 0 THEN ' ' ELSE '' END || word, '' ORDER BY u_idx) AS k FROM fx_timed GROUP BY ALL)
+SELECT track_id, md5('{_HEAD}' || string_agg('Dialogue: 0,' || {_stamp('s')} || ',' || {_stamp('e')} || ',Karaoke,,0,0,0,,' || k || chr(10), '' ORDER BY line_index)) AS document_md5 FROM k GROUP BY ALL"""
+
+
+@query(_CAPTIONS, "fx_timed")
+def x3_caption_files(s):
+    """Captions written as a file for each song, and read again."""
+    folder = shared_folder(s.spark, "captions")
+    song_files.write_song_files(timeline.ass_documents(timed(s), "unknown style"), folder, ".ass")
+    return song_files.read_song_files(s.spark, folder, ".ass").select(F.col("track_id").cast("long").alias("track_id"), F.md5("text").alias("document_md5"))
+
+
+@query(_CAPTIONS, "fx_timed")
 def x3_ass_documents(s):
     return timeline.ass_documents(timed(s), "unknown style").select("track_id", F.md5("document").alias("document_md5"))
 
