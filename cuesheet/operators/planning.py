@@ -46,14 +46,14 @@ MOODS = {
     "defiant": "Low angles, harsh light, strong silhouettes, dramatic contrast", "nostalgic": "Film grain, warm sepia, soft focus, vintage settings",
     "ethereal": "Fog, lens flare, particles, pastel tones, water", "triumphant": "Wide epic shots, golden hour, elevated vantage, sweeping vistas",
 }
-# Visual element: words for it, meanings.
+# Visual element: words for it.
 METAPHORS = {
-    "water": (("water",), "Emotion, purification, transformation"), "fire": (("fire",), "Passion, destruction, transformation, rage"),
-    "birds/flight": (("bird", "birds", "flight"), "Freedom, transcendence, escape"), "mirrors": (("mirror", "mirrors"), "Identity, self-reflection, duality"),
-    "rain/storms": (("rain", "storm", "storms"), "Tension, turmoil, cleansing"), "forests": (("forest", "forests"), "Tranquility, escape, the unknown"),
-    "cages/walls": (("cage", "cages", "wall", "walls"), "Entrapment, limitation"), "light/dark": (("light", "dark"), "Knowledge/ignorance, hope/despair"),
-    "clocks/sand": (("clock", "clocks", "sand"), "Mortality, urgency, time passing"), "doors/crossroads": (("door", "doors", "crossroads"), "Choice, transition, new beginnings"),
-    "broken glass": (("glass",), "Shattered illusions, vulnerability"), "red thread": (("thread",), "Connection, fate, unraveling"), "candle flame": (("candle", "flame"), "Hope, fragility, memory"),
+    "water": ("water",), "fire": ("fire",),
+    "birds/flight": ("bird", "birds", "flight"), "mirrors": ("mirror", "mirrors"),
+    "rain/storms": ("rain", "storm", "storms"), "forests": ("forest", "forests"),
+    "cages/walls": ("cage", "cages", "wall", "walls"), "light/dark": ("light", "dark"),
+    "clocks/sand": ("clock", "clocks", "sand"), "doors/crossroads": ("door", "doors", "crossroads"),
+    "broken glass": ("glass",), "red thread": ("thread",), "candle flame": ("candle", "flame"),
 }
 
 
@@ -92,7 +92,7 @@ def mood_lighting(scenes: DataFrame) -> DataFrame:
 
 def theme_lexicon(spark: SparkSession, emotional: tuple[str, ...]) -> DataFrame:
     """A16 [A]: ``word, theme``: the words of each visual element, and those of emotion."""
-    rows = [(w, k) for k, (words, _) in METAPHORS.items() for w in words] + [(w, "emotional") for w in emotional]
+    rows = [(w, k) for k, words in METAPHORS.items() for w in words] + [(w, "emotional") for w in emotional]
     return spark.createDataFrame(rows, "word string, theme string")
 
 
