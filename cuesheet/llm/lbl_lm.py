@@ -52,6 +52,8 @@ CHUNK, BATCH = 1_000_000, 1400
 ROUNDS, ENOUGH = 2, 10_000_000
 #: Parameters of a block that is averaged as one row.
 BLOCK = 65_536
+#: Tokens that a task reads for each parameter at least.
+COPY_SHARE = 4
 #: The end token; no word can hold a line feed.
 END = b"\n"
 #: Distinct words that a task holds before it passes their counts on.
@@ -290,11 +292,14 @@ class Trainer:
 
 def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
     """``ROUNDS`` passes or more over all training texts; tasks are those that read the table, but fewer
-    where a task would have under twice ``CHUNK`` tokens."""
+    where a task would have under twice ``CHUNK`` tokens or under ``COPY_SHARE`` for each parameter, of which it sends a copy in each
+    round. Copies are averaged in two levels."""
     sc = encoded.sparkSession.sparkContext
     model, noise = initial(classes.mass), (classes.mass / classes.mass.sum())
     batch = max(64, min(BATCH, classes.total // 1500))
-    texts = encoded.where("not held_out").select("codes").coalesce(max(1, math.ceil(classes.total / (2 * CHUNK))))
+    share = max(2 * CHUNK, COPY_SHARE * len(model.flat()))
+    texts = encoded.where("not held_out").select("codes").coalesce(max(1, math.ceil(classes.total / share)))
+    group = math.ceil(math.sqrt(texts.rdd.getNumPartitions()))
     for nth in range(ROUNDS + min(4 * ROUNDS, ENOUGH // max(1, classes.total))):
         sent = sc.broadcast(model)
 
@@ -322,20 +327,24 @@ def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
             if total:
                 flat = Model(*trainer.p).flat()
                 parts = [flat[lo:lo + BLOCK].tobytes() for lo in range(0, len(flat), BLOCK)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([total] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["block", "n", "part"])
+                salt = TaskContext.get().partitionId() // group
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([salt] * len(parts), pa.int32()), pa.array([total] * len(parts), pa.int64()), pa.array(parts, pa.binary())], names)
 
         def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, list] = {}
+            sums: dict[tuple[int, int], list] = {}
             for b in batches:
-                for block, n, part in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                    own = sums.setdefault(block, [0, 0.0])
+                for block, salt, n, part in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                    own = sums.setdefault((block, salt), [0, 0.0])
                     own[0] += n
                     own[1] = own[1] + n * np.frombuffer(part, np.float32).astype(np.float64)
-            for block, (n, x) in sums.items():
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([n]), pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())], ["block", "n", "part"])
-
-        form = "block int, n long, part binary"
-        got = sorted((r.block, r.part) for r in texts.mapInArrow(run, form).repartition("block").mapInArrow(mean, form).collect())
+            for (block, salt), (n, x) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([n]), pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())], names)
+
+        # in two levels: a task meets the copies of a block from one group of tasks, then one mean of each group
+        names, form = ["block", "salt", "n", "part"], "block int, salt int, n long, part binary"
+        of_groups = texts.mapInArrow(run, form).repartition("block", "salt").mapInArrow(mean, form)
+        whole = of_groups.select("block", F.lit(0).alias("salt"), "n", "part").repartition("block").mapInArrow(mean, form)
+        got = sorted((r.block, r.part) for r in whole.collect())
         if got:
             model = model.like(np.concatenate([np.frombuffer(p, np.float32) for _, p in got]))
         sent.unpersist()
