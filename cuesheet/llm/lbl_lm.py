@@ -47,7 +47,7 @@ COARSE = 128
 HEAD = 200_000
 DIM, NOISE, RATE = 24, 48, 0.3
 #: Tokens whose triples a task holds, and examples of a minibatch (fewer in a corpus of under two million tokens).
-CHUNK, BATCH = 1_000_000, 1400
+CHUNK, BATCH = 1_000_000, 1000
 #: Passes over all training tokens, and tokens of a corpus below which there are more (up to five times as many).
 ROUNDS, ENOUGH = 2, 10_000_000
 #: Parameters of a block that is averaged as one row.
@@ -280,14 +280,15 @@ class Trainer:
         self.move(3, np.r_[t, s], np.r_[gt, gf.sum(axis=0)])
 
     def learn(self, one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> None:
-        """All given tokens, equal triples as one example of their weight, in random order."""
+        """All given tokens, equal triples as one example of their weight, in random order. Weights are shares of what a
+        minibatch weighs on average, so one that holds a frequent triple does not mute its others."""
         cells, n = np.unique((two.astype(np.int64) * (self.k + 1) + one) * self.k + cls, return_counts=True)
-        order = self.rng.permutation(len(cells))
+        order, whole = self.rng.permutation(len(cells)), n.mean() * self.batch
         for lo in range(0, len(cells), self.batch):
             at = order[lo:lo + self.batch]
-            c, w = cells[at], n[at].astype(np.float32)
+            c, w = cells[at], (n[at] / whole).astype(np.float32)
             before = c // self.k
-            self.step(before % (self.k + 1), before // (self.k + 1), c % self.k, w / w.sum())
+            self.step(before % (self.k + 1), before // (self.k + 1), c % self.k, w)
 
 
 def train_model(encoded: DataFrame, classes: Classes, sent_classes) -> Model:
