@@ -10,7 +10,8 @@ class (under k pieces for each class and salt) is packed first-fit decreasing ov
 Token ids are made, cut and checksummed where the text is read; only the piece table moves.
 
 Defined cases: a null text is empty and still has its end token; repeated documents give their
-pieces each; a null id is kept; an empty table gives an empty result.
+pieces each; a null id is kept; texts are encoded whole, however long; columns of any other name are not
+read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

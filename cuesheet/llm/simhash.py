@@ -13,8 +13,8 @@ two bits at most if and only if some word lies within one bit of both), which ne
 fingerprint and finds the same links. Components are taken over fingerprints.
 
 Defined cases: a null text has no words and fingerprint 0; null ids take part and are smallest of
-nothing (a component with no id at all has a null id); repeated rows share a fingerprint; an empty
-table gives an empty result.
+nothing (a component with no id at all has a null id); repeated rows share a fingerprint; texts are
+read whole, however long; columns of any other name are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

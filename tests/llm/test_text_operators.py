@@ -254,6 +254,17 @@ def test_golay_links_crowded_keys(spark):
     assert sorted(map(sorted, by_plain.values())) == sorted(map(sorted, by_spark.values()))
 
 
+def test_simhash_and_packing_with_columns_of_their_own_names(spark):
+    import public_tokenizers
+
+    docs = odd_rows(spark)
+    clash = [F.lit(7).alias(k) for k in ("fp", "root", "node", "component_id", "fingerprint", "sequence_id", "length", "offset", "k")]
+    got = lambda run, df: sorted(map(str, run(df).collect()))
+    pack = lambda df: packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json"))
+    for run in (simhash.near_duplicates, pack):
+        assert got(run, docs) == got(run, docs.select("*", *clash))
+
+
 def test_simhash_odd_rows(spark):
     got = [tuple(r) for r in simhash.near_duplicates(odd_rows(spark)).collect()]
     assert len(got) == 8 and {g[2] for g in got if g[1] == "0" * 16} == {1}
