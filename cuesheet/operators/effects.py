@@ -40,24 +40,25 @@ def _decay(events: DataFrame, fps: float, height: float, seconds: float, name: s
     own = _with_height(events.withColumnRenamed("t", "e"), heights, name, height)
     f = _frames_of(own, F.col("e"), F.col("e") + seconds, fps)
     f = f.where((F.col("t") >= F.col("e")) & (F.col("t") <= F.round(F.col("e") + seconds, 4)))
-    return f.groupBy("track_id", "frame_idx").agg(F.sum(F.col("height") * F.greatest(F.lit(0.0), 1 - (F.col("t") - F.col("e")) / seconds)).alias(name))
+    return f.select("track_id", "frame_idx", (F.col("height") * F.greatest(F.lit(0.0), 1 - (F.col("t") - F.col("e")) / seconds)).alias(name))
 
 
 def curves(beats: DataFrame, onsets: DataFrame, chorus: DataFrame, fps: float, ramp_out: bool = True, heights: DataFrame | None = None) -> DataFrame:
     """A12 [R]: zoom, flash and saturation at each frame that any event touches, each a sum of its own
-    events' terms. Events are sent to the few frames they touch and summed there, each kind by itself. ``heights``: track_id,
+    events' terms. Events are sent to the few frames they touch and summed there, all kinds at once. ``heights``: track_id,
     zoom, flash (:func:`heights_by_tempo`), else 0.03 and 0.2 for all songs."""
     zoom, flash = _decay(beats, fps, 0.03, 0.15, "zoom", heights), _decay(onsets, fps, 0.2, 0.1, "flash", heights)
     clip = lambda x: F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
     s = _frames_of(chorus.select("track_id", "start_s", "end_s"), F.col("start_s"), F.col("end_s"), fps).where((F.col("t") >= F.col("start_s")) & (F.col("t") <= F.col("end_s")))
     out = clip(F.col("end_s") - F.col("t")) if ramp_out else F.lit(1.0)
-    sat = s.groupBy("track_id", "frame_idx").agg(F.sum(0.4 * clip(F.col("t") - F.col("start_s")) * out).alias("saturation"))
+    sat = s.select("track_id", "frame_idx", (0.4 * clip(F.col("t") - F.col("start_s")) * out).alias("saturation"))
     parts = [zoom, flash, sat]
     every = None
     for p in parts:
         filled = p.select("track_id", "frame_idx", *(F.coalesce(F.col(c), F.lit(0.0)).alias(c) if c in p.columns else F.lit(0.0).alias(c) for c in ("zoom", "flash", "saturation")))
         every = filled if every is None else every.unionByName(filled)
-    sums = every.groupBy("track_id", "frame_idx").agg(F.sum("zoom").alias("zoom"), F.sum("flash").alias("flash"), F.sum("saturation").alias("saturation"))
+    # dealt by frames before they are summed: a task holds the frames it has read, however few bytes the songs behind them were
+    sums = every.repartition("track_id", "frame_idx").groupBy("track_id", "frame_idx").agg(F.sum("zoom").alias("zoom"), F.sum("flash").alias("flash"), F.sum("saturation").alias("saturation"))
     return sums.select("track_id", "frame_idx", (1 + F.col("zoom")).alias("zoom"), "flash", (1 + F.col("saturation")).alias("saturation"))
 
 
