@@ -64,6 +64,10 @@ def karaoke(words: Column) -> Column:
         F.lit("{\\kf"), F.greatest(F.lit(1), ((w["end_s"] - w["start_s"]) * 100).cast("int")).cast("string"), F.lit("}"), F.when(i > 0, " ").otherwise(""), w["word"])), "")
 
 
+def letters(word: Column) -> Column:
+    return F.when(word == "", F.array().cast("array<string>")).otherwise(F.split(word, ""))
+
+
 def reveal_times(word: Column, start: Column, end: Column, last: Column) -> Column:
     """X6 [R]: (char, t) of each letter of a word, and of the no-break space after it unless it is the last of its line."""
     chars = F.filter(F.split(word, ""), lambda c: c != "")
