@@ -1,15 +1,15 @@
-"""Folders with one document a song: written by a data source with a commit of its own, read by Spark's reader of whole files."""
+"""Folders with one document a song: written by a data source with a commit of its own, read by its reader, a task for each task's folder."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 PENDING = "_pending"
@@ -73,8 +73,38 @@ class SongFilesWriter(DataSourceWriter):
             system.delete_dir(f"{root}/{PENDING}/{self.run}")
 
 
+class SongFilesReader(DataSourceReader):
+    """The driver sees only the folders directly below the path; a task lists one of them, or the files beside them, and reads what it
+    finds. So the number of songs never reaches the driver."""
+
+    def __init__(self, path: str, suffix: str):
+        self.path, self.suffix = path.rstrip("/"), suffix
+
+    def partitions(self) -> list[InputPartition]:
+        from pyarrow import fs
+
+        system, root = _opened(self.path)
+        below = system.get_file_info(fs.FileSelector(root))
+        folders = sorted(x.base_name for x in below if x.type == fs.FileType.Directory and x.base_name[:1] not in ("_", "."))
+        beside = any(x.type == fs.FileType.File and x.base_name.endswith(self.suffix) for x in below)
+        return [InputPartition(x) for x in folders + [""] * beside] or [InputPartition(None)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
+        from pyarrow import fs
+
+        if partition.value is None:
+            return
+        system, root = _opened(self.path)
+        top = f"{root}/{partition.value}".rstrip("/")
+        for f in system.get_file_info(fs.FileSelector(top, recursive=bool(partition.value))):
+            hidden = any(x[:1] in ("_", ".") for x in f.path[len(top):].split("/"))
+            if f.type == fs.FileType.File and not hidden and f.base_name.endswith(self.suffix) and f.size:
+                with system.open_input_stream(f.path) as file:
+                    yield unquote(f.base_name[:len(f.base_name) - len(self.suffix)]), file.read().decode()
+
+
 class SongFiles(DataSource):
-    """``format("song_files")``, for writing: rows of a name and a text; options ``path`` and ``suffix``."""
+    """``format("song_files")``: rows of a name and a text; options ``path`` and ``suffix``."""
 
     @classmethod
     def name(cls) -> str:
@@ -83,6 +113,9 @@ class SongFiles(DataSource):
     def schema(self) -> str:
         return "track_id string, document string"
 
+    def reader(self, schema: StructType) -> SongFilesReader:
+        return SongFilesReader(self.options["path"], self.options.get("suffix", ".json"))
+
     def writer(self, schema: StructType, overwrite: bool) -> SongFilesWriter:
         if overwrite:
             raise ValueError("song files are added to a folder; give a new one to replace them")
@@ -98,9 +131,6 @@ def write_song_files(documents: DataFrame, path: str, suffix: str = ".json") ->
 
 def read_song_files(spark: SparkSession, path: str, suffix: str = ".json") -> DataFrame:
     """IO1 to IO4 [R] from files: ``track_id`` (from the file's name) and its whole ``text``; files below ``_pending`` are not seen, nor are
-    files without a byte, which Spark's readers pass over."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)
-    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    # the reader's path is encoded once more
-    track = F.url_decode(F.url_decode(F.substring(name, F.lit(1), F.length(name) - len(suffix))))
-    return files.where(~F.col("_metadata.file_path").contains(f"/{PENDING}/")).select(track.alias("track_id"), F.decode("content", "UTF-8").alias("text"))
+    files without a byte, which Spark's own readers pass over too."""
+    spark.dataSource.register(SongFiles)
+    return spark.read.format("song_files").schema("track_id string, text string").option("suffix", suffix).load(path)
