@@ -34,9 +34,9 @@ class _Retries(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _drop_timers(self) -> None:
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
+    def _timer(self, run) -> int:
+        """When a run ends for want of attempts; an open run has this one timer."""
+        return (run[3] + self.idle) // 1000 + 1
 
     def _row(self, key, run, action: str, closed: bool) -> tuple:
         return (*key, run[2], run[0], action, run[1], closed)
@@ -46,9 +46,10 @@ class _Retries(StatefulProcessor):
         return pd.DataFrame(rows, columns=["project_id", "clip_id", "first_attempt", "attempts", "action", "best_score", "closed"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values(["us", "attempt"], kind="stable")
-        run, out = self.run.get() if self.run.exists() else None, []
-        for us, n, score, passed in zip(*(new[c].tolist() for c in ("us", "attempt", "score", "passed")), strict=True):
+        new = [x for part in rows for x in zip(*(part[c].tolist() for c in ("us", "attempt", "score", "passed")), strict=True)]
+        before = run = self.run.get()
+        out = []
+        for us, n, score, passed in sorted(new, key=lambda x: x[:2]):
             if run and us - run[3] > self.idle:
                 out.append(self._row(key, run, "review", True))
                 run = None
@@ -56,12 +57,13 @@ class _Retries(StatefulProcessor):
             if passed:
                 out.append(self._row(key, run, "done", True))
                 run = None
-        self._drop_timers()
+        if before:
+            self.handle.deleteTimer(self._timer(before))
         if run:
             out.append(self._row(key, run, "new_seed" if run[0] <= 2 else "simplify" if run[0] == 3 else "review", False))
             self.run.update(run)
-            self.handle.registerTimer((run[3] + self.idle) // 1000 + 1)
-        else:
+            self.handle.registerTimer(self._timer(run))
+        elif before:
             self.run.clear()
         yield self._frame(out)
 
