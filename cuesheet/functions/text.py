@@ -43,6 +43,11 @@ def normalised(word: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}_\s]", ""))
 
 
+def letters_of_words(words: Column) -> Column:
+    """Letters a-z in lower case of each word of a list, found in all of its words at once. Words hold no blanks."""
+    return F.split(F.regexp_replace(F.lower(F.array_join(words, " ")), "[^a-z ]", ""), " ")
+
+
 def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(text, r"\s+"), lambda x: x != ""))
 

@@ -6,6 +6,9 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from cuesheet.functions.text import letters_of_words
 from cuesheet.jobs.catalog import QUERIES
 from cuesheet.operators import effects, timeline
 from cuesheet.sources import io, song_files
@@ -22,6 +25,33 @@ def test_words_are_numbered_where_they_are_read(spark, name):
     assert "Exchange" not in plan(QUERIES[name](spark, SMALL))
 
 
+def test_key_words_are_picked_where_their_line_is_read(spark):
+    """No word moves to be ranked in its line, and the letters of a line's words are found once."""
+    p = plan(QUERIES["t5_key_words"](spark, SMALL))
+    assert "Exchange" not in p and "Window" not in p and p.count("[^a-z") == 1
+    assert plan(QUERIES["x5_word_class"](spark, SMALL)).count("[^a-z") == 1
+
+
+def test_key_words_of_lines(spark):
+    rng = random.Random(5)
+    some = ["the", "of", "love", "Fire!", "--", "stone", "sto ne".replace(" ", "\u00a0"), "\u0130stanbul", "\u212aelvin", "\u03a3\u03a3\u03a3\u03a3", "\U0001f600" * 7, "a", "b", "it", "stones", "THAT", "\u00e9t\u00e9s"]
+    lines = [(k, j, [rng.choice(some) for _ in range(n)]) for k in range(4) for j, n in enumerate([1, 2, 3, 4, 9, 30, 300])]
+    lines += [(9, 0, ["of"]), (9, 1, ["is", "of", "the", "xyz", "abc"]), (9, 2, ["the"] * 500), (9, 3, ["silver"] * 5), (9, 4, ["love", "golden", "silver", "ox", "copper"]), (9, 5, ["a" * 5000, "the"])]
+    df = spark.createDataFrame(lines, "track_id long, line_index int, words array<string>")
+    letters = df.select("words", letters_of_words(F.col("words")).alias("low")).collect()
+    assert all(r.low == [re.sub("[^a-z]", "", w.lower()) for w in r.words] for r in letters)
+    none, weight = F.lit(None).cast("string"), lambda j: F.when(j % 3 == 0, (j % 10) / F.lit(10.0))
+    words = df.select("track_id", "line_index", F.posexplode("words").alias("word_idx", "word")).withColumn("role", none).withColumn("importance", weight(F.col("word_idx")))
+    classes = F.transform(letters_of_words(F.col("words")), lambda low, j: timeline.class_of(low, none, weight(j), ["the", "of"]))
+    for most in (1, 3, 7):
+        want = timeline.key_words(timeline.word_class(words, ["the", "of"]), most)
+        got = timeline.key_words_of_lines(df.withColumn("classes", classes), most)
+        assert got.dtypes == want.dtypes and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        picked = {(r.line_index, r.stack_pos): (r.word_idx, r.word) for r in got.where("track_id = 9").collect()}
+        assert picked[0, 1] == (0, "of") and picked[2, 1] == (499, "the") and picked[3, 1] == (1, "silver")
+        assert [picked.get((4, n)) for n in range(1, most + 1)] == [(1, "golden"), (2, "silver"), (4, "copper"), (0, "love"), None, None, None][:most]
+
+
 def test_words_straight_from_texts(spark):
     texts = [(1, " a  b\t\n\n c\r\nd"), (2, None), (3, " \n"), (4, "x\ny\nz z"), (5, "")]
     df = spark.createDataFrame(texts, "track_id long, text string")
