@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cuesheet.functions.text import letters_of_words
 from cuesheet.jobs.catalog import QUERIES
-from cuesheet.operators import effects, timeline
+from cuesheet.operators import effects, lyrics, timeline
 from cuesheet.sources import io, song_files
 
 SMALL = "/root/testdata/sf0.001"
@@ -127,3 +127,21 @@ def test_files_are_listed_by_tasks(spark, tmp_path):
     assert len(parts) == 1 + sum(os.path.isdir(f"{path}/{x}") for x in os.listdir(path) if x.startswith("part")) < 20
     assert df.rdd.getNumPartitions() == len(parts)
     assert {tuple(r) for r in df.collect()} == {(str(k), f"text {k}") for k in range(300)} | {("beside", "b")}
+
+
+def test_lists_of_a_song_are_made_once(spark):
+    """No filter by a list lies below the words of a song, with the heard words made anew in it for each opcode."""
+    p = QUERIES["j10_w12_s3_given_opcodes"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in p.split("\n") if "Filter" in x and "transform" in x]
+
+
+def test_times_of_opcodes_without_heard_words_or_times(spark):
+    u = "array<struct<u_idx:int,line_index:int,word:string>>"
+    word = lambda n: [(k, 0, f"w{k}") for k in range(n)]
+    rows = [(1, word(3), [], [("delete", 0, 3, 0, 0)]), (2, word(2), [(1.0, None, 0.5), (2.0, 2.1005, None)], [("equal", 0, 1, 0, 1), ("insert", 1, 1, 1, 2), ("delete", 1, 2, 2, 2)]),
+            (3, word(4), [(1.0, 1.5, 0.9), (2.0, 2.5, 0.8), (3.0, 3.2, 0.7)], [("replace", 0, 3, 0, 2), ("replace", 3, 4, 2, 3)]), (4, [], [(1.0, 1.5, 0.9)], [])]
+    df = spark.createDataFrame(rows, f"track_id long, u {u}, w array<struct<start_s:double,end_s:double,probability:double>>, ops array<struct<tag:string,u0:int,u1:int,w0:int,w1:int>>")
+    got = {(r.track_id, r.u_idx): (r.start_s, r.end_s, r.confidence, r.match_type) for r in lyrics.timed_by(df.repartition(1)).collect()}
+    assert got == {
+        (1, 0): (0.0, 0.167, 0.3, "inserted"), (1, 1): (0.167, 0.333, 0.3, "inserted"), (1, 2): (0.333, 0.5, 0.3, "inserted"), (2, 0): (1.0, None, 0.5, "exact"), (2, 1): (2.1, 2.6, 0.3, "inserted"),
+        (3, 0): (1.0, 1.5, 0.5, "interpolated"), (3, 1): (1.5, 2.0, 0.5, "interpolated"), (3, 2): (2.0, 2.5, 0.5, "interpolated"), (3, 3): (3.0, 3.2, 0.7, "fuzzy")}
