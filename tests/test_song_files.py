@@ -47,3 +47,29 @@ def test_a_song_has_one_document(spark, tmp_path, rows):
     with pytest.raises(Exception, match="one document for each song"):
         song_files.write_song_files(spark.createDataFrame(rows, "track_id string, document string"), str(tmp_path / "out"))
     assert not [d for d, _, fs in os.walk(tmp_path) for f in fs if f.endswith(".json") and "part-" in d]
+
+
+def test_packed_files(spark, tmp_path):
+    """A suffix of .gz packs each file as any reader of gzip takes it; documents that are dealt already are not dealt again."""
+    import gzip
+
+    rows = [(k, '{"word": "la"}' * 500 + f" é{k}") for k in range(20)]
+    documents = spark.createDataFrame(rows, "track_id long, document string").repartition(4, "track_id")
+    for name, dealt in (("a", False), ("b", True)):
+        path = str(tmp_path / name)
+        song_files.write_song_files(documents, path, ".json.gz", dealt)
+        assert {tuple(r) for r in song_files.read_song_files(spark, path, ".json.gz").collect()} == {(str(k), d) for k, d in rows}
+        files = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".json.gz")]
+        assert len(files) == 20 and sum(map(os.path.getsize, files)) < sum(len(d) for _, d in rows) / 20
+        assert {gzip.open(f, "rt", encoding="utf-8").read() for f in files} == {d for _, d in rows}
+
+
+def test_transcripts_move_as_texts(spark, tmp_path, monkeypatch):
+    """The files of transcripts take fewer bytes than their texts do twice."""
+    from cuesheet.jobs import catalog
+
+    monkeypatch.setattr(catalog, "shared_folder", lambda _, name: str(tmp_path / name))
+    n = catalog.QUERIES["io1_transcript_files"](spark, "/root/testdata/sf0.001").count()
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path) for f in fs if ".json" in f and not f.startswith(".")]
+    assert n > 0 and files and sum(map(os.path.getsize, files)) < 2 * texts
